@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from secflow import schemas as S
+from secflow.session import ensure_checkpoint_dir
 
 _POS_BITS = 33  # monotonically_increasing_id(): partition id in the upper bits, row index in the lower 33
 
@@ -68,16 +69,19 @@ def global_positions(df: DataFrame, order: list[Column], num_partitions: int) ->
     """Add ``_g``: the 0-based position of each row in the total order ``order``.
 
     Distributed zip-with-index: range partitioning + sort, then per-partition
-    offsets.  ``order`` must be a total order (unique per row) so a recomputed
-    task reproduces the same positions.
+    offsets.  The range bounds come from sampling an input whose row order may
+    differ between evaluations (shuffle fetch order), so the indexed rows are
+    materialized once with a reliable checkpoint in the shared checkpoint
+    folder; the offsets and the rows then describe the same partitioning, and
+    a lost executor re-reads the checkpoint instead of re-sampling.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     ranged = df.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
-    mid = F.monotonically_increasing_id()
-    indexed = ranged.withColumn("_mid", mid).select(
+    indexed = ranged.select(
         "*",
-        F.shiftright(F.col("_mid"), _POS_BITS).alias("_pid"),
-        (F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))).alias("_local"),
-    ).drop("_mid")
+        F.spark_partition_id().cast("bigint").alias("_pid"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_local"),
+    ).checkpoint(eager=True)
     counts = indexed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",

@@ -54,8 +54,8 @@ def flat_events(changes: DataFrame) -> DataFrame:
 def _latest(changes: DataFrame, order: tuple[str, ...]) -> DataFrame:
     key_fields = _fields(changes, "key")
     ordered = [c for c in order if c in changes.columns]
-    packed = F.struct(*ordered, "op", "after").alias("_v")
-    return changes.groupBy(*[F.col("key." + k).alias(k) for k in key_fields]).agg(F.max(packed)), \
+    packed = F.struct(*ordered, "op", "after")
+    return changes.groupBy(*[F.col("key." + k).alias(k) for k in key_fields]).agg(F.max(packed).alias("_v")), \
         key_fields, ordered
 
 

@@ -82,9 +82,8 @@ def q_anomaly_scores(spark, d):
     s = findings.scored_series(*_entities(spark, d))
     a = F.col("anomaly")
     return s.select("tenant_id", "cve_record_id", "interface_id", "cvss_score",
-                    a.n.alias("n"), F.round(a.forecast, 6).alias("forecast"),
-                    F.round(a.lower, 6).alias("lower"), F.round(a.upper, 6).alias("upper"),
-                    F.round(a.rmse, 6).alias("rmse"), a.is_anomaly.alias("is_anomaly"))
+                    a.n.alias("n"), a.forecast.alias("forecast"), a.lower.alias("lower"),
+                    a.upper.alias("upper"), a.rmse.alias("rmse"), a.is_anomaly.alias("is_anomaly"))
 
 
 @query("ml_scoring")

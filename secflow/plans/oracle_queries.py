@@ -44,8 +44,8 @@ SELECT a.tenant_id, a.asset_id, a.device_type, a.risk_level AS asset_risk_level,
 WHERE n.is_active = TRUE""")
     q["anomaly_scores"] = with_ctes(["scored"], """
 SELECT tenant_id, cve_record_id, interface_id, cvss_score, a_n AS n,
-       ROUND(a_forecast, 6) AS forecast, ROUND(a_forecast - a_band, 6) AS lower,
-       ROUND(a_forecast + a_band, 6) AS upper, ROUND(a_rmse, 6) AS rmse, is_anomaly
+       a_forecast AS forecast, a_forecast - a_band AS lower, a_forecast + a_band AS upper,
+       a_rmse AS rmse, is_anomaly
 FROM scored""")
     q["ml_scoring"] = with_ctes(["ml_findings"], "SELECT * FROM ml_findings")
     q["running_cvss_range"] = with_ctes(["asset_cves"], """
