@@ -29,11 +29,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from secflow import schemas as S
-from secflow.session import ensure_checkpoint_dir
+from secflow.session import materialize
 
 _POS_BITS = 33  # monotonically_increasing_id(): partition id in the upper bits, row index in the lower 33
 
@@ -71,17 +72,21 @@ def global_positions(df: DataFrame, order: list[Column], num_partitions: int) ->
     Distributed zip-with-index: range partitioning + sort, then per-partition
     offsets.  The range bounds come from sampling an input whose row order may
     differ between evaluations (shuffle fetch order), so the indexed rows are
-    materialized once with a reliable checkpoint in the shared checkpoint
-    folder; the offsets and the rows then describe the same partitioning, and
-    a lost executor re-reads the checkpoint instead of re-sampling.
+    written once as a parquet table in the shared checkpoint folder; the offsets
+    and the rows then describe the same partitioning, and a lost executor
+    re-reads files instead of re-sampling.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
+    # The range exchange scans its input twice (bound sampling, then the shuffle):
+    # keep the input for the second scan instead of recomputing it.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = src.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
     indexed = ranged.select(
         "*",
         F.spark_partition_id().cast("bigint").alias("_pid"),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_local"),
-    ).checkpoint(eager=True)
+    )
+    indexed = materialize(indexed, "positions")
+    src.unpersist()
     counts = indexed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",
@@ -123,24 +128,21 @@ def detect(df: DataFrame, value: str, partition: str, order: list[Column],
 
     w = Window.partitionBy(partition, "_blk").orderBy("_g")
     y = F.round(F.col(value) * F.lit(params.scale)).cast("bigint")
-    x = F.lag(y, 1).over(w)
-    stage = blocks.withColumn("_y", y).withColumn("_x", x)
+    # Three window passes over one sort: lag, running sums, sliding differences.
+    stage = blocks.select("*", y.alias("_y")).select("*", F.lag("_y", 1).over(w).alias("_x"))
     has = F.col("_x").isNotNull() & F.col("_y").isNotNull()
     zero = F.lit(0).cast("bigint")
     contrib = {
-        "_c_n": F.when(has, F.lit(1).cast("bigint")).otherwise(zero),
-        "_c_x": F.when(has, F.col("_x")).otherwise(zero),
-        "_c_y": F.when(has, F.col("_y")).otherwise(zero),
-        "_c_xx": F.when(has, F.col("_x") * F.col("_x")).otherwise(zero),
-        "_c_xy": F.when(has, F.col("_x") * F.col("_y")).otherwise(zero),
-        "_c_yy": F.when(has, F.col("_y") * F.col("_y")).otherwise(zero),
+        "n": F.when(has, F.lit(1).cast("bigint")).otherwise(zero),
+        "x": F.when(has, F.col("_x")).otherwise(zero),
+        "y": F.when(has, F.col("_y")).otherwise(zero),
+        "xx": F.when(has, F.col("_x") * F.col("_x")).otherwise(zero),
+        "xy": F.when(has, F.col("_x") * F.col("_y")).otherwise(zero),
+        "yy": F.when(has, F.col("_y") * F.col("_y")).otherwise(zero),
     }
     cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for name, expr in contrib.items():
-        stage = stage.withColumn(name, F.sum(expr).over(cum))
-    sums = {name: _sliding(name, w, span) for name in contrib}
-    for name, expr in sums.items():
-        stage = stage.withColumn("_w" + name[2:], expr)
+    stage = stage.select("*", *[F.sum(e).over(cum).alias("_c_" + k) for k, e in contrib.items()])
+    stage = stage.select("*", *[_sliding("_c_" + k, w, span).alias("_w_" + k) for k in contrib])
 
     n, sx, sy = F.col("_w_n"), F.col("_w_x"), F.col("_w_y")
     sxx = n * F.col("_w_xx") - sx * sx

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_WINDOW_MS = 3_600_000
+DEFAULT_WINDOW_MS = 86_400_000
 DEFAULT_MIN_EVENTS = 3
 
 

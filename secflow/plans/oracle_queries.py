@@ -72,7 +72,7 @@ LEFT JOIN (SELECT cve_id, MIN(threat_actor) AS threat_actor,
     q["cep_burst_alert"] = with_ctes(["asset_activity"], """
 SELECT tenant_id, asset_id, activity_id, activity_time, events_in_window FROM (
   SELECT *, COUNT(*) OVER (PARTITION BY tenant_id, asset_id ORDER BY epoch_us(activity_time)
-                           RANGE BETWEEN 3600000000 PRECEDING AND CURRENT ROW) AS events_in_window
+                           RANGE BETWEEN 86400000000 PRECEDING AND CURRENT ROW) AS events_in_window
   FROM asset_activity WHERE is_suspicious)
 WHERE events_in_window >= 3""")
 

@@ -63,3 +63,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A location under the shared checkpoint folder (for stream checkpoints, staged tables)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a parquet table under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads files instead of recomputing the
+    plan) and pins nondeterministic values (positions, partition ids) so every
+    later use of the result sees the same rows.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
