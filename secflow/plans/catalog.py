@@ -175,6 +175,13 @@ def q_severity(spark, d):
             .agg(F.count(F.lit(1)).alias("cves"))
 
 
+@query("decode_findings")
+def q_decode(spark, d):
+    from secflow.sources.decode import decode_findings, encode_findings
+    ok, _ = decode_findings(encode_findings(ml_findings(spark, d)))
+    return findings.documents(ok)
+
+
 # --- aggregations ----------------------------------------------------------------------
 
 @query("agg_critical_cves")

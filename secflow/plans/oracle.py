@@ -179,6 +179,22 @@ FROM assets a
 JOIN network_interfaces n ON a.tenant_id = n.tenant_id AND a.asset_id = n.asset_id
 JOIN asset_cves c ON a.tenant_id = c.tenant_id AND a.asset_id = c.asset_id
 WHERE a.risk_level = 'HIGH' AND n.is_active = TRUE AND c.cvss_score >= 9.0 AND c.severity = 'CRITICAL'""",
+    "decoded_docs": """
+SELECT _id, tenant_id, asset_id, device_type, ip_address, cve_id, cvss_score, severity, anomaly_score,
+       finding_type, predicted_risk, model_version, event_time
+FROM (SELECT d.*, ROW_NUMBER() OVER (PARTITION BY _id ORDER BY ip_address DESC NULLS LAST,
+        device_type DESC NULLS LAST, cvss_score DESC NULLS LAST, severity DESC NULLS LAST,
+        anomaly_score DESC NULLS LAST, finding_type DESC NULLS LAST, model_version DESC NULLS LAST) AS rn
+      FROM (SELECT *, sha256(CONCAT_WS('|', tenant_id, asset_id, cve_id, event_time, predicted_risk)) AS _id
+            FROM (SELECT COALESCE(tenant_id, '') AS tenant_id, COALESCE(asset_id, '') AS asset_id,
+                         COALESCE(device_type, '') AS device_type, COALESCE(ip_address, '') AS ip_address,
+                         COALESCE(cve_id, '') AS cve_id, COALESCE(cvss_score, 0.0) AS cvss_score,
+                         COALESCE(severity, '') AS severity, COALESCE(anomaly_score, 0.0) AS anomaly_score,
+                         COALESCE(finding_type, '') AS finding_type, COALESCE(predicted_risk, '') AS predicted_risk,
+                         COALESCE(model_version, '') AS model_version,
+                         strftime(TRY_CAST(event_time AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time
+                  FROM ml_findings)
+            WHERE event_time IS NOT NULL) d) WHERE rn = 1""",
     "cdc_latest": """
 SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY key_tenant_id, key_asset_id
                                             ORDER BY ts_ms DESC, seq DESC) AS rn
@@ -207,6 +223,7 @@ _DEPENDS = {
     "doc_prep": ["ml_findings"],
     "finding_docs": ["doc_prep"],
     "bi_rows": ["findings_latest"],
+    "decoded_docs": ["ml_findings"],
     "rule_rows": ["assets", "network_interfaces", "asset_cves"],
     "cdc_latest": ["assets_cdc_flat"],
     "multiplexed": ["assets_cdc_flat", "network_interfaces", "asset_cves"],

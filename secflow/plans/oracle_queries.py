@@ -103,6 +103,8 @@ SELECT CASE WHEN cvss_score >= 9.0 THEN 'CRITICAL' WHEN cvss_score >= 7.0 THEN '
             WHEN cvss_score >= 4.0 THEN 'MEDIUM' ELSE 'LOW' END AS severity, COUNT(*) AS cves
 FROM asset_cves GROUP BY 1""")
 
+    q["decode_findings"] = with_ctes(["decoded_docs"], "SELECT * FROM decoded_docs")
+
     # aggregations
     q["agg_critical_cves"] = with_ctes(["asset_cves"], """
 SELECT tenant_id, COUNT(*) AS critical_cves FROM asset_cves WHERE severity = 'CRITICAL' GROUP BY tenant_id""")
