@@ -170,6 +170,38 @@ def detect(df: DataFrame, value: str, partition: str, order: list[Column],
     return stage.filter(F.col("_blk") == F.col("_own")).select(*keep, result.alias(out))
 
 
+def global_prefix_count(df: DataFrame, order: list[Column], flag: Column, num_partitions: int,
+                        block_rows: int = 8192) -> DataFrame:
+    """Add ``_before``: how many rows with ``flag`` true precede each row in the total order.
+
+    Same layout as ``global_positions``; the count is the sum of three bounded
+    parts: flagged rows in earlier range partitions (one row per partition,
+    broadcast), in earlier blocks of the same partition (a window over the
+    per-block totals of one partition) and earlier in the row's own block (a
+    window over at most ``block_rows`` rows).
+    """
+    src = df.withColumn("_f", flag.cast("long")).persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = src.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
+    indexed = materialize(ranged.select(
+        "*",
+        F.spark_partition_id().cast("bigint").alias("_pid"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_local"),
+    ), "prefix")
+    src.unpersist()
+    indexed = indexed.withColumn("_blk", F.floor(F.col("_local") / F.lit(block_rows)).cast("bigint"))
+    earlier = Window.unboundedPreceding, -1
+    per_part = indexed.groupBy("_pid").agg(F.sum("_f").alias("_pf")).select(
+        "_pid", F.coalesce(F.sum("_pf").over(Window.orderBy("_pid").rowsBetween(*earlier)), F.lit(0))
+        .alias("_pre_p"))
+    per_blk = indexed.groupBy("_pid", "_blk").agg(F.sum("_f").alias("_bf")).select(
+        "_pid", "_blk", F.coalesce(F.sum("_bf").over(
+            Window.partitionBy("_pid").orderBy("_blk").rowsBetween(*earlier)), F.lit(0)).alias("_pre_b"))
+    w = Window.partitionBy("_pid", "_blk").orderBy("_local").rowsBetween(*earlier)
+    rows = indexed.join(per_blk, ["_pid", "_blk"]).join(F.broadcast(per_part), "_pid")
+    return rows.withColumn("_before", F.col("_pre_p") + F.col("_pre_b") + F.coalesce(F.sum("_f").over(w), F.lit(0))) \
+               .drop("_pid", "_local", "_blk", "_f", "_pre_p", "_pre_b")
+
+
 def running_stats(df: DataFrame, value: str, partition: str, order: str, tie_breaks: list[str],
                   scale: int = 10, block_rows: int = 8192, num_partitions: int | None = None) -> DataFrame:
     """Running count / avg / max of ``value`` per ``partition`` ordered by ``order``.

@@ -1,32 +1,46 @@
 """Burst pattern: several suspicious events for one asset within a time window.
 
-Batch form.  A range frame partitioned by asset would put a hot asset in one
-task.  Instead, time is cut into buckets of the window width; every event
-belongs to its bucket and is also copied into the next bucket as context.
-The window ``[t - w, t]`` of an event in bucket ``b`` lies inside buckets
-``b-1`` and ``b``, so a range frame per (asset, bucket) counts exactly, and a
-task only ever holds two window widths of one asset's events.
+Batch form, exact for any key size.  Every event gets two probes in the same
+total order (key, time, kind, id): a lower probe at ``t - w`` sorted before
+events of equal time and an upper probe at ``t`` sorted after them.  The
+number of events in ``[t - w, t]`` of the event's key is the difference of
+the events counted before the two probes; rows of other keys cancel.  Those
+counts come from ``global_prefix_count`` (range partitions, bounded blocks),
+so a hot asset is spread over many tasks instead of one window partition, and
+the two probes meet again in a partially aggregated group-by on the event id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from secflow.operators.anomaly import global_prefix_count
+
 DEFAULT_WINDOW_MS = 86_400_000
 DEFAULT_MIN_EVENTS = 3
 
 
 def burst(events: DataFrame, keys: list[str], ts: str, id_col: str,
-          window_ms: int = DEFAULT_WINDOW_MS, min_events: int = DEFAULT_MIN_EVENTS) -> DataFrame:
+          window_ms: int = DEFAULT_WINDOW_MS, min_events: int = DEFAULT_MIN_EVENTS,
+          num_partitions: int | None = None, block_rows: int = 8192) -> DataFrame:
     """Events that complete a burst: >= ``min_events`` events of the same key within
-    ``window_ms`` ending at the event (inclusive, ties count)."""
+    ``window_ms`` ending at the event (inclusive; events at equal times all count).
+    ``id_col`` must identify an event within its key."""
+    spark = events.sparkSession
+    if num_partitions is None:
+        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     w_us = window_ms * 1000
-    t = F.unix_micros(F.col(ts).cast("timestamp"))
-    staged = events.select(*keys, id_col, ts, t.alias("_t")) \
-        .withColumn("_own", F.floor(F.col("_t") / F.lit(w_us)).cast("bigint")) \
-        .withColumn("_bkt", F.explode(F.array(F.col("_own"), F.col("_own") + 1)))
-    frame = Window.partitionBy(*keys, "_bkt").orderBy("_t").rangeBetween(-w_us, 0)
-    counted = staged.withColumn("events_in_window", F.count(F.lit(1)).over(frame))
-    return counted.filter((F.col("_bkt") == F.col("_own")) & (F.col("events_in_window") >= min_events)) \
-                  .select(*keys, id_col, ts, "events_in_window")
+    base = events.select(*keys, id_col, F.col(ts).alias("_ts"),
+                         F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"))
+    kinds = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("_kind")
+    merged = base.select("*", kinds).withColumn(
+        "_t", F.when(F.col("_kind") == -1, F.col("_t") - F.lit(w_us)).otherwise(F.col("_t")))
+    order = [F.col(k) for k in keys] + [F.col("_t"), F.col("_kind"), F.col(id_col)]
+    counted = global_prefix_count(merged, order, F.col("_kind") == 0, num_partitions, block_rows)
+    probes = counted.filter(F.col("_kind") != 0)
+    per_event = probes.groupBy(*keys, id_col).agg(
+        F.sum(F.when(F.col("_kind") == 1, F.col("_before")).otherwise(-F.col("_before"))).alias("events_in_window"),
+        F.max("_ts").alias(ts))
+    return per_event.filter(F.col("events_in_window") >= min_events) \
+                    .select(*keys, id_col, ts, "events_in_window")
