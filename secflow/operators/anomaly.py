@@ -99,11 +99,6 @@ def global_positions(df: DataFrame, order: list[Column], num_partitions: int) ->
             .drop("_pid", "_local", "_offset"))
 
 
-def _sliding(col: str, w: Window, span: int) -> Column:
-    """Sum of ``col`` over the ``span`` rows before the current row, from prefix sums."""
-    return F.lag(F.col(col), 1, 0).over(w) - F.lag(F.col(col), span + 1, 0).over(w)
-
-
 def detect(df: DataFrame, value: str, partition: str, order: list[Column],
            params: AnomalyParams = AnomalyParams(), num_partitions: int | None = None,
            out: str = "anomaly") -> DataFrame:
@@ -141,8 +136,11 @@ def detect(df: DataFrame, value: str, partition: str, order: list[Column],
         "yy": F.when(has, F.col("_y") * F.col("_y")).otherwise(zero),
     }
     cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    stage = stage.select("*", *[F.sum(e).over(cum).alias("_c_" + k) for k, e in contrib.items()])
-    stage = stage.select("*", *[_sliding("_c_" + k, w, span).alias("_w_" + k) for k in contrib])
+    # Sum over the previous ``span`` rows = C(i-1) - C(i-span-1), with C(i-1) = C(i) - c(i).
+    stage = stage.select("*", *[e.alias("_k_" + k) for k, e in contrib.items()])
+    stage = stage.select("*", *[F.sum("_k_" + k).over(cum).alias("_c_" + k) for k in contrib])
+    stage = stage.select("*", *[(F.col("_c_" + k) - F.col("_k_" + k)
+                                 - F.lag("_c_" + k, span + 1, 0).over(w)).alias("_w_" + k) for k in contrib])
 
     n, sx, sy = F.col("_w_n"), F.col("_w_x"), F.col("_w_y")
     sxx = n * F.col("_w_xx") - sx * sx

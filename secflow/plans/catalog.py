@@ -22,8 +22,14 @@ QUERIES: dict[str, QueryFn] = {}
 
 
 def query(name: str):
+    """Register ``fn``; naive timestamps mean UTC, so the session zone is pinned before planning."""
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         return fn
     return deco
 
