@@ -16,7 +16,7 @@ from secflow import schemas as S
 from secflow.functions import keys as K
 from secflow.functions.scoring import anomaly_flag, anomaly_risk, anomaly_score
 from secflow.operators.anomaly import AnomalyParams, detect
-from secflow.operators.enrich import as_of_literal, join_active
+from secflow.operators.enrich import as_of_literal, join_active, join_entities
 
 
 def series_order() -> list[Column]:
@@ -39,15 +39,36 @@ def score(df: DataFrame) -> DataFrame:
     )
 
 
+def cve_series_order() -> list[Column]:
+    return [K.to_millis_precision(F.col("discovered_at")), F.col("cve_record_id")]
+
+
+def score_cves(cves: DataFrame, params: AnomalyParams = AnomalyParams()) -> DataFrame:
+    """Anomaly struct per CVE record: the series has one point per record (no interface fan-out)."""
+    return detect(cves, "cvss_score", "tenant_id", cve_series_order(), params)
+
+
 def scored_series(assets: DataFrame, interfaces: DataFrame, cves: DataFrame,
-                  params: AnomalyParams = AnomalyParams()) -> DataFrame:
-    """Joined active rows with the anomaly struct (literal series: one point per joined row)."""
-    return detect(join_active(assets, interfaces, cves), "cvss_score", "tenant_id", series_order(), params)
+                  params: AnomalyParams = AnomalyParams(), series: str = "joined") -> DataFrame:
+    """Joined active rows with the anomaly struct.
+
+    ``series="joined"`` (default, literal): one point per joined (interface, CVE) row.
+    ``series="cve"``: each CVE record is scored once before the join, so the
+    window stage sees the CVE table instead of its interface fan-out.
+    """
+    if series == "joined":
+        return detect(join_active(assets, interfaces, cves), "cvss_score", "tenant_id", series_order(), params)
+    if series == "cve":
+        scored = score_cves(cves, params)
+        n = interfaces.filter(F.col("is_active") == F.lit(True))
+        return join_entities(assets, n, scored, ["device_type"], ["interface_id", "ip_address"],
+                             ["cve_record_id", "cve_id", "cvss_score", "severity", "discovered_at", "anomaly"])
+    raise ValueError(f"unknown series {series!r}")
 
 
 def ml_scoring(assets: DataFrame, interfaces: DataFrame, cves: DataFrame,
-               params: AnomalyParams = AnomalyParams()) -> DataFrame:
-    return score(scored_series(assets, interfaces, cves, params))
+               params: AnomalyParams = AnomalyParams(), series: str = "joined") -> DataFrame:
+    return score(scored_series(assets, interfaces, cves, params, series))
 
 
 def with_key(df: DataFrame) -> DataFrame:
@@ -129,9 +150,9 @@ def last_hours(docs: DataFrame, now, hours: int = 24) -> DataFrame:
 
 
 def to_json_lines(docs: DataFrame) -> DataFrame:
-    """One JSON text per document with keys in sorted order (console form)."""
+    """One JSON text per document with keys in sorted order and every key present (console form)."""
     cols = sorted(c for c in docs.columns if c != "_id")
-    return docs.select("_id", F.to_json(F.struct(*cols)).alias("json"))
+    return docs.select("_id", F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("json"))
 
 
 def normalize_times(df: DataFrame, col: str = "event_time") -> DataFrame:

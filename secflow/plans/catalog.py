@@ -92,6 +92,15 @@ def q_anomaly_scores(spark, d):
                     a.upper.alias("upper"), a.rmse.alias("rmse"), a.is_anomaly.alias("is_anomaly"))
 
 
+@query("anomaly_scores_cve")
+def q_anomaly_scores_cve(spark, d):
+    c = fx.asset_cves(spark, d).select("tenant_id", "cve_record_id", "cvss_score", "discovered_at")
+    a = F.col("anomaly")
+    return findings.score_cves(c).select(
+        "tenant_id", "cve_record_id", "cvss_score", a.n.alias("n"), a.forecast.alias("forecast"),
+        a.lower.alias("lower"), a.upper.alias("upper"), a.rmse.alias("rmse"), a.is_anomaly.alias("is_anomaly"))
+
+
 @query("ml_scoring")
 def q_ml_scoring(spark, d):
     return _key_text(ml_findings(spark, d))

@@ -79,53 +79,6 @@ FROM assets a
 JOIN network_interfaces n ON a.tenant_id = n.tenant_id AND a.asset_id = n.asset_id
 JOIN asset_cves c ON a.tenant_id = c.tenant_id AND a.asset_id = c.asset_id
 WHERE n.is_active = TRUE""",
-    "series_prep": """
-SELECT j.*, CAST(ROUND(cvss_score * 10) AS BIGINT) AS y,
-       LAG(CAST(ROUND(cvss_score * 10) AS BIGINT)) OVER sw AS x
-FROM joined_active j
-WINDOW sw AS (PARTITION BY tenant_id ORDER BY (cvss_score IS NULL), date_trunc('millisecond', discovered_at),
-              cve_record_id, interface_id)""",
-    "series_cum": """
-SELECT p.*, SUM(CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN 1 ELSE 0 END) OVER cw AS c_n,
-       SUM(CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN x ELSE 0 END) OVER cw AS c_x,
-       SUM(CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN y ELSE 0 END) OVER cw AS c_y,
-       SUM(CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN x * x ELSE 0 END) OVER cw AS c_xx,
-       SUM(CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN x * y ELSE 0 END) OVER cw AS c_xy,
-       SUM(CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN y * y ELSE 0 END) OVER cw AS c_yy
-FROM series_prep p
-WINDOW cw AS (PARTITION BY tenant_id ORDER BY (cvss_score IS NULL), date_trunc('millisecond', discovered_at),
-              cve_record_id, interface_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
-    "series_win": """
-SELECT s.*,
-       LAG(c_n, 1, 0) OVER lw - LAG(c_n, 101, 0) OVER lw AS w_n,
-       LAG(c_x, 1, 0) OVER lw - LAG(c_x, 101, 0) OVER lw AS w_x,
-       LAG(c_y, 1, 0) OVER lw - LAG(c_y, 101, 0) OVER lw AS w_y,
-       LAG(c_xx, 1, 0) OVER lw - LAG(c_xx, 101, 0) OVER lw AS w_xx,
-       LAG(c_xy, 1, 0) OVER lw - LAG(c_xy, 101, 0) OVER lw AS w_xy,
-       LAG(c_yy, 1, 0) OVER lw - LAG(c_yy, 101, 0) OVER lw AS w_yy
-FROM series_cum s
-WINDOW lw AS (PARTITION BY tenant_id ORDER BY (cvss_score IS NULL), date_trunc('millisecond', discovered_at),
-              cve_record_id, interface_id)""",
-    "series_fit": """
-SELECT v.*,
-       (w_n >= 10 AND (w_n * w_xx - w_x * w_x) <> 0 AND y IS NOT NULL) AS fit,
-       CAST(w_n * w_xy - w_x * w_y AS DOUBLE) / CAST(w_n * w_xx - w_x * w_x AS DOUBLE) AS slope
-FROM series_win v""",
-    "series_model": """
-SELECT f.*,
-       (CAST(w_y AS DOUBLE) - slope * CAST(w_x AS DOUBLE)) / CAST(w_n AS DOUBLE)
-         + slope * CAST(x AS DOUBLE) AS fc_t,
-       GREATEST(CAST(w_n * w_yy - w_y * w_y AS DOUBLE) - slope * CAST(w_n * w_xy - w_x * w_y AS DOUBLE), 0.0) AS rss
-FROM series_fit f""",
-    "scored": """
-SELECT m.*,
-       CASE WHEN y IS NOT NULL THEN CAST(w_n AS INT) END AS a_n,
-       CASE WHEN fit THEN fc_t / 10.0 END AS a_forecast,
-       CASE WHEN fit THEN sqrt(rss) / CAST(w_n AS DOUBLE) / 10.0 END AS a_rmse,
-       CASE WHEN fit THEN abs(CAST(y AS DOUBLE) - fc_t) / 10.0
-                          > GREATEST(2.5758 * (sqrt(rss) / CAST(w_n AS DOUBLE) / 10.0), 1e-6) END AS is_anomaly,
-       GREATEST(2.5758 * (sqrt(rss) / CAST(w_n AS DOUBLE) / 10.0), 1e-6) AS a_band
-FROM series_model m""",
     "ml_findings": """
 SELECT CONCAT(tenant_id, '|', asset_id, '|', cve_id) AS key,
        tenant_id, asset_id, device_type, ip_address, cve_id, cvss_score, severity,
@@ -210,6 +163,58 @@ SELECT 'secflow.public.asset_cves', CONCAT_WS('|', tenant_id, CAST(cve_record_id
        epoch_us(discovered_at) // 1000 FROM asset_cves""",
 }
 
+
+
+def series_chain(prefix: str, source: str, order: str) -> dict[str, str]:
+    """SQL fragments of the anomaly model over ``source`` ordered by ``order`` within a tenant."""
+    win = f"PARTITION BY tenant_id ORDER BY (cvss_score IS NULL), {order}"
+    has = "x IS NOT NULL AND y IS NOT NULL"
+    sums = ",\n       ".join(f"SUM(CASE WHEN {has} THEN {e} ELSE 0 END) OVER cw AS c_{k}"
+                             for k, e in (("n", "1"), ("x", "x"), ("y", "y"), ("xx", "x * x"), ("xy", "x * y"),
+                                          ("yy", "y * y")))
+    lags = ",\n       ".join(f"LAG(c_{k}, 1, 0) OVER lw - LAG(c_{k}, 101, 0) OVER lw AS w_{k}"
+                             for k in ("n", "x", "y", "xx", "xy", "yy"))
+    band = "GREATEST(2.5758 * (sqrt(rss) / CAST(w_n AS DOUBLE) / 10.0), 1e-6)"
+    return {
+        f"{prefix}series_prep": f"""
+SELECT j.*, CAST(ROUND(cvss_score * 10) AS BIGINT) AS y,
+       LAG(CAST(ROUND(cvss_score * 10) AS BIGINT)) OVER sw AS x
+FROM {source} j
+WINDOW sw AS ({win})""",
+        f"{prefix}series_cum": f"""
+SELECT p.*, {sums}
+FROM {prefix}series_prep p
+WINDOW cw AS ({win} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+        f"{prefix}series_win": f"""
+SELECT s.*, {lags}
+FROM {prefix}series_cum s
+WINDOW lw AS ({win})""",
+        f"{prefix}series_fit": f"""
+SELECT v.*,
+       (w_n >= 10 AND (w_n * w_xx - w_x * w_x) <> 0 AND y IS NOT NULL) AS fit,
+       CAST(w_n * w_xy - w_x * w_y AS DOUBLE) / CAST(w_n * w_xx - w_x * w_x AS DOUBLE) AS slope
+FROM {prefix}series_win v""",
+        f"{prefix}series_model": f"""
+SELECT f.*,
+       (CAST(w_y AS DOUBLE) - slope * CAST(w_x AS DOUBLE)) / CAST(w_n AS DOUBLE)
+         + slope * CAST(x AS DOUBLE) AS fc_t,
+       GREATEST(CAST(w_n * w_yy - w_y * w_y AS DOUBLE) - slope * CAST(w_n * w_xy - w_x * w_y AS DOUBLE), 0.0) AS rss
+FROM {prefix}series_fit f""",
+        f"{prefix}scored": f"""
+SELECT m.*,
+       CASE WHEN y IS NOT NULL THEN CAST(w_n AS INT) END AS a_n,
+       CASE WHEN fit THEN fc_t / 10.0 END AS a_forecast,
+       CASE WHEN fit THEN sqrt(rss) / CAST(w_n AS DOUBLE) / 10.0 END AS a_rmse,
+       CASE WHEN fit THEN abs(CAST(y AS DOUBLE) - fc_t) / 10.0 > {band} END AS is_anomaly,
+       {band} AS a_band
+FROM {prefix}series_model m""",
+    }
+
+
+FRAGMENTS.update(series_chain("", "joined_active",
+                              "date_trunc('millisecond', discovered_at), cve_record_id, interface_id"))
+FRAGMENTS.update(series_chain("cve_", "asset_cves", "date_trunc('millisecond', discovered_at), cve_record_id"))
+
 _DEPENDS = {
     "joined_active": ["assets", "network_interfaces", "asset_cves"],
     "series_prep": ["joined_active"],
@@ -218,6 +223,12 @@ _DEPENDS = {
     "series_fit": ["series_win"],
     "series_model": ["series_fit"],
     "scored": ["series_model"],
+    "cve_series_prep": ["asset_cves"],
+    "cve_series_cum": ["cve_series_prep"],
+    "cve_series_win": ["cve_series_cum"],
+    "cve_series_fit": ["cve_series_win"],
+    "cve_series_model": ["cve_series_fit"],
+    "cve_scored": ["cve_series_model"],
     "ml_findings": ["scored"],
     "findings_latest": ["ml_findings"],
     "doc_prep": ["ml_findings"],

@@ -47,6 +47,11 @@ SELECT tenant_id, cve_record_id, interface_id, cvss_score, a_n AS n,
        a_forecast AS forecast, a_forecast - a_band AS lower, a_forecast + a_band AS upper,
        a_rmse AS rmse, is_anomaly
 FROM scored""")
+    q["anomaly_scores_cve"] = with_ctes(["cve_scored"], """
+SELECT tenant_id, cve_record_id, cvss_score, a_n AS n,
+       a_forecast AS forecast, a_forecast - a_band AS lower, a_forecast + a_band AS upper,
+       a_rmse AS rmse, is_anomaly
+FROM cve_scored""")
     q["ml_scoring"] = with_ctes(["ml_findings"], "SELECT * FROM ml_findings")
     q["running_cvss_range"] = with_ctes(["asset_cves"], """
 SELECT tenant_id, cve_record_id, cvss_score, discovered_at,
@@ -94,6 +99,10 @@ WHERE {TS} >= TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 604800000 MILLISECOND""
 SELECT * FROM finding_docs
 WHERE strptime(event_time, '%Y-%m-%dT%H:%M:%S.%fZ') BETWEEN TIMESTAMP '2024-01-29 12:00:00'
                                                        AND TIMESTAMP '2024-01-30 12:00:00'""")
+    cols = sorted(["anomaly_score", "asset_id", "cve_id", "cvss_score", "device_type", "event_time", "finding_type",
+                   "ip_address", "model_version", "predicted_risk", "severity", "tenant_id"])
+    q["findings_json"] = with_ctes(["finding_docs"], "SELECT _id, CAST(json_object(" +
+                                   ", ".join(f"'{c}', {c}" for c in cols) + ") AS VARCHAR) AS json FROM finding_docs")
     q["normalize_event_time"] = with_ctes(["asset_cves"], f"""
 SELECT cve_record_id, strftime(date_trunc('millisecond', discovered_at), {MS_TEXT}) AS event_time,
        strftime(date_trunc('millisecond', discovered_at), '%Y-%m-%dT%H:%M:%S.%fZ') AS normalized

@@ -216,6 +216,24 @@ def run_available(df: DataFrame, name: str, mode: str = "append", sink=None, que
     return q
 
 
+def bi_refresh_sink(path: str):
+    """``foreachBatch`` target for the periodic BI refresh: each complete-mode result is written
+    as a new version directory (batch id), readers take the newest complete version."""
+    from secflow.sinks.writers import write_full_rebuild
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        write_full_rebuild(rollups.bi_documents(batch), path, batch_id)
+    return sink
+
+
+def start_bi_refresh(findings_stream: DataFrame, path: str, every: str = "30 seconds", name: str = "bi_refresh"):
+    """Continuous BI refresh: complete-mode rollup on a processing-time trigger."""
+    spark = findings_stream.sparkSession
+    return (bi_rollup_stream(findings_stream).writeStream.outputMode("complete")
+            .option("checkpointLocation", checkpoint(spark, name))
+            .foreachBatch(bi_refresh_sink(path)).trigger(processingTime=every).start())
+
+
 def findings_upsert_stream(scored: DataFrame, log) -> None:
     """Score projection of streamed rows written through the idempotent upsert log."""
     run_available(findings.score(scored), "findings_upsert", "append", sink=log.write_batch)

@@ -78,3 +78,18 @@ def test_incident_and_threat_intel(spark):
                                  "cve_id string, threat_actor string, known_exploited boolean")
     r = enrich.threat_intel(rule, feed).collect()
     assert len(r) == 1 and r[0].threat_actor == "actor-a" and r[0].known_exploited and r[0].feed_entries == 2
+
+
+def test_cve_series_scores_each_record_once(spark):
+    a = assets_df(spark, [("t1", "a1", "server", "HIGH", False)])
+    n = interfaces_df(spark, [("t1", "i1", "a1", "10.0.0.1", True), ("t1", "i2", "a1", "10.0.0.2", True)])
+    vals = [5.0, 5.1, 5.2, 5.1, 5.0, 5.2, 5.1, 5.0, 5.2, 5.1, 5.0, 5.1, 9.9]
+    c = cves_df(spark, [("t1", i, "a1", f"CVE-2026-{10000 + i}", v, "MEDIUM", f"2026-08-27 10:{i:02d}:00")
+                        for i, v in enumerate(vals)])
+    per_cve = findings.ml_scoring(a, n, c, series="cve")
+    assert per_cve.count() == 2 * len(vals)
+    spike = per_cve.filter("cve_id = 'CVE-2026-10012'").collect()
+    assert len(spike) == 2 and all(r.anomaly_score == 0.99 and r.predicted_risk == "CRITICAL" for r in spike)
+    # literal series: each CVE appears twice, so the spike has 22 training pairs instead of 11
+    lit = findings.scored_series(a, n, c).filter("cve_id = 'CVE-2026-10012'").collect()
+    assert sorted(r.anomaly.n for r in lit) == [22, 23]

@@ -108,3 +108,17 @@ def test_stream_stream_join(spark):
     streams = [P.file_changes(spark, d, s, 1) for d, s in dirs]
     P.run_available(P.enrichment_stream(*streams), _uniq("join_test"), query_name="join_out")
     assert _memory(spark, "join_out").count() == findings.join_active(*ents).count()
+
+
+def test_bi_refresh_versions(spark):
+    from secflow.sinks.writers import read_latest_version
+    f = findings.ml_scoring(*[g(spark, SF) for g in (fx.assets, fx.network_interfaces, fx.asset_cves)])
+    f = f.withColumn("key", F.decode("key", "UTF-8"))
+    d, schema = _slices(f, ["event_time", "key", "ip_address"], 2, spark)
+    out = tempfile.mkdtemp(prefix="secflow-bi-")
+    P.run_available(P.bi_rollup_stream(P.file_changes(spark, d, schema, 1)), _uniq("bi_refresh"), "complete",
+                    sink=P.bi_refresh_sink(out))
+    latest = read_latest_version(spark, out)
+    want = rollups.bi_documents(rollups.bi_rollup(spark.read.parquet(d)))
+    assert sorted(map(tuple, latest.collect())) == sorted(map(tuple, want.collect()))
+    assert len(os.listdir(out)) == 2
