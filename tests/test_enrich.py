@@ -90,7 +90,7 @@ def test_cve_series_scores_each_record_once(spark):
     assert per_cve.count() == 2 * len(vals)
     spike = per_cve.filter("cve_id = 'CVE-2026-10012'").collect()
     assert len(spike) == 2 and all(r.anomaly_score == 0.99 and r.predicted_risk == "CRITICAL" for r in spike)
-    # literal series: each CVE appears twice, so the spike rows train on 23 and 24 pairs instead of 12
+    # literal series: each CVE appears twice, so the spike rows train on 23 and 24 pairs instead of 11
     lit = findings.scored_series(a, n, c).filter("cve_id = 'CVE-2026-10012'").collect()
     assert sorted(r.anomaly.n for r in lit) == [23, 24]
-    assert [r.anomaly.n for r in findings.score_cves(c).filter("cve_record_id = 12").collect()] == [12]
+    assert [r.anomaly.n for r in findings.score_cves(c).filter("cve_record_id = 12").collect()] == [11]
