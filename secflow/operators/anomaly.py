@@ -29,7 +29,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,34 +65,36 @@ class AnomalyParams:
         ))
 
 
-def global_positions(df: DataFrame, order: list[Column], num_partitions: int) -> DataFrame:
-    """Add ``_g``: the 0-based position of each row in the total order ``order``.
+def range_index(df: DataFrame, order: list[Column], num_partitions: int, name: str) -> DataFrame:
+    """Range-partition on ``order``, sort, tag rows with (``_pid``, ``_local``) and materialize.
 
-    Distributed zip-with-index: range partitioning + sort, then per-partition
-    offsets.  The range bounds come from sampling an input whose row order may
-    differ between evaluations (shuffle fetch order), so the indexed rows are
-    written once as a parquet table in the shared checkpoint folder; the offsets
-    and the rows then describe the same partitioning, and a lost executor
-    re-reads files instead of re-sampling.
+    The range bounds come from sampling (seeded per exchange instance), so the
+    tagged rows are written once as a parquet table in the shared checkpoint
+    folder; every later branch reads the same rows, and a lost executor
+    re-reads files instead of re-sampling.  ``order`` must be a total order.
     """
-    # The range exchange scans its input twice (bound sampling, then the shuffle):
-    # keep the input for the second scan instead of recomputing it.
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = src.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
-    indexed = ranged.select(
+    ranged = df.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
+    return materialize(ranged.select(
         "*",
         F.spark_partition_id().cast("bigint").alias("_pid"),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_local"),
-    )
-    indexed = materialize(indexed, "positions")
-    src.unpersist()
+    ), name)
+
+
+def global_positions(df: DataFrame, order: list[Column], num_partitions: int) -> DataFrame:
+    """Add ``_g``: the 0-based position of each row in the total order ``order``.
+
+    Distributed zip-with-index: position inside the range partition plus the
+    row count of earlier partitions, from a table with one row per partition
+    (broadcast; its size is bounded by ``num_partitions``).
+    """
+    indexed = range_index(df, order, num_partitions, "positions")
     counts = indexed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",
         (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow))
          - F.col("_n")).alias("_offset"),
     )
-    # One row per range partition: size bounded by num_partitions.
     return (indexed.join(F.broadcast(offsets), "_pid")
             .withColumn("_g", F.col("_offset") + F.col("_local"))
             .drop("_pid", "_local", "_offset"))
@@ -178,14 +179,7 @@ def global_prefix_count(df: DataFrame, order: list[Column], flag: Column, num_pa
     per-block totals of one partition) and earlier in the row's own block (a
     window over at most ``block_rows`` rows).
     """
-    src = df.withColumn("_f", flag.cast("long")).persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = src.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
-    indexed = materialize(ranged.select(
-        "*",
-        F.spark_partition_id().cast("bigint").alias("_pid"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_local"),
-    ), "prefix")
-    src.unpersist()
+    indexed = range_index(df.withColumn("_f", flag.cast("long")), order, num_partitions, "prefix")
     indexed = indexed.withColumn("_blk", F.floor(F.col("_local") / F.lit(block_rows)).cast("bigint"))
     earlier = Window.unboundedPreceding, -1
     per_part = indexed.groupBy("_pid").agg(F.sum("_f").alias("_pf")).select(
@@ -205,45 +199,50 @@ def running_stats(df: DataFrame, value: str, partition: str, order: str, tie_bre
     """Running count / avg / max of ``value`` per ``partition`` ordered by ``order``.
 
     Frame: RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW, so rows with equal
-    ``order`` values (peers) share one result.  Distributed form: global row
-    positions, per-block running aggregates (bounded rows per task), block
-    prefixes from a table with one row per block, and peer resolution by a
-    partially aggregated group-by.  Sums are exact on ``value * scale`` integers.
+    ``order`` values (peers) share one result.  Distributed form, every piece
+    bounded: rows are range-partitioned on the total order; a row's running
+    values combine (1) the key's rows in earlier range partitions (a table with
+    at most one row per partition and key, prefixed per key over <=
+    ``num_partitions`` rows), (2) earlier blocks of its own partition (prefixed
+    per partition and key), (3) earlier rows of its own block (<= ``block_rows``
+    rows).  Peers then take the values of their last row through a partially
+    aggregated group-by.  Sums are exact on ``value * scale`` integers.
     """
     spark = df.sparkSession
     if num_partitions is None:
         num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(partition), F.col(order)] + [F.col(c) for c in tie_breaks]
-    pos = global_positions(df, keys, num_partitions).withColumn(
-        "_blk", F.floor(F.col("_g") / F.lit(block_rows)).cast("bigint")).withColumn(
-        "_v", F.round(F.col(value) * F.lit(scale)).cast("bigint"))
-    w_in = Window.partitionBy(partition, "_blk").orderBy("_g").rowsBetween(Window.unboundedPreceding,
-                                                                          Window.currentRow)
-    rows = pos.select(
-        *df.columns, "_g", "_blk",
-        F.count("_v").over(w_in).alias("_cnt"),
-        F.sum("_v").over(w_in).alias("_sum"),
-        F.max("_v").over(w_in).alias("_max"),
-    )
-    per_block = pos.groupBy(partition, "_blk").agg(
-        F.count("_v").alias("_bc"), F.sum("_v").alias("_bs"), F.max("_v").alias("_bm"))
-    w_blk = Window.partitionBy(partition).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    before = per_block.select(
-        partition, "_blk",
-        F.coalesce(F.sum("_bc").over(w_blk), F.lit(0)).alias("_pc"),
-        F.coalesce(F.sum("_bs").over(w_blk), F.lit(0)).alias("_ps"),
-        F.max("_bm").over(w_blk).alias("_pm"),
-    )
-    cum = rows.join(before, [partition, "_blk"]).select(
-        *df.columns, "_g",
-        (F.col("_pc") + F.col("_cnt")).alias("_cc"),
-        (F.col("_ps") + F.coalesce(F.col("_sum"), F.lit(0))).alias("_cs"),
-        F.greatest(F.col("_pm"), F.col("_max")).alias("_cm"),
-    )
+    idx = range_index(df.withColumn("_v", F.round(F.col(value) * F.lit(scale)).cast("bigint")), keys,
+                      num_partitions, "running")
+    idx = idx.withColumn("_blk", F.floor(F.col("_local") / F.lit(block_rows)).cast("bigint"))
+    earlier = Window.unboundedPreceding, -1
+
+    def totals(cols):
+        return idx.groupBy(*cols).agg(F.count("_v").alias("_c"), F.sum("_v").alias("_s"), F.max("_v").alias("_m"))
+
+    def prefixed(t, part, order_col, tag):
+        w = Window.partitionBy(*part).orderBy(order_col).rowsBetween(*earlier)
+        return t.select(*part, order_col,
+                        F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_c" + tag),
+                        F.coalesce(F.sum("_s").over(w), F.lit(0)).alias("_s" + tag),
+                        F.max("_m").over(w).alias("_m" + tag))
+
+    by_part = prefixed(totals([partition, "_pid"]), [partition], "_pid", "1")
+    by_blk = prefixed(totals([partition, "_pid", "_blk"]), [partition, "_pid"], "_blk", "2")
+    w_in = Window.partitionBy(partition, "_pid", "_blk").orderBy("_local").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    rows = idx.join(by_blk, [partition, "_pid", "_blk"]).join(by_part, [partition, "_pid"]).select(
+        *df.columns, "_pid", "_local", "_c1", "_s1", "_m1", "_c2", "_s2", "_m2",
+        F.count("_v").over(w_in).alias("_c3"), F.coalesce(F.sum("_v").over(w_in), F.lit(0)).alias("_s3"),
+        F.max("_v").over(w_in).alias("_m3"))
+    cum = rows.select(
+        *df.columns, F.struct("_pid", "_local").alias("_pos"),
+        (F.col("_c1") + F.col("_c2") + F.col("_c3")).alias("_cc"),
+        (F.col("_s1") + F.col("_s2") + F.col("_s3")).alias("_cs"),
+        F.greatest("_m1", "_m2", "_m3").alias("_cm"))
     # Peers: every row takes the running values of the last row with its (partition, order) value.
-    peers = cum.groupBy(partition, order).agg(
-        F.max_by(F.struct("_cc", "_cs", "_cm"), F.col("_g")).alias("_last"))
-    out = cum.drop("_cc", "_cs", "_cm", "_g").join(peers, [partition, order])
+    peers = cum.groupBy(partition, order).agg(F.max_by(F.struct("_cc", "_cs", "_cm"), F.col("_pos")).alias("_last"))
+    out = cum.drop("_cc", "_cs", "_cm", "_pos").join(peers, [partition, order])
     c, s_ = F.col("_last._cc"), F.col("_last._cs")
     return out.select(
         *df.columns,
