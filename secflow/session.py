@@ -9,6 +9,7 @@ read, never overridden; only local runs (tests, bench) get a scratch folder.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -65,6 +66,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
+_MATERIALIZED: list[tuple[SparkSession, str]] = []
+
+
 def materialize(df, name: str):
     """Write ``df`` as a parquet table under the shared checkpoint folder and read it back.
 
@@ -76,4 +80,31 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    _MATERIALIZED.append((spark, path))
     return spark.read.parquet(path)
+
+
+def release_materialized(spark: SparkSession | None = None) -> int:
+    """Delete the tables this process materialized (optionally only for ``spark``).
+
+    Call when the DataFrames built on them are no longer needed.  Only paths
+    recorded by ``materialize`` are removed, through the Hadoop FileSystem API
+    so it works on the cluster's shared storage.
+    """
+    keep, removed = [], 0
+    for sess, path in _MATERIALIZED:
+        if spark is not None and sess is not spark:
+            keep.append((sess, path))
+            continue
+        try:
+            jvm = sess.sparkContext._jvm
+            hpath = jvm.org.apache.hadoop.fs.Path(path)
+            fs = hpath.getFileSystem(sess.sparkContext._jsc.hadoopConfiguration())
+            removed += int(bool(fs.delete(hpath, True)))
+        except Exception:  # noqa: BLE001 - best effort (session already stopped)
+            pass
+    _MATERIALIZED[:] = keep
+    return removed
+
+
+atexit.register(release_materialized)

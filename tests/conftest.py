@@ -11,4 +11,6 @@ def spark():
     from secflow.session import build_session
     s = build_session("local[4]", shuffle_partitions=8, app_name="secflow-tests")
     yield s
+    from secflow.session import release_materialized
+    release_materialized(s)
     s.stop()
