@@ -8,6 +8,7 @@ Checkpoints go under the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import io
 import json
 
 import numpy as np
@@ -95,7 +96,9 @@ ANOMALY_OUT = T.StructType([
     T.StructField("forecast", T.DoubleType()),
     T.StructField("is_anomaly", T.BooleanType()),
 ])
-ANOMALY_STATE = T.StructType([T.StructField("history", T.StringType())])
+ANOMALY_STATE = T.StructType([T.StructField("history", T.StringType()),
+                              T.StructField("pending", T.StringType())])
+_PENDING_COLS = ["tenant_id", "cve_record_id", "interface_id", "discovered_at", "cvss_score"]
 
 
 def score_points(history: list[int], ys: list[int | None], p: AnomalyParams):
@@ -135,35 +138,71 @@ def score_points(history: list[int], ys: list[int | None], p: AnomalyParams):
     return out, hist
 
 
-def anomaly_stream(joined: DataFrame, params: AnomalyParams = AnomalyParams()) -> DataFrame:
-    """Online scoring of the joined series with per-tenant state (last max+1 values).
+def anomaly_stream(joined: DataFrame, params: AnomalyParams = AnomalyParams(),
+                   watermark: str | None = None) -> DataFrame:
+    """Online scoring of the joined series with per-tenant state.
 
-    Rows of a micro-batch are scored in (time, record, interface) order after the
-    tenant's history; the state keeps only the last ``max_training_size + 1``
-    values, so state per tenant is constant.  Input should arrive in time order
-    (e.g. files per time slice) for results equal to the batch operator.
+    State per tenant: the last ``max_training_size + 1`` series values, plus the
+    rows still waiting for the watermark.  Without ``watermark`` every
+    micro-batch is scored at once after the tenant's history (input must then
+    arrive in time order).  With ``watermark`` (e.g. ``"10 minutes"``) rows wait
+    until the event-time watermark passes them and are then scored in series
+    order, so arrival order within the allowed lateness does not matter; an
+    event-time timeout scores waiting rows when no new data arrives.
     """
-    def fn(key, pdfs, state):
-        hist = json.loads(state.get[0]) if state.exists else []
-        pdf = pd.concat(list(pdfs), ignore_index=True)
+    use_wm = watermark is not None
+
+    def order(pdf):
+        pdf = pdf.copy()
         pdf["_null"] = pdf["cvss_score"].isna()
         pdf["_ms"] = pd.to_datetime(pdf["discovered_at"]).dt.floor("ms")
-        pdf = pdf.sort_values(["_null", "_ms", "cve_record_id", "interface_id"], kind="mergesort")
-        ys = [None if pd.isna(v) else int(round(v * params.scale)) for v in pdf["cvss_score"]]
+        return pdf.sort_values(["_null", "_ms", "cve_record_id", "interface_id"], kind="mergesort")
+
+    def fn(key, pdfs, state):
+        if state.exists:
+            hist = json.loads(state.get[0])
+            pending = pd.read_json(io.StringIO(state.get[1]), orient="records", dtype=False,
+                                   convert_dates=False) if state.get[1] else None
+        else:
+            hist, pending = [], None
+        frames = [p for p in pdfs if len(p)]
+        if pending is not None and len(pending):
+            pending["discovered_at"] = pd.to_datetime(pending["discovered_at"], unit="us")
+            frames.insert(0, pending)
+        pdf = pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=_PENDING_COLS)
+        pdf = pdf[_PENDING_COLS]
+        if use_wm:
+            wm = state.getCurrentWatermarkMs()
+            ts_ms = pd.to_datetime(pdf["discovered_at"]).astype("int64") // 1_000_000
+            ready, wait = pdf[ts_ms <= wm], pdf[ts_ms > wm]
+        else:
+            ready, wait = pdf, pdf.iloc[0:0]
+        ready = order(ready)
+        ys = [None if pd.isna(v) else int(round(v * params.scale)) for v in ready["cvss_score"]]
         scored, hist = score_points(hist, ys, params)
-        state.update((json.dumps(hist),))
+        if len(wait):
+            w = wait.copy()
+            w["discovered_at"] = pd.to_datetime(w["discovered_at"]).astype("int64") // 1000
+            state.update((json.dumps(hist), w.to_json(orient="records")))
+            state.setTimeoutTimestamp(int(w["discovered_at"].min() // 1000) + 1)
+        else:
+            state.update((json.dumps(hist), ""))
         yield pd.DataFrame({
-            "tenant_id": pdf["tenant_id"].values, "cve_record_id": pdf["cve_record_id"].values,
-            "interface_id": pdf["interface_id"].values, "discovered_at": pdf["discovered_at"].values,
-            "cvss_score": pdf["cvss_score"].values,
+            "tenant_id": ready["tenant_id"].values, "cve_record_id": ready["cve_record_id"].values,
+            "interface_id": ready["interface_id"].values, "discovered_at": ready["discovered_at"].values,
+            "cvss_score": ready["cvss_score"].values,
             "n": pd.array([s[0] for s in scored], dtype="Int32"),
             "forecast": [s[1] for s in scored],
             "is_anomaly": pd.array([s[2] for s in scored], dtype="boolean"),
         })
 
-    cols = ["tenant_id", "cve_record_id", "interface_id", F.col("discovered_at").cast("timestamp"), "cvss_score"]
-    return joined.select(*cols).groupBy("tenant_id").applyInPandasWithState(
-        fn, ANOMALY_OUT, ANOMALY_STATE, "append", GroupStateTimeout.NoTimeout)
+    src = joined.select("tenant_id", "cve_record_id", "interface_id",
+                        F.col("discovered_at").cast("timestamp").alias("discovered_at"), "cvss_score")
+    timeout = GroupStateTimeout.NoTimeout
+    if use_wm:
+        src = src.withWatermark("discovered_at", watermark)
+        timeout = GroupStateTimeout.EventTimeTimeout
+    return src.groupBy("tenant_id").applyInPandasWithState(fn, ANOMALY_OUT, ANOMALY_STATE, "append", timeout)
 
 
 # --- burst pattern (stateful, per asset) ---------------------------------------------------

@@ -122,3 +122,21 @@ def test_bi_refresh_versions(spark):
     want = rollups.bi_documents(rollups.bi_rollup(spark.read.parquet(d)))
     assert sorted(map(tuple, latest.collect())) == sorted(map(tuple, want.collect()))
     assert len(os.listdir(out)) == 2
+
+
+def test_anomaly_stream_with_watermark_reorders_late_rows(spark):
+    joined = findings.join_active(*[f(spark, SF) for f in (fx.assets, fx.network_interfaces, fx.asset_cves)]) \
+        .withColumn("discovered_at", F.col("discovered_at").cast("timestamp"))
+    d, schema = _slices(joined, ["discovered_at", "cve_record_id", "interface_id"], 4, spark)
+    # swap the first two files' arrival order: the second slice arrives before the first
+    names = sorted(os.listdir(d))
+    os.utime(os.path.join(d, names[0]), (1_000_001, 1_000_001))
+    os.utime(os.path.join(d, names[1]), (1_000_000, 1_000_000))
+    name = "anomaly_wm_out_" + uuid.uuid4().hex
+    P.run_available(P.anomaly_stream(P.file_changes(spark, d, schema, 1), watermark="16 days"),
+                    _uniq("anomaly_wm"), query_name=name)
+    got = {(r.cve_record_id, r.interface_id): r.is_anomaly for r in _memory(spark, name).collect()}
+    batch = detect(spark.read.parquet(d), "cvss_score", "tenant_id", findings.series_order())
+    want = {(r.cve_record_id, r.interface_id): r.anomaly.is_anomaly for r in batch.collect()}
+    assert len(got) > 1000 and sum(1 for v in got.values() if v) > 0
+    assert all(want[k] == v for k, v in got.items())
