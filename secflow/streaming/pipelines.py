@@ -52,13 +52,36 @@ def checkpoint(spark: SparkSession, name: str) -> str:
 
 # --- stateless / aggregate streams --------------------------------------------------------
 
-def enrichment_stream(assets: DataFrame, interfaces: DataFrame, cves: DataFrame) -> DataFrame:
-    """Unbounded stream-stream inner joins of the three entity views (append mode).
-
-    Every row version joins (no retraction), like the modelled views.  State is
-    unbounded unless the inputs carry watermarks and a time bound is added.
+def enrichment_stream(assets: DataFrame, interfaces: DataFrame, cves: DataFrame,
+                      time_col: str | None = None, watermark: str | None = None,
+                      bound: str | None = None) -> DataFrame:
+    """Stream-stream inner joins of the three entity views (append mode).
+
+    Default: unbounded, like the modelled views: every row version joins (no
+    retraction) and join state is kept forever.  With ``time_col`` (each view's
+    change time), ``watermark`` and ``bound`` the interface and CVE versions must
+    lie within ``bound`` of the asset version; Spark can then evict join state
+    older than watermark minus bound, so state stays proportional to the
+    change rate instead of the history.
     """
-    return enrich.join_active(assets, interfaces, cves)
+    if time_col is None:
+        return enrich.join_active(assets, interfaces, cves)
+    keys = ["tenant_id", "asset_id"]
+    a = assets.withWatermark(time_col, watermark).select(
+        *keys, "device_type", F.col(time_col).alias("_ta"))
+    n = interfaces.filter(F.col("is_active") == F.lit(True)).withWatermark(time_col, watermark).select(
+        F.col("tenant_id").alias("_nt"), F.col("asset_id").alias("_na"), "interface_id", "ip_address",
+        F.col(time_col).alias("_tn"))
+    c = cves.withWatermark(time_col, watermark).select(
+        F.col("tenant_id").alias("_ct"), F.col("asset_id").alias("_ca"), "cve_record_id", "cve_id", "cvss_score",
+        "severity", "discovered_at", F.col(time_col).alias("_tc"))
+    span = F.expr(f"INTERVAL {bound}")
+    an = a.join(n, (a.tenant_id == n._nt) & (a.asset_id == n._na)
+                & n._tn.between(a._ta - span, a._ta + span))
+    anc = an.join(c, (an.tenant_id == c._ct) & (an.asset_id == c._ca)
+                  & c._tc.between(an._ta - span, an._ta + span))
+    return anc.select(*keys, "device_type", "interface_id", "ip_address", "cve_record_id", "cve_id",
+                      "cvss_score", "severity", "discovered_at")
 
 
 def tenant_aggs_stream(cves: DataFrame) -> DataFrame:

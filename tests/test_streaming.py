@@ -140,3 +140,29 @@ def test_anomaly_stream_with_watermark_reorders_late_rows(spark):
     want = {(r.cve_record_id, r.interface_id): r.anomaly.is_anomaly for r in batch.collect()}
     assert len(got) > 1000 and sum(1 for v in got.values() if v) > 0
     assert all(want[k] == v for k, v in got.items())
+
+
+def test_time_bounded_stream_join(spark):
+    from datetime import datetime, timedelta
+    t0 = datetime(2026, 1, 1)
+    a_rows = [("t", "a1", "server", t0), ("t", "a2", "router", t0 + timedelta(days=10))]
+    n_rows = [("t", "i1", "a1", "10.0.0.1", True, t0 + timedelta(hours=2)),
+              ("t", "i2", "a2", "10.0.0.2", True, t0)]                 # 10 days before its asset: out of bound
+    c_rows = [("t", 1, "a1", "CVE-1", 9.8, "CRITICAL", t0, t0 + timedelta(hours=1)),
+              ("t", 2, "a2", "CVE-2", 5.0, "MEDIUM", t0, t0 + timedelta(days=10))]
+    dirs = []
+    for rows, schema in ((a_rows, "tenant_id string, asset_id string, device_type string, change_time timestamp"),
+                         (n_rows, "tenant_id string, interface_id string, asset_id string, ip_address string, "
+                                  "is_active boolean, change_time timestamp"),
+                         (c_rows, "tenant_id string, cve_record_id int, asset_id string, cve_id string, "
+                                  "cvss_score double, severity string, discovered_at timestamp, "
+                                  "change_time timestamp")):
+        d = tempfile.mkdtemp(prefix="secflow-join-")
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(d)
+        dirs.append((d, spark.read.parquet(d).schema))
+    streams = [P.file_changes(spark, d, s) for d, s in dirs]
+    name = "bounded_join_" + uuid.uuid4().hex
+    P.run_available(P.enrichment_stream(*streams, time_col="change_time", watermark="1 hour", bound="1 day"),
+                    _uniq("bounded_join"), query_name=name)
+    got = [(r.asset_id, r.interface_id, r.cve_id) for r in _memory(spark, name).collect()]
+    assert got == [("a1", "i1", "CVE-1")]
