@@ -19,8 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from secflow import schemas as S
-from secflow.functions import keys as K
-from secflow.operators import cdc, enrich, findings, rollups
+from secflow.operators import enrich, findings, rollups
 from secflow.operators.anomaly import AnomalyParams
 from secflow.session import scratch_path
 
@@ -34,6 +33,16 @@ def file_changes(spark: SparkSession, path: str, schema: T.StructType, max_files
     return reader.parquet(path)
 
 
+def kafka_records(spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None) -> DataFrame:
+    """Raw records of a bus topic from the earliest offset (key, value, topic, partition, offset,
+    timestamp); framed protobuf findings go on to ``decode.decode_findings``."""
+    reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+              .option("subscribe", topic).option("startingOffsets", "earliest"))
+    if max_offsets:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
+    return reader.load()
+
+
 def kafka_changes(spark: SparkSession, servers: str, topic: str, value_schema: T.StructType,
                   max_offsets: int | None = None) -> DataFrame:
     """Change topic from the message bus, from the earliest offset; JSON values decoded with
@@ -300,10 +309,3 @@ def findings_upsert_stream(scored: DataFrame, log) -> None:
     """Score projection of streamed rows written through the idempotent upsert log."""
     run_available(findings.score(scored), "findings_upsert", "append", sink=log.write_batch)
 
-
-def cdc_views(changes: DataFrame) -> DataFrame:
-    return cdc.current_rows(changes)
-
-
-def event_ts(df: DataFrame) -> DataFrame:
-    return df.withColumn("event_timestamp", K.parse_event_time(F.col("event_time")))
