@@ -14,7 +14,6 @@
 
 from __future__ import annotations
 
-import glob
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,11 +38,11 @@ class UpsertLog:
         latest = latest_by(log, self.keys, ["batch_id"] + self.order)
         return latest.select(*cols)
 
-    def compact(self, spark: SparkSession, batch_id: int) -> None:
-        """Fold the whole log into one batch directory (the latest id), dropping older versions."""
-        snap = self.current(spark)
-        tmp = os.path.join(self.path + "_compacted", f"batch_id={batch_id}")
-        snap.write.mode("overwrite").parquet(tmp)
+    def compact(self, spark: SparkSession, batch_id: int, new_path: str) -> "UpsertLog":
+        """Fold the log into a new log at ``new_path`` holding one snapshot as ``batch_id``;
+        writers continue on the returned log with ids above ``batch_id``."""
+        self.current(spark).write.mode("overwrite").parquet(os.path.join(new_path, f"batch_id={batch_id}"))
+        return UpsertLog(new_path, self.keys, self.order)
 
 
 def write_full_rebuild(df: DataFrame, path: str, version: int) -> str:
@@ -53,11 +52,26 @@ def write_full_rebuild(df: DataFrame, path: str, version: int) -> str:
     return out
 
 
+def _hadoop_fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
+
+
 def read_latest_version(spark: SparkSession, path: str) -> DataFrame:
-    done = sorted(d for d in glob.glob(os.path.join(path, "v=*")) if os.path.exists(os.path.join(d, "_SUCCESS")))
+    """Newest version directory that has a ``_SUCCESS`` marker (listing through the Hadoop
+    FileSystem API, so it works on the cluster's shared storage)."""
+    fs, root, jvm = _hadoop_fs(spark, path)
+    done = []
+    if fs.exists(root):
+        for st in fs.listStatus(root):
+            p = st.getPath()
+            if st.isDirectory() and p.getName().startswith("v=") and \
+                    fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
+                done.append(p.toString())
     if not done:
         raise FileNotFoundError(f"no complete version under {path}")
-    return spark.read.parquet(done[-1])
+    return spark.read.parquet(sorted(done)[-1])
 
 
 def with_doc_id_column(df: DataFrame, id_col: str = "_id") -> DataFrame:

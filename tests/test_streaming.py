@@ -81,6 +81,8 @@ def test_latest_state_stream_through_upsert_log(spark):
     before = log.current(spark).count()
     log.write_batch(spark.read.parquet(os.path.join(log.path, "batch_id=0")), 0)
     assert log.current(spark).count() == before
+    compacted = log.compact(spark, 99, tempfile.mkdtemp(prefix="secflow-log2-"))
+    assert sorted(map(tuple, compacted.current(spark).collect())) == sorted(map(tuple, log.current(spark).collect()))
 
 
 def test_bi_and_tenant_streams_equal_batch(spark):
