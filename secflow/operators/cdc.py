@@ -75,6 +75,21 @@ def deleted_keys(changes: DataFrame, order: tuple[str, ...] = ("ts_ms", "seq"))
                                                   *[F.col("_v." + c).alias(c) for c in ordered])
 
 
+def apply_changes(snapshot: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+    """Current table = snapshot with each key's newest change applied.
+
+    Deleted keys disappear; for live keys the columns carried by the change
+    image replace the snapshot's, the other columns keep their snapshot value.
+    Two aggregations/joins on the key, no window over a key's history.
+    """
+    latest = latest_state(changes)
+    changed = [f for f in _fields(changes, "after") if f not in keys and f in snapshot.columns]
+    live = latest.select(*keys, *[F.col(c).alias("_new_" + c) for c in changed], F.lit(True).alias("_hit"))
+    cur = snapshot.join(deleted_keys(changes).select(*keys), keys, "left_anti").join(live, keys, "left")
+    return cur.select(*[F.when(F.col("_hit"), F.col("_new_" + c)).otherwise(F.col(c)).alias(c) if c in changed
+                        else F.col(c) for c in snapshot.columns])
+
+
 def capture_types(cves: DataFrame) -> DataFrame:
     """Types as captured: DECIMAL(3,1) score delivered as DOUBLE, timestamps at millisecond precision."""
     return cves.select(

@@ -73,6 +73,13 @@ def q_detection_rule(spark, d):
     return enrich.detection_rule(*_entities(spark, d), as_of=AS_OF)
 
 
+@query("detection_rule_current")
+def q_detection_rule_current(spark, d):
+    a, n, c = _entities(spark, d)
+    current = cdc.apply_changes(a, fx.assets_cdc(spark, d), ["tenant_id", "asset_id"])
+    return enrich.detection_rule(current, n, c, as_of=AS_OF)
+
+
 @query("enrichment")
 def q_enrichment(spark, d):
     return enrich.enrichment(*_entities(spark, d), as_of=AS_OF)

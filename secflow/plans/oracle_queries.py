@@ -27,6 +27,19 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
 
     q["detection_rule"] = with_ctes(["rule_rows"], "SELECT * FROM rule_rows")
+    q["detection_rule_current"] = with_ctes(ENT + ["cdc_latest"], f"""
+SELECT a.tenant_id, a.asset_id, a.device_type, n.ip_address, c.cve_id, c.cvss_score, c.severity,
+       CAST(0.94 AS DOUBLE) AS anomaly_score, 'VULNERABLE_ACTIVE_DEVICE' AS finding_type,
+       'CRITICAL' AS predicted_risk, 'demo-ml-v1' AS model_version,
+       strftime(TIMESTAMP '2024-02-01 00:00:00', {MS_TEXT}) AS event_time
+FROM (SELECT a.tenant_id, a.asset_id, a.device_type,
+             CASE WHEN l.key_asset_id IS NOT NULL THEN l.risk_level ELSE a.risk_level END AS risk_level
+      FROM assets a
+      LEFT JOIN cdc_latest l ON l.key_tenant_id = a.tenant_id AND l.key_asset_id = a.asset_id
+      WHERE l.op IS NULL OR l.op <> 'd') a
+JOIN network_interfaces n ON a.tenant_id = n.tenant_id AND a.asset_id = n.asset_id
+JOIN asset_cves c ON a.tenant_id = c.tenant_id AND a.asset_id = c.asset_id
+WHERE a.risk_level = 'HIGH' AND n.is_active = TRUE AND c.cvss_score >= 9.0 AND c.severity = 'CRITICAL'""")
     q["enrichment"] = with_ctes(ENT, f"""
 SELECT a.tenant_id, a.asset_id, a.device_type, n.ip_address, c.cve_id, c.cvss_score, c.severity,
        CAST(CASE WHEN c.cvss_score >= 9.0 THEN 0.94 WHEN c.cvss_score >= 7.0 THEN 0.82 ELSE 0.31 END AS DOUBLE)

@@ -104,3 +104,14 @@ def test_top_n_ties_by_key(spark):
     rows = [(s,) for s in ["A", "B", "C", "D", "E", "F", "G"] for _ in range(3)]
     df = spark.createDataFrame(rows, "severity string")
     assert [r.severity for r in rollups.top_n(df, "severity", 5).collect()] == ["A", "B", "C", "D", "E"]
+
+
+def test_apply_changes_to_snapshot(spark):
+    snap = spark.createDataFrame([("t", "1", "server", "LOW"), ("t", "2", "router", "LOW"),
+                                  ("t", "3", "switch", "MEDIUM")],
+                                 "tenant_id string, asset_id string, device_type string, risk_level string")
+    ch = _changes(spark, [("t", "1", "u", 5, 1, "HIGH", True), ("t", "1", "u", 3, 2, "MEDIUM", True),
+                          ("t", "2", "d", 4, 3, None, False)])
+    cur = {r.asset_id: (r.device_type, r.risk_level)
+           for r in cdc.apply_changes(snap, ch, ["tenant_id", "asset_id"]).collect()}
+    assert cur == {"1": ("server", "HIGH"), "3": ("switch", "MEDIUM")}
