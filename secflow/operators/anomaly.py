@@ -148,13 +148,14 @@ def detect(df: DataFrame, value: str, partition: str, order: list[Column],
     sxy = n * F.col("_w_xy") - sx * sy
     syy = n * F.col("_w_yy") - sy * sy
     fit = (n >= params.min_training_size) & (sxx != 0) & F.col("_y").isNotNull()
-    slope = sxy.cast("double") / sxx.cast("double")
-    intercept = (sy.cast("double") - slope * sx.cast("double")) / n.cast("double")
+    # try_divide: NULL instead of an ANSI error where a row has no fit (its value is discarded anyway).
+    slope = F.try_divide(sxy.cast("double"), sxx.cast("double"))
+    intercept = F.try_divide(sy.cast("double") - slope * sx.cast("double"), n.cast("double"))
     forecast_t = intercept + slope * F.col("_x").cast("double")
     rss = F.greatest(syy.cast("double") - slope * sxy.cast("double"), F.lit(0.0))
     scale = F.lit(float(params.scale))
     stage = stage.withColumn("_fc", F.when(fit, forecast_t / scale)).withColumn(
-        "_rmse", F.when(fit, F.sqrt(rss) / n.cast("double") / scale))
+        "_rmse", F.when(fit, F.try_divide(F.sqrt(rss), n.cast("double")) / scale))
     band = F.greatest(F.lit(params.z) * F.col("_rmse"), F.lit(params.floor))
     resid = F.abs(F.col("_y").cast("double") - forecast_t) / scale
     result = F.struct(

@@ -26,7 +26,7 @@ def scaled_avg(col: str | Column, scale: int) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     total = F.sum(F.round(c * F.lit(scale)).cast("bigint"))
     n = F.count(c)
-    return F.when(n > 0, total.cast("double") / n.cast("double") / F.lit(float(scale)))
+    return F.when(n > 0, F.try_divide(total.cast("double"), n.cast("double")) / F.lit(float(scale)))
 
 
 def avg_cvss(col: str = "cvss_score") -> Column:
