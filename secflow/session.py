@@ -66,6 +66,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``secflow`` importable in Python workers (``addPyFile`` of the package as a zip).
+
+    Needed by the stages that run Python inside tasks (wire decode, streaming
+    state functions); done once per application.  With the package installed on
+    the executors this is redundant but harmless.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import zipfile
+
+    import secflow
+    root = os.path.dirname(os.path.abspath(secflow.__file__))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="secflow-pkg-"), "secflow.zip")
+    with zipfile.ZipFile(zpath, "w") as z:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
+
+
 _MATERIALIZED: list[tuple[SparkSession, str]] = []
 
 

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from secflow.session import ship_package
+
 # Field names and numbers of the finding message (proto3).
 FINDING_FIELDS = [
     ("tenant_id", 1, "string"), ("asset_id", 2, "string"), ("device_type", 3, "string"),
@@ -116,6 +118,7 @@ def _decode_batches(batches):
 
 def decode_findings(records: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """(decoded, rejects) from a frame with a binary ``value`` column; tombstones are dropped."""
+    ship_package(records.sparkSession)
     v = F.col(value_col)
     live = records.filter(v.isNotNull() & (F.length(v) > 0)).select(v.alias("value"))
     decoded = live.mapInPandas(_decode_batches, DECODED)
@@ -140,6 +143,7 @@ def _encode_batches(batches, schema_id: int):
 
 def encode_findings(findings_df: DataFrame, schema_id: int = 1) -> DataFrame:
     """Finding rows -> framed protobuf values (the producer side, for replays and tests)."""
+    ship_package(findings_df.sparkSession)
     names = [n for n, _, _ in FINDING_FIELDS]
     return findings_df.select(*names).mapInPandas(lambda it: _encode_batches(it, schema_id),
                                                   "value binary")

@@ -21,7 +21,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from secflow import schemas as S
 from secflow.operators import enrich, findings, rollups
 from secflow.operators.anomaly import AnomalyParams
-from secflow.session import scratch_path
+from secflow.session import scratch_path, ship_package
 
 
 # --- sources ----------------------------------------------------------------------------
@@ -228,6 +228,7 @@ def anomaly_stream(joined: DataFrame, params: AnomalyParams = AnomalyParams(),
             "is_anomaly": pd.array([s[2] for s in scored], dtype="boolean"),
         })
 
+    ship_package(joined.sparkSession)
     src = joined.select("tenant_id", "cve_record_id", "interface_id",
                         F.col("discovered_at").cast("timestamp").alias("discovered_at"), "cvss_score")
     timeout = GroupStateTimeout.NoTimeout
@@ -267,6 +268,7 @@ def burst_stream(events: DataFrame, window_ms: int, min_events: int) -> DataFram
         hit = pdf[pdf["events_in_window"] >= min_events]
         yield hit[["tenant_id", "asset_id", "activity_id", "activity_time", "events_in_window"]]
 
+    ship_package(events.sparkSession)
     return events.select("tenant_id", "asset_id", "activity_id", F.col("activity_time").cast("timestamp")) \
         .groupBy("tenant_id", "asset_id").applyInPandasWithState(
             fn, BURST_OUT, BURST_STATE, "append", GroupStateTimeout.NoTimeout)
