@@ -51,15 +51,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster names its shared folder in ``spark.checkpoint.dir``; we read it
     from the session.  Local runs without the setting get a fresh scratch folder.
     """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    path = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None) \
+        or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="secflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
     return path
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A location under the shared checkpoint folder (for stream checkpoints, staged tables)."""
     base = ensure_checkpoint_dir(spark)
@@ -76,8 +86,9 @@ def ship_package(spark: SparkSession) -> None:
     state functions); done once per application.  With the package installed on
     the executors this is redundant but harmless.
     """
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
+    sc = _context(spark)
+    key = sc.applicationId if sc is not None else f"connect-{id(spark)}"
+    if key in _SHIPPED:
         return
     import zipfile
 
@@ -90,8 +101,11 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
-    sc.addPyFile(zpath)
-    _SHIPPED.add(sc.applicationId)
+    if sc is not None:
+        sc.addPyFile(zpath)
+    else:
+        spark.addArtifacts(zpath, pyfile=True)
+    _SHIPPED.add(key)
 
 
 _MATERIALIZED: list[tuple[SparkSession, str]] = []
