@@ -85,3 +85,34 @@ def test_pk_and_defaults(spark):
     assert (r.rows, r.distinct_keys, r.duplicate_keys) == (2, 1, 1)
     d = contracts.apply_defaults(a, {"risk_level": "LOW", "is_quarantined": False}).collect()
     assert {(x.risk_level, x.is_quarantined) for x in d} == {("LOW", False), ("HIGH", True)}
+
+
+def test_metadata_json_scan_and_lakehouse_table(spark):
+    import json
+    import os
+    import tempfile
+
+    import pytest
+
+    from secflow.sources.catalog_metadata import DATASETS, read_metadata, read_tag_definitions
+    from secflow.sources.connectors import lakehouse_table
+    d = tempfile.mkdtemp(prefix="secflow-meta-")
+    keys = ["topic", "description", "company", "domain", "environment", "owner", "data_type", "classification",
+            "tags"]
+    for row in DATASETS:
+        doc = dict(zip(keys, row[:9]))
+        doc["labels"] = dict(zip(["sensitivity", "retention", "source"], row[9]))
+        with open(os.path.join(d, f"{row[0]}.metadata.json"), "w") as f:
+            json.dump(doc, f, indent=2)
+    meta = read_metadata(spark, os.path.join(d, "*.metadata.json"))
+    assert sorted(r.topic for r in meta.collect()) == sorted(r[0] for r in DATASETS)
+    assert governance.derived_tags(meta.filter("topic = 'assets'")).first().tags == \
+        ["CDC", "Internal", "acme", "asset", "endpoint", "inventory"]
+    tags_path = os.path.join(d, "tags.json")
+    with open(tags_path, "w") as f:
+        json.dump([{"entityTypes": ["e"], "name": "CDC", "description": "x"}], f)
+    assert read_tag_definitions(spark, tags_path).first().name == "CDC"
+    meta.createOrReplaceTempView("governance_metadata")
+    assert lakehouse_table(spark, "governance_metadata").count() == 4
+    with pytest.raises(ValueError):
+        lakehouse_table(spark, "")

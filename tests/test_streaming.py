@@ -168,3 +168,26 @@ def test_time_bounded_stream_join(spark):
                     _uniq("bounded_join"), query_name=name)
     got = [(r.asset_id, r.interface_id, r.cve_id) for r in _memory(spark, name).collect()]
     assert got == [("a1", "i1", "CVE-1")]
+
+
+def test_bi_bulk_upsert_and_update_mode_aggregates(spark):
+    from secflow.sinks.writers import count_written
+    f = findings.ml_scoring(*[g(spark, SF) for g in (fx.assets, fx.network_interfaces, fx.asset_cves)])
+    f = f.withColumn("key", F.decode("key", "UTF-8"))
+    d, schema = _slices(f, ["event_time", "key", "ip_address"], 3, spark)
+    # B4: every refresh upserts BI documents by _id; replays converge to the batch documents
+    log = UpsertLog(tempfile.mkdtemp(prefix="secflow-bi-log-"), ["_id"], ["findings"])
+    P.run_available(P.bi_rollup_stream(P.file_changes(spark, d, schema, 1)), _uniq("bi_bulk"), "complete",
+                    sink=lambda b, i: log.write_batch(rollups.bi_documents(b), i))
+    want = rollups.bi_documents(rollups.bi_rollup(spark.read.parquet(d)))
+    assert sorted(map(tuple, log.current(spark).select(*want.columns).collect())) == \
+        sorted(map(tuple, want.collect()))
+    assert count_written(log.current(spark)).first().indexed_documents == want.count()
+    # E9 in update mode: only changed tenants are emitted per batch; the upserted table is the final state
+    c = fx.asset_cves(spark, SF)
+    d2, schema2 = _slices(c, ["discovered_at", "cve_record_id"], 3, spark)
+    tlog = UpsertLog(tempfile.mkdtemp(prefix="secflow-tenant-log-"), ["tenant_id"], ["cve_count"])
+    P.run_available(P.tenant_aggs_stream(P.file_changes(spark, d2, schema2, 1)), _uniq("tenant_upd"), "update",
+                    sink=tlog.write_batch)
+    got = {r.tenant_id: r.cve_count for r in tlog.current(spark).collect()}
+    assert got == {r.tenant_id: r.cve_count for r in rollups.cves_per_tenant(c).collect()}
