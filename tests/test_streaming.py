@@ -191,3 +191,15 @@ def test_bi_bulk_upsert_and_update_mode_aggregates(spark):
                     sink=tlog.write_batch)
     got = {r.tenant_id: r.cve_count for r in tlog.current(spark).collect()}
     assert got == {r.tenant_id: r.cve_count for r in rollups.cves_per_tenant(c).collect()}
+
+
+def test_anomaly_foreach_batch_scorer_equals_batch(spark):
+    joined = findings.join_active(*[f(spark, SF) for f in (fx.assets, fx.network_interfaces, fx.asset_cves)]) \
+        .withColumn("discovered_at", F.col("discovered_at").cast("timestamp"))
+    d, schema = _slices(joined, ["discovered_at", "cve_record_id", "interface_id"], 3, spark)
+    scorer = P.AnomalyBatchScorer(tempfile.mkdtemp(prefix="secflow-tail-"), tempfile.mkdtemp(prefix="secflow-out-"))
+    P.run_available(P.file_changes(spark, d, schema, 1), _uniq("anomaly_fb"), sink=scorer)
+    got = {(r.cve_record_id, r.interface_id): r.anomaly.is_anomaly for r in scorer.results(spark).collect()}
+    batch = detect(spark.read.parquet(d), "cvss_score", "tenant_id", findings.series_order())
+    want = {(r.cve_record_id, r.interface_id): r.anomaly.is_anomaly for r in batch.collect()}
+    assert len(got) == len(want) and got == want
