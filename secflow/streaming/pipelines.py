@@ -266,12 +266,12 @@ class AnomalyBatchScorer:
         spark = batch.sparkSession
         new = batch.select(*[F.col(c).cast("timestamp").alias(c) if c == "discovered_at" else F.col(c)
                              for c in self.COLS]).withColumn("_hist", F.lit(False))
-        prev = self._tail_dir(batch_id - 1)
-        try:
+        prev = self._previous_tail(spark, batch_id)
+        if prev is None:
+            combined = new
+        else:
             hist = spark.read.parquet(prev).select(*self.COLS).withColumn("_hist", F.lit(True))
             combined = hist.unionByName(new)
-        except Exception:  # noqa: BLE001 - no tail yet (first batch)
-            combined = new
         order = findings.series_order()
         scored = detect(combined, "cvss_score", "tenant_id", order, self.params)
         scored.filter(~F.col("_hist")).drop("_hist").write.mode("overwrite").parquet(
@@ -283,6 +283,22 @@ class AnomalyBatchScorer:
         tail = pos.join(last, "tenant_id").filter(F.col("_g") > F.col("_last") - keep).select(*self.COLS)
         tail.write.mode("overwrite").parquet(self._tail_dir(batch_id))
 
+    def _previous_tail(self, spark: SparkSession, batch_id: int) -> str | None:
+        """Newest complete tail written by an earlier batch (listing via the Hadoop FileSystem API)."""
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.state_path)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        best = None
+        if fs.exists(root):
+            for st in fs.listStatus(root):
+                name = st.getPath().getName()
+                if name.startswith("tail_batch=") and \
+                        fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                    b = int(name.split("=", 1)[1])
+                    if b < batch_id and (best is None or b > best[0]):
+                        best = (b, st.getPath().toString())
+        return best[1] if best else None
+
     def results(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.out_path)
 
