@@ -93,7 +93,8 @@ def join_active(assets: DataFrame, interfaces: DataFrame, cves: DataFrame) -> Da
 
 def incident(rule_rows: DataFrame, activity: DataFrame) -> DataFrame:
     """Rule finding on an asset that also shows suspicious activity (left semi join)."""
-    sus = activity.filter(F.col("is_suspicious")).select(*JOIN_KEYS)
+    # Distinct keys (partial aggregation): a hot asset adds one build row, not all its events.
+    sus = activity.filter(F.col("is_suspicious")).select(*JOIN_KEYS).distinct()
     return rule_rows.join(sus, JOIN_KEYS, "left_semi")
 
 

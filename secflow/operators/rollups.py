@@ -70,8 +70,8 @@ def active_vulnerable_devices(assets: DataFrame, interfaces: DataFrame, cves: Da
     fan-out is ever materialized, and no distinct count is needed.
     """
     keys = ["tenant_id", "asset_id"]
-    act = interfaces.filter(F.col("is_active") == F.lit(True)).select(*keys)
-    vul = cves.filter(F.col("cvss_score") >= min_cvss).select(*keys)
+    act = interfaces.filter(F.col("is_active") == F.lit(True)).select(*keys).distinct()
+    vul = cves.filter(F.col("cvss_score") >= min_cvss).select(*keys).distinct()
     hit = assets.select(*keys).join(act, keys, "left_semi").join(vul, keys, "left_semi")
     return hit.groupBy("tenant_id").agg(F.count(F.lit(1)).alias("active_vulnerable_devices"))
 
@@ -195,7 +195,7 @@ def bi_recent(bi: DataFrame, n: int = 200) -> DataFrame:
 
 
 def bi_rollup_topn(docs: DataFrame, tenants: int = 1000, severities: int = 10, risks: int = 10,
-                   width: str = S.BI_WINDOW) -> DataFrame:
+                   width: str = S.BI_WINDOW, salts: int = 32) -> DataFrame:
     """Nested bucket form: per window the top tenants, per tenant the top severities, per
     severity the top risks, each level ranked by document count then key.  Documents
     lacking a severity, or a bucket key, are not counted."""
@@ -208,15 +208,24 @@ def bi_rollup_topn(docs: DataFrame, tenants: int = 1000, severities: int = 10, r
     leaf = leaf.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                        "tenant_id", "severity", "predicted_risk", "findings", "avg_cvss_score",
                        "avg_anomaly_score")
-    t_tot = F.sum("findings").over(Window.partitionBy("window_start", "tenant_id"))
+    # Tenants: per-window top-k in two phases, so no task ranks all tenants of a window.  Tenant
+    # totals are unique per (window, tenant) and ordered by (total desc, tenant), a total order, so
+    # keeping the top k of every salt keeps the global top k.
+    t_tot = leaf.groupBy("window_start", "tenant_id").agg(F.sum("findings").alias("_tt"))
+    salted = t_tot.withColumn("_salt", F.pmod(F.xxhash64("tenant_id"), F.lit(salts)))
+    by_tot = [F.col("_tt").desc(), F.col("tenant_id")]
+    first = salted.withColumn("_r1", F.row_number().over(Window.partitionBy("window_start", "_salt").orderBy(*by_tot))) \
+                  .filter(F.col("_r1") <= tenants)
+    top_t = first.withColumn("_tr", F.row_number().over(Window.partitionBy("window_start").orderBy(*by_tot))) \
+                 .filter(F.col("_tr") <= tenants).select("window_start", "tenant_id", "_tt", "_tr")
+    ranked = leaf.join(top_t, ["window_start", "tenant_id"])
+    # Severities within a tenant and risks within a severity: groups bounded by the value domains.
     s_tot = F.sum("findings").over(Window.partitionBy("window_start", "tenant_id", "severity"))
-    ranked = leaf.withColumn("_tt", t_tot).withColumn("_st", s_tot)
-    ranked = ranked.withColumn("_tr", F.dense_rank().over(
-        Window.partitionBy("window_start").orderBy(F.col("_tt").desc(), F.col("tenant_id"))))
+    ranked = ranked.withColumn("_st", s_tot)
     ranked = ranked.withColumn("_sr", F.dense_rank().over(
         Window.partitionBy("window_start", "tenant_id").orderBy(F.col("_st").desc(), F.col("severity"))))
     ranked = ranked.withColumn("_rr", F.dense_rank().over(
         Window.partitionBy("window_start", "tenant_id", "severity").orderBy(
             F.col("findings").desc(), F.col("predicted_risk"))))
-    kept = ranked.filter((F.col("_tr") <= tenants) & (F.col("_sr") <= severities) & (F.col("_rr") <= risks))
+    kept = ranked.filter((F.col("_sr") <= severities) & (F.col("_rr") <= risks))
     return kept.drop("_tt", "_st", "_tr", "_sr", "_rr")

@@ -115,3 +115,16 @@ def test_apply_changes_to_snapshot(spark):
     cur = {r.asset_id: (r.device_type, r.risk_level)
            for r in cdc.apply_changes(snap, ch, ["tenant_id", "asset_id"]).collect()}
     assert cur == {"1": ("server", "HIGH"), "3": ("switch", "MEDIUM")}
+
+
+def test_nested_topn_tenant_cut_with_salts(spark):
+    rows = []
+    counts = {"t1": 5, "t2": 3, "t3": 3, "t4": 1, "t5": 4}
+    for t, k in counts.items():
+        for i in range(k):
+            rows.append(_finding((t, f"a{i}", f"CVE-{i}"), event_time="2026-08-27 10:01:00.000"))
+    docs = findings.documents(spark.createDataFrame(rows, S.FINDING))
+    kept = rollups.bi_rollup_topn(docs, tenants=2, salts=4).collect()
+    assert sorted({r.tenant_id for r in kept}) == ["t1", "t5"]
+    kept3 = rollups.bi_rollup_topn(docs, tenants=3, salts=4).collect()
+    assert sorted({r.tenant_id for r in kept3}) == ["t1", "t2", "t5"]   # t2 before t3 on the key tie-break
