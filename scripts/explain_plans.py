@@ -21,7 +21,7 @@ NOTES = {
                   "(rows = range partitions), one exchange on (tenant_id, block), one sort, three Window operators.",
     "findings_upsert_latest": "Last-writer-wins is HashAggregate partial -> exchange on key -> final (map-side combine).",
     "bi_rollup": "Two partial/final aggregations (upsert, then window x keys); no window-function sort of raw rows.",
-    "bi_rollup_topn": "Ranks run over aggregated buckets (after the partial/final aggregate), not over findings.",
+    "bi_rollup_topn": "Ranks run over aggregated buckets, not findings; tenants per window via a salted two-phase top-k.",
     "cdc_latest_state": "max(struct(ts_ms, seq, ...)) per key: partial aggregation before the shuffle.",
     "cep_burst_alert": "Probe rows -> range-indexed table -> bounded block windows -> partial/final sum per event.",
     "running_cvss_range": "Prefix tables per (tenant, range partition) and (tenant, partition, block); peers via aggregate.",
