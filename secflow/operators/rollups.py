@@ -197,35 +197,39 @@ def bi_recent(bi: DataFrame, n: int = 200) -> DataFrame:
 def bi_rollup_topn(docs: DataFrame, tenants: int = 1000, severities: int = 10, risks: int = 10,
                    width: str = S.BI_WINDOW, salts: int = 32) -> DataFrame:
     """Nested bucket form: per window the top tenants, per tenant the top severities, per
-    severity the top risks, each level ranked by document count then key.  Documents
-    lacking a severity, or a bucket key, are not counted."""
+    severity the top risks, each level ranked by its document count then key.  Documents
+    lacking a severity are not counted; a document lacking a deeper key still counts for the
+    levels above it, like nested terms buckets."""
     ts = K.parse_event_time(F.col("event_time"))
-    base = docs.filter(F.col("severity").isNotNull() & ts.isNotNull()
-                       & F.col("tenant_id").isNotNull() & F.col("predicted_risk").isNotNull())
-    leaf = base.groupBy(F.window(ts, width).alias("w"), "tenant_id", "severity", "predicted_risk").agg(
-        F.count(F.lit(1)).alias("findings"), avg_cvss().alias("avg_cvss_score"),
-        avg_score().alias("avg_anomaly_score"))
-    leaf = leaf.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                       "tenant_id", "severity", "predicted_risk", "findings", "avg_cvss_score",
-                       "avg_anomaly_score")
+    base = docs.filter(F.col("severity").isNotNull() & ts.isNotNull() & F.col("tenant_id").isNotNull()) \
+        .select(F.window(ts, width).alias("w"), "tenant_id", "severity", "predicted_risk", "cvss_score",
+                "anomaly_score") \
+        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "tenant_id",
+                "severity", "predicted_risk", "cvss_score", "anomaly_score")
     # Tenants: per-window top-k in two phases, so no task ranks all tenants of a window.  Tenant
     # totals are unique per (window, tenant) and ordered by (total desc, tenant), a total order, so
     # keeping the top k of every salt keeps the global top k.
-    t_tot = leaf.groupBy("window_start", "tenant_id").agg(F.sum("findings").alias("_tt"))
+    t_tot = base.groupBy("window_start", "tenant_id").agg(F.count(F.lit(1)).alias("_tt"))
     salted = t_tot.withColumn("_salt", F.pmod(F.xxhash64("tenant_id"), F.lit(salts)))
     by_tot = [F.col("_tt").desc(), F.col("tenant_id")]
     first = salted.withColumn("_r1", F.row_number().over(Window.partitionBy("window_start", "_salt").orderBy(*by_tot))) \
                   .filter(F.col("_r1") <= tenants)
     top_t = first.withColumn("_tr", F.row_number().over(Window.partitionBy("window_start").orderBy(*by_tot))) \
                  .filter(F.col("_tr") <= tenants).select("window_start", "tenant_id", "_tt", "_tr")
-    ranked = leaf.join(top_t, ["window_start", "tenant_id"])
-    # Severities within a tenant and risks within a severity: groups bounded by the value domains.
-    s_tot = F.sum("findings").over(Window.partitionBy("window_start", "tenant_id", "severity"))
-    ranked = ranked.withColumn("_st", s_tot)
-    ranked = ranked.withColumn("_sr", F.dense_rank().over(
-        Window.partitionBy("window_start", "tenant_id").orderBy(F.col("_st").desc(), F.col("severity"))))
-    ranked = ranked.withColumn("_rr", F.dense_rank().over(
+    # Severities within a tenant: groups bounded by the severity domain.
+    s_tot = base.groupBy("window_start", "tenant_id", "severity").agg(F.count(F.lit(1)).alias("_st"))
+    top_s = s_tot.withColumn("_sr", F.row_number().over(
+        Window.partitionBy("window_start", "tenant_id").orderBy(F.col("_st").desc(), F.col("severity")))) \
+        .filter(F.col("_sr") <= severities)
+    leaf = base.filter(F.col("predicted_risk").isNotNull()) \
+        .groupBy("window_start", "window_end", "tenant_id", "severity", "predicted_risk").agg(
+            F.count(F.lit(1)).alias("findings"), avg_cvss().alias("avg_cvss_score"),
+            avg_score().alias("avg_anomaly_score"))
+    ranked = leaf.join(top_t, ["window_start", "tenant_id"]).join(top_s, ["window_start", "tenant_id", "severity"])
+    ranked = ranked.withColumn("_rr", F.row_number().over(
         Window.partitionBy("window_start", "tenant_id", "severity").orderBy(
             F.col("findings").desc(), F.col("predicted_risk"))))
-    kept = ranked.filter((F.col("_sr") <= severities) & (F.col("_rr") <= risks))
+    kept = ranked.filter(F.col("_rr") <= risks).select(
+        "window_start", "window_end", "tenant_id", "severity", "predicted_risk", "findings", "avg_cvss_score",
+        "avg_anomaly_score", "_tt", "_st", "_tr", "_sr", "_rr")
     return kept.drop("_tt", "_st", "_tr", "_sr", "_rr")

@@ -206,25 +206,30 @@ ORDER BY window_start DESC, findings DESC, tenant_id, severity, predicted_risk L
     q["bi_top_risk"] = with_ctes(["bi_rows"], _top("bi_rows", "predicted_risk", 5, "CAST(SUM(findings) AS BIGINT)"))
     q["bi_top_tenants"] = with_ctes(["bi_rows"], _top("bi_rows", "tenant_id", 10, "CAST(SUM(findings) AS BIGINT)"))
     q["bi_rollup_topn"] = with_ctes(["finding_docs"], f"""
-SELECT window_start, window_end, tenant_id, severity, predicted_risk, findings, avg_cvss_score, avg_anomaly_score
+SELECT l.window_start, l.window_end, l.tenant_id, l.severity, l.predicted_risk, l.findings, l.avg_cvss_score,
+       l.avg_anomaly_score
 FROM (
-  SELECT *, DENSE_RANK() OVER (PARTITION BY window_start ORDER BY tt DESC, tenant_id) AS tr,
-            DENSE_RANK() OVER (PARTITION BY window_start, tenant_id ORDER BY st DESC, severity) AS sr,
-            DENSE_RANK() OVER (PARTITION BY window_start, tenant_id, severity
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY window_start, tenant_id, severity
                                ORDER BY findings DESC, predicted_risk) AS rr
   FROM (
-    SELECT *, SUM(findings) OVER (PARTITION BY window_start, tenant_id) AS tt,
-              SUM(findings) OVER (PARTITION BY window_start, tenant_id, severity) AS st
-    FROM (
-      SELECT time_bucket(INTERVAL '10 minutes', ts) AS window_start,
-             time_bucket(INTERVAL '10 minutes', ts) + INTERVAL '10 minutes' AS window_end,
-             tenant_id, severity, predicted_risk, COUNT(*) AS findings,
-             CASE WHEN COUNT(cvss_score) > 0 THEN {AVG_CVSS} END AS avg_cvss_score,
-             CASE WHEN COUNT(anomaly_score) > 0 THEN {AVG_SCORE} END AS avg_anomaly_score
-      FROM (SELECT *, strptime(event_time, '%Y-%m-%dT%H:%M:%S.%fZ') AS ts FROM finding_docs)
-      WHERE severity IS NOT NULL AND ts IS NOT NULL AND tenant_id IS NOT NULL AND predicted_risk IS NOT NULL
-      GROUP BY 1, 2, 3, 4, 5)))
-WHERE tr <= 1000 AND sr <= 10 AND rr <= 10""")
+    SELECT window_start, window_end, tenant_id, severity, predicted_risk, COUNT(*) AS findings,
+           CASE WHEN COUNT(cvss_score) > 0 THEN {AVG_CVSS} END AS avg_cvss_score,
+           CASE WHEN COUNT(anomaly_score) > 0 THEN {AVG_SCORE} END AS avg_anomaly_score
+    FROM base WHERE predicted_risk IS NOT NULL GROUP BY 1, 2, 3, 4, 5)) l
+JOIN (SELECT window_start, tenant_id FROM (
+        SELECT window_start, tenant_id,
+               ROW_NUMBER() OVER (PARTITION BY window_start ORDER BY COUNT(*) DESC, tenant_id) AS tr
+        FROM base GROUP BY 1, 2) WHERE tr <= 1000) t
+  ON l.window_start = t.window_start AND l.tenant_id = t.tenant_id
+JOIN (SELECT window_start, tenant_id, severity FROM (
+        SELECT window_start, tenant_id, severity,
+               ROW_NUMBER() OVER (PARTITION BY window_start, tenant_id ORDER BY COUNT(*) DESC, severity) AS sr
+        FROM base GROUP BY 1, 2, 3) WHERE sr <= 10) s
+  ON l.window_start = s.window_start AND l.tenant_id = s.tenant_id AND l.severity = s.severity
+WHERE l.rr <= 10""").replace("FROM base", """FROM (SELECT time_bucket(INTERVAL '10 minutes', ts) AS window_start,
+                   time_bucket(INTERVAL '10 minutes', ts) + INTERVAL '10 minutes' AS window_end, *
+            FROM (SELECT *, strptime(event_time, '%Y-%m-%dT%H:%M:%S.%fZ') AS ts FROM finding_docs)
+            WHERE severity IS NOT NULL AND ts IS NOT NULL AND tenant_id IS NOT NULL)""")
 
     # change data capture
     live = "op IN ('c', 'r', 'u') AND op <> 'd'"

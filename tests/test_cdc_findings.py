@@ -128,3 +128,13 @@ def test_nested_topn_tenant_cut_with_salts(spark):
     assert sorted({r.tenant_id for r in kept}) == ["t1", "t5"]
     kept3 = rollups.bi_rollup_topn(docs, tenants=3, salts=4).collect()
     assert sorted({r.tenant_id for r in kept3}) == ["t1", "t2", "t5"]   # t2 before t3 on the key tie-break
+
+
+def test_nested_topn_counts_docs_lacking_deeper_keys(spark):
+    rows = [_finding(("A", f"a{i}", f"C{i}"), risk=None, event_time="2026-08-27 10:01:00.000") for i in range(2)]
+    rows += [_finding(("A", "a9", "C9"), event_time="2026-08-27 10:01:00.000")]
+    rows += [_finding(("B", f"b{i}", f"D{i}"), event_time="2026-08-27 10:01:00.000") for i in range(2)]
+    docs = findings.documents(spark.createDataFrame(rows, S.FINDING))
+    kept = rollups.bi_rollup_topn(docs, tenants=1).collect()
+    # A has 3 documents (2 without a risk) and outranks B (2); only A's one risk bucket is emitted
+    assert [(r.tenant_id, r.findings) for r in kept] == [("A", 1)]
