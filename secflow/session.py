@@ -123,7 +123,7 @@ def materialize(df, name: str):
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     _MATERIALIZED.append((spark, path))
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def release_materialized(spark: SparkSession | None = None) -> int:
