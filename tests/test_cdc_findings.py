@@ -138,3 +138,10 @@ def test_nested_topn_counts_docs_lacking_deeper_keys(spark):
     kept = rollups.bi_rollup_topn(docs, tenants=1).collect()
     # A has 3 documents (2 without a risk) and outranks B (2); only A's one risk bucket is emitted
     assert [(r.tenant_id, r.findings) for r in kept] == [("A", 1)]
+
+
+def test_rollup_drops_unparsable_event_time(spark):
+    rows = [_finding(event_time="junk"), _finding(("t", "b", "C"), event_time=""),
+            _finding(("t", "c", "D"), event_time="2026-08-27 10:05:00.000")]
+    bi = rollups.bi_rollup(spark.createDataFrame(rows, S.FINDING)).collect()
+    assert len(bi) == 1 and bi[0].findings == 1
