@@ -94,6 +94,8 @@ def ship_package(spark: SparkSession) -> None:
 
     import secflow
     root = os.path.dirname(os.path.abspath(secflow.__file__))
+    # Built on the driver and served to executors by Spark's file server (``addPyFile``);
+    # executors never read this path, so a driver-local folder is correct here.
     zpath = os.path.join(tempfile.mkdtemp(prefix="secflow-pkg-"), "secflow.zip")
     with zipfile.ZipFile(zpath, "w") as z:
         for dirpath, _, files in os.walk(root):

@@ -10,8 +10,6 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-DEFAULT_SF_DIR = "/root/testdata/sf0.01"
-
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
