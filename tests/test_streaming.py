@@ -203,3 +203,17 @@ def test_anomaly_foreach_batch_scorer_equals_batch(spark):
     batch = detect(spark.read.parquet(d), "cvss_score", "tenant_id", findings.series_order())
     want = {(r.cve_record_id, r.interface_id): r.anomaly.is_anomaly for r in batch.collect()}
     assert len(got) == len(want) and got == want
+
+
+def test_bus_sources_fail_clearly_without_connector(spark):
+    from pyspark.errors import AnalysisException
+    for make in (lambda: P.kafka_records(spark, "localhost:9", "security_findings"),
+                 lambda: P.kafka_changes(spark, "localhost:9", "assets", fx_schema())):
+        with pytest.raises(AnalysisException) as err:
+            make()
+        assert "kafka" in str(err.value).lower()
+
+
+def fx_schema():
+    from secflow import schemas as S
+    return S.envelope(S.ASSETS, ["tenant_id", "asset_id"])
