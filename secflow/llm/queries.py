@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 _QUERIES = {
+    "op3_nearest": "secflow.llm.hnsw",
     "op4_url_filter": "secflow.llm.url_rules",
+    "op10_exact_topk": "secflow.llm.mtree",
 }
 
 ORACLES: dict[str, str] = {}
