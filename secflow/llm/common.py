@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,7 +74,7 @@ def slices(batches: Iterator[pa.RecordBatch], text_col: str, limit: int) -> Iter
     """Cut record batches so that the text bytes of each piece stay near ``limit`` (whole rows)."""
     for b in batches:
         col = b.column(text_col)
-        lens = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_pylist()
+        lens = pc.fill_null(pc.binary_length(col), 0).to_pylist()
         start, size = 0, 0
         for i, n in enumerate(lens):
             if size and size + n > limit:
