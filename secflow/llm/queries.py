@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 _QUERIES = {
     "op3_nearest": "secflow.llm.hnsw",
     "op4_url_filter": "secflow.llm.url_rules",
+    "op8_best_fit_packing": "secflow.llm.packing",
     "op9_bpe_round_trip": "secflow.llm.bpe",
     "op10_exact_topk": "secflow.llm.mtree",
 }
