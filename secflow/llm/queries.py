@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 _QUERIES = {
+    "op1_language_id": "secflow.llm.language_id",
     "op3_nearest": "secflow.llm.hnsw",
     "op4_url_filter": "secflow.llm.url_rules",
     "op8_best_fit_packing": "secflow.llm.packing",
