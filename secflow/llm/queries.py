@@ -11,6 +11,7 @@ _QUERIES = {
     "op1_language_id": "secflow.llm.language_id",
     "op3_nearest": "secflow.llm.hnsw",
     "op4_url_filter": "secflow.llm.url_rules",
+    "op7_near_duplicates": "secflow.llm.near_dup",
     "op8_best_fit_packing": "secflow.llm.packing",
     "op9_bpe_round_trip": "secflow.llm.bpe",
     "op10_exact_topk": "secflow.llm.mtree",
