@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _QUERIES = {
     "op1_language_id": "secflow.llm.language_id",
+    "op2_suffix_dedup": "secflow.llm.suffix_dedup",
     "op3_nearest": "secflow.llm.hnsw",
     "op4_url_filter": "secflow.llm.url_rules",
     "op7_near_duplicates": "secflow.llm.near_dup",

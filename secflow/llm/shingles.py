@@ -26,7 +26,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWERS or len(_POWERS[0]) < n:
         size = max(n, 1 << 16)
         _POWERS[:] = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, b, np.uint64)]), dtype=np.uint64)
@@ -43,7 +43,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
     edge = np.diff(np.concatenate([[True], _SPACE[data], [True]]).astype(np.int8))
     lo, hi = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    power, inverse = _powers(len(data) + 1)
+    power, inverse = powers(len(data) + 1)
     total = np.concatenate([[np.uint64(0)],
                             np.cumsum((_FOLD[data].astype(np.uint64) + np.uint64(1)) * power[:len(data)],
                                       dtype=np.uint64)])
