@@ -12,6 +12,8 @@ _QUERIES = {
     "op2_suffix_dedup": "secflow.llm.suffix_dedup",
     "op3_nearest": "secflow.llm.hnsw",
     "op4_url_filter": "secflow.llm.url_rules",
+    "op5_license_scan": "secflow.llm.licenses",
+    "op6_main_text": "secflow.llm.html_extract",
     "op7_near_duplicates": "secflow.llm.near_dup",
     "op8_best_fit_packing": "secflow.llm.packing",
     "op9_bpe_round_trip": "secflow.llm.bpe",
