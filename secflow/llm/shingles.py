@@ -34,14 +34,17 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, first word of each text with the total appended)."""
+def word_hashes(texts: list[bytes], space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, first word of each text with the total appended).
+
+    ``space`` marks the bytes between words; the byte 0x20 must be one of them.
+    """
     data = np.frombuffer(b" ".join([*texts, b""]), dtype=np.uint8)
     ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
     begin = ends - np.array([len(t) + 1 for t in texts], dtype=np.int64) if texts else ends
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
-    edge = np.diff(np.concatenate([[True], _SPACE[data], [True]]).astype(np.int8))
+    edge = np.diff(np.concatenate([[True], space[data], [True]]).astype(np.int8))
     lo, hi = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     power, inverse = powers(len(data) + 1)
     total = np.concatenate([[np.uint64(0)],
