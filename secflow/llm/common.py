@@ -38,24 +38,27 @@ def pinned(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, keep: int = 0) -> None:
-    """Delete the tables that ``pinned`` made for ``spark``, but for the first ``keep`` of them."""
-    own = [t for t in _TABLES if t[0] is spark][keep:]
-    for t in own:
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(t[1])
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        _TABLES.remove(t)
+def _delete(t: tuple[SparkSession, str]) -> None:
+    path = t[0].sparkContext._jvm.org.apache.hadoop.fs.Path(t[1])
+    path.getFileSystem(t[0].sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _TABLES.remove(t)
+
+
+def _reads(df: DataFrame, path: str) -> bool:
+    name = path.rsplit("/", 1)[-1]
+    return any(name in f for f in df.inputFiles()[:1])
+
+
+def release(spark: SparkSession, needed: DataFrame | None = None) -> None:
+    """Delete the tables that ``pinned`` made for ``spark``, but for the one that ``needed`` reads."""
+    for t in [t for t in _TABLES if t[0] is spark and not (needed is not None and _reads(needed, t[1]))]:
+        _delete(t)
 
 
 def drop(df: DataFrame) -> None:
-    """Delete one table made by ``pinned`` that no later plan reads."""
-    spark = df.sparkSession
-    files = df.inputFiles()
-    for t in [t for t in _TABLES if t[0] is spark and files and t[1].split("/")[-1] in files[0]]:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t[1])
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        _TABLES.remove(t)
+    """Delete the table made by ``pinned`` that ``df`` is, once no later plan reads it."""
+    for t in [t for t in _TABLES if t[0] is df.sparkSession and _reads(df, t[1])]:
+        _delete(t)
 
 
 def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:

@@ -437,7 +437,7 @@ def _shards(length: int):
 
 
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
-                    ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
+                    ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept_text", pa.string())])
 
 
 def _cut(with_text: bool):
@@ -462,7 +462,9 @@ def _cut(with_text: bool):
                 spans, removed, at = spans + 1, removed + hi - lo, hi
             kept.append(t[at:])
             rest = b"".join(kept)
-            row = (doc, len(t), removed, spans, hashlib.sha256(rest).hexdigest(), rest)
+            # A character that lost some of its bytes goes whole.
+            row = (doc, len(t), removed, spans, hashlib.sha256(rest).hexdigest(),
+                   rest.decode("utf-8", "ignore") if with_text else "")
             for n, v in zip(schema.names, row, strict=False):
                 out[n].append(v)
         return pa.Table.from_pydict(out, schema=schema)
@@ -472,7 +474,7 @@ def _cut(with_text: bool):
 def deduplicate(df: DataFrame, length: int = LENGTH, with_text: bool = False, id_col: str = "doc_id",
                 text_col: str = "text", gram: int = GRAM, block_bytes: int = BLOCK_BYTES, hot: int = HOT,
                 buckets: int | None = None) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256 [, kept]) for every row."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256 [, kept_text]) for every row."""
     spark = df.sparkSession
     ship_package(spark)
     docs = stable(keyed_text(df, id_col, text_col))
@@ -485,7 +487,7 @@ def deduplicate(df: DataFrame, length: int = LENGTH, with_text: bool = False, id
     ranges = arrow_map(runs.repartition("bucket").sortWithinPartitions("bucket"), _shards(length), ROW)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return texts.groupBy("block").cogroup(ranges.groupBy("block")).applyInArrow(
-        _cut(with_text), schema + ", kept binary" * with_text)
+        _cut(with_text), schema + ", kept_text string" * with_text)
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
