@@ -21,8 +21,11 @@ tenants are few and hot.  Instead:
    context.  Windows then run per (tenant, block): no task ever holds more
    than ``block_rows + max_training_size + 1`` rows, whatever the tenant size.
 4. Inside a block, the sliding sums over the previous pairs come from exact
-   integer prefix sums (values scaled to integers, e.g. CVSS tenths), so each
-   row costs O(1) instead of O(window) and there is no cancellation error.
+   integer prefix sums when all values have at most ``MAX_DECIMALS`` decimals
+   (scaled to integers without loss, e.g. CVSS tenths): each row costs O(1)
+   instead of O(window) and there is no cancellation error.  A series with
+   finer values takes a moving frame of doubles instead; nothing is rounded.
+   NaN counts as NULL.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from secflow import schemas as S
+from secflow.functions.exact import mean, not_nan, split
 from secflow.session import materialize
 
 _POS_BITS = 33  # monotonically_increasing_id(): partition id in the upper bits, row index in the lower 33
@@ -45,7 +49,7 @@ class AnomalyParams:
     enable_stl: bool = False
     z: float = 2.5758          # two-sided 99 % band
     floor: float = 1e-6        # residual band floor (float noise on exactly linear data)
-    scale: int = 10            # values are integers after multiplying by this (one decimal)
+    scale: int = 10            # least factor that makes the values integers (one decimal)
     block_rows: int = 8192
 
     def __post_init__(self):
@@ -90,6 +94,9 @@ def global_positions(df: DataFrame, order: list[Column], num_partitions: int) ->
     """
     indexed = range_index(df, order, num_partitions, "positions")
     counts = indexed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    # A partition's row index has ``_POS_BITS`` bits; more rows must fail, not wrap.
+    counts = counts.withColumn("_n", F.when(F.col("_n") < F.lit(1 << _POS_BITS), F.col("_n")).otherwise(
+        F.raise_error(F.lit("range partition too large: raise num_partitions")).cast("bigint")))
     offsets = counts.select(
         "_pid",
         (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -100,6 +107,22 @@ def global_positions(df: DataFrame, order: list[Column], num_partitions: int) ->
             .drop("_pid", "_local", "_offset"))
 
 
+MAX_DECIMALS = 4
+_INT_LIMIT = float(1 << 24)     # squares of scaled values then sum within 64 bits over a block
+
+
+def exact_scale(df: DataFrame, value: Column, least: int = 1) -> int | None:
+    """The power of ten (at least ``least``) that makes every value a small integer without loss, or None."""
+    need = F.lit(None).cast("long")
+    for d in range(MAX_DECIMALS, -1, -1):
+        f = F.lit(float(10 ** d))
+        need = F.when(F.round(value * f) / f == value, F.lit(10 ** d).cast("long")).otherwise(need)
+    row = df.agg(F.max(need).alias("scale"), F.max(F.abs(value)).alias("top"),
+                 F.count(F.when(value.isNotNull() & need.isNull(), 1)).alias("finer")).first()
+    scale = max(least, row["scale"] or 1)
+    return scale if not row["finer"] and (row["top"] or 0.0) * scale <= _INT_LIMIT else None
+
+
 def detect(df: DataFrame, value: str, partition: str, order: list[Column],
            params: AnomalyParams = AnomalyParams(), num_partitions: int | None = None,
            out: str = "anomaly") -> DataFrame:
@@ -113,8 +136,10 @@ def detect(df: DataFrame, value: str, partition: str, order: list[Column],
     span = params.max_training_size
     block = params.block_rows
 
-    full_order = [F.col(partition), F.col(value).isNull()] + list(order)
+    clean = not_nan(F.col(value))
+    full_order = [F.col(partition), clean.isNull()] + list(order)
     pos = global_positions(df, full_order, num_partitions)
+    scale = exact_scale(pos, clean, params.scale)
 
     # Each row belongs to its block; the last span+1 rows of a block are also context for the next.
     own = F.floor(F.col("_g") / F.lit(block)).cast("bigint")
@@ -123,13 +148,14 @@ def detect(df: DataFrame, value: str, partition: str, order: list[Column],
         "_blk", F.explode(F.when(tail, F.array(F.col("_own"), F.col("_own") + 1)).otherwise(F.array(F.col("_own")))))
 
     w = Window.partitionBy(partition, "_blk").orderBy("_g")
-    y = F.round(F.col(value) * F.lit(params.scale)).cast("bigint")
+    kind = "bigint" if scale else "double"
+    y = F.round(clean * F.lit(scale)).cast("bigint") if scale else clean
     # Three window passes over one sort: lag, running sums, sliding differences.
     stage = blocks.select("*", y.alias("_y")).select("*", F.lag("_y", 1).over(w).alias("_x"))
     has = F.col("_x").isNotNull() & F.col("_y").isNotNull()
-    zero = F.lit(0).cast("bigint")
+    zero = F.lit(0).cast(kind)
     contrib = {
-        "n": F.when(has, F.lit(1).cast("bigint")).otherwise(zero),
+        "n": F.when(has, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint")),
         "x": F.when(has, F.col("_x")).otherwise(zero),
         "y": F.when(has, F.col("_y")).otherwise(zero),
         "xx": F.when(has, F.col("_x") * F.col("_x")).otherwise(zero),
@@ -139,21 +165,28 @@ def detect(df: DataFrame, value: str, partition: str, order: list[Column],
     cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # Sum over the previous ``span`` rows = C(i-1) - C(i-span-1), with C(i-1) = C(i) - c(i).
     stage = stage.select("*", *[e.alias("_k_" + k) for k, e in contrib.items()])
-    stage = stage.select("*", *[F.sum("_k_" + k).over(cum).alias("_c_" + k) for k in contrib])
-    stage = stage.select("*", *[(F.col("_c_" + k) - F.col("_k_" + k)
-                                 - F.lag("_c_" + k, span + 1, 0).over(w)).alias("_w_" + k) for k in contrib])
+    if scale:
+        stage = stage.select("*", *[F.sum("_k_" + k).over(cum).alias("_c_" + k) for k in contrib])
+        stage = stage.select("*", *[(F.col("_c_" + k) - F.col("_k_" + k)
+                                     - F.lag("_c_" + k, span + 1, 0).over(w)).alias("_w_" + k) for k in contrib])
+    else:
+        frame = w.rowsBetween(-span, -1)
+        stage = stage.select("*", *[F.coalesce(F.sum("_k_" + k).over(frame), F.lit(0).cast(
+            "bigint" if k == "n" else kind)).alias("_w_" + k) for k in contrib])
 
     n, sx, sy = F.col("_w_n"), F.col("_w_x"), F.col("_w_y")
     sxx = n * F.col("_w_xx") - sx * sx
     sxy = n * F.col("_w_xy") - sx * sy
     syy = n * F.col("_w_yy") - sy * sy
-    fit = (n >= params.min_training_size) & (sxx != 0) & F.col("_y").isNotNull()
+    # Doubles: a spread below their precision is no spread.
+    spread = (sxx != 0) if scale else (sxx > F.lit(1e-12) * n * F.col("_w_xx"))
+    fit = (n >= params.min_training_size) & spread & F.col("_y").isNotNull()
     # try_divide: NULL instead of an ANSI error where a row has no fit (its value is discarded anyway).
     slope = F.try_divide(sxy.cast("double"), sxx.cast("double"))
     intercept = F.try_divide(sy.cast("double") - slope * sx.cast("double"), n.cast("double"))
     forecast_t = intercept + slope * F.col("_x").cast("double")
     rss = F.greatest(syy.cast("double") - slope * sxy.cast("double"), F.lit(0.0))
-    scale = F.lit(float(params.scale))
+    scale = F.lit(float(scale or 1))
     stage = stage.withColumn("_fc", F.when(fit, forecast_t / scale)).withColumn(
         "_rmse", F.when(fit, F.try_divide(F.sqrt(rss), n.cast("double")) / scale))
     band = F.greatest(F.lit(params.z) * F.col("_rmse"), F.lit(params.floor))
@@ -196,7 +229,7 @@ def global_prefix_count(df: DataFrame, order: list[Column], flag: Column, num_pa
 
 
 def running_stats(df: DataFrame, value: str, partition: str, order: str, tie_breaks: list[str],
-                  scale: int = 10, block_rows: int = 8192, num_partitions: int | None = None) -> DataFrame:
+                  block_rows: int = 8192, num_partitions: int | None = None) -> DataFrame:
     """Running count / avg / max of ``value`` per ``partition`` ordered by ``order``.
 
     Frame: RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW, so rows with equal
@@ -207,25 +240,28 @@ def running_stats(df: DataFrame, value: str, partition: str, order: str, tie_bre
     ``num_partitions`` rows), (2) earlier blocks of its own partition (prefixed
     per partition and key), (3) earlier rows of its own block (<= ``block_rows``
     rows).  Peers then take the values of their last row through a partially
-    aggregated group-by.  Sums are exact on ``value * scale`` integers.
+    aggregated group-by.  Sums are order-independent (``functions.exact``); NaN counts as NULL.
     """
     spark = df.sparkSession
     if num_partitions is None:
         num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(partition), F.col(order)] + [F.col(c) for c in tie_breaks]
-    idx = range_index(df.withColumn("_v", F.round(F.col(value) * F.lit(scale)).cast("bigint")), keys,
+    hi, lo = split(F.col(value))
+    idx = range_index(df.withColumns({"_v": not_nan(F.col(value)), "_hi": hi, "_lo": lo}), keys,
                       num_partitions, "running")
     idx = idx.withColumn("_blk", F.floor(F.col("_local") / F.lit(block_rows)).cast("bigint"))
     earlier = Window.unboundedPreceding, -1
 
     def totals(cols):
-        return idx.groupBy(*cols).agg(F.count("_v").alias("_c"), F.sum("_v").alias("_s"), F.max("_v").alias("_m"))
+        return idx.groupBy(*cols).agg(F.count("_v").alias("_c"), F.sum("_hi").alias("_s"), F.sum("_lo").alias("_t"),
+                                      F.max("_v").alias("_m"))
 
     def prefixed(t, part, order_col, tag):
         w = Window.partitionBy(*part).orderBy(order_col).rowsBetween(*earlier)
         return t.select(*part, order_col,
                         F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_c" + tag),
                         F.coalesce(F.sum("_s").over(w), F.lit(0)).alias("_s" + tag),
+                        F.coalesce(F.sum("_t").over(w), F.lit(0)).alias("_t" + tag),
                         F.max("_m").over(w).alias("_m" + tag))
 
     by_part = prefixed(totals([partition, "_pid"]), [partition], "_pid", "1")
@@ -233,21 +269,23 @@ def running_stats(df: DataFrame, value: str, partition: str, order: str, tie_bre
     w_in = Window.partitionBy(partition, "_pid", "_blk").orderBy("_local").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     rows = idx.join(by_blk, [partition, "_pid", "_blk"]).join(by_part, [partition, "_pid"]).select(
-        *df.columns, "_pid", "_local", "_c1", "_s1", "_m1", "_c2", "_s2", "_m2",
-        F.count("_v").over(w_in).alias("_c3"), F.coalesce(F.sum("_v").over(w_in), F.lit(0)).alias("_s3"),
+        *df.columns, "_pid", "_local", "_c1", "_s1", "_t1", "_m1", "_c2", "_s2", "_t2", "_m2",
+        F.count("_v").over(w_in).alias("_c3"), F.coalesce(F.sum("_hi").over(w_in), F.lit(0)).alias("_s3"),
+        F.coalesce(F.sum("_lo").over(w_in), F.lit(0)).alias("_t3"),
         F.max("_v").over(w_in).alias("_m3"))
     cum = rows.select(
         *df.columns, F.struct("_pid", "_local").alias("_pos"),
         (F.col("_c1") + F.col("_c2") + F.col("_c3")).alias("_cc"),
         (F.col("_s1") + F.col("_s2") + F.col("_s3")).alias("_cs"),
+        (F.col("_t1") + F.col("_t2") + F.col("_t3")).alias("_ct"),
         F.greatest("_m1", "_m2", "_m3").alias("_cm"))
     # Peers: every row takes the running values of the last row with its (partition, order) value.
-    peers = cum.groupBy(partition, order).agg(F.max_by(F.struct("_cc", "_cs", "_cm"), F.col("_pos")).alias("_last"))
-    out = cum.drop("_cc", "_cs", "_cm", "_pos").join(peers, [partition, order])
-    c, s_ = F.col("_last._cc"), F.col("_last._cs")
+    peers = cum.groupBy(partition, order).agg(F.max_by(F.struct("_cc", "_cs", "_ct", "_cm"), F.col("_pos")).alias("_last"))
+    out = cum.drop("_cc", "_cs", "_ct", "_cm", "_pos").join(peers, [partition, order])
+    c = F.col("_last._cc")
     return out.select(
         *df.columns,
         c.alias("running_count"),
-        F.when(c > 0, s_.cast("double") / c.cast("double") / F.lit(float(scale))).alias("running_avg"),
-        (F.col("_last._cm").cast("double") / F.lit(float(scale))).alias("running_max"),
+        mean(F.col("_last._cs"), F.col("_last._ct"), c).alias("running_avg"),
+        F.col("_last._cm").alias("running_max"),
     )

@@ -8,9 +8,8 @@ partition), never a full sort.  Per-parent top-N uses ``dense_rank`` windows
 over the already-aggregated buckets, whose count is bounded by the number of
 distinct key combinations, not by the number of findings.
 
-Averages of scores are taken over exact integers (``value * scale``); the
-scores carry a fixed number of decimals (CVSS one, scores two), so the result
-is the exact mean, independent of summation order.
+Averages of scores are taken over the values as they are (``exact_avg``), with
+sums that do not depend on the partitioning.
 """
 
 from __future__ import annotations
@@ -20,21 +19,15 @@ from pyspark.sql import functions as F
 
 from secflow import schemas as S
 from secflow.functions import keys as K
-
-
-def scaled_avg(col: str | Column, scale: int) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    total = F.sum(F.round(c * F.lit(scale)).cast("bigint"))
-    n = F.count(c)
-    return F.when(n > 0, F.try_divide(total.cast("double"), n.cast("double")) / F.lit(float(scale)))
+from secflow.functions.exact import exact_avg, mean, not_nan, split
 
 
 def avg_cvss(col: str = "cvss_score") -> Column:
-    return scaled_avg(col, 10)
+    return exact_avg(F.col(col))
 
 
 def avg_score(col: str = "anomaly_score") -> Column:
-    return scaled_avg(col, 100)
+    return exact_avg(F.col(col))
 
 
 # --- per-tenant demo aggregations -------------------------------------------------
@@ -201,35 +194,32 @@ def bi_rollup_topn(docs: DataFrame, tenants: int = 1000, severities: int = 10, r
     lacking a severity are not counted; a document lacking a deeper key still counts for the
     levels above it, like nested terms buckets."""
     ts = K.parse_event_time(F.col("event_time"))
-    base = docs.filter(F.col("severity").isNotNull() & ts.isNotNull() & F.col("tenant_id").isNotNull()) \
-        .select(F.window(ts, width).alias("w"), "tenant_id", "severity", "predicted_risk", "cvss_score",
-                "anomaly_score") \
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "tenant_id",
-                "severity", "predicted_risk", "cvss_score", "anomaly_score")
-    # Tenants: per-window top-k in two phases, so no task ranks all tenants of a window.  Tenant
-    # totals are unique per (window, tenant) and ordered by (total desc, tenant), a total order, so
-    # keeping the top k of every salt keeps the global top k.
-    t_tot = base.groupBy("window_start", "tenant_id").agg(F.count(F.lit(1)).alias("_tt"))
-    salted = t_tot.withColumn("_salt", F.pmod(F.xxhash64("tenant_id"), F.lit(salts)))
-    by_tot = [F.col("_tt").desc(), F.col("tenant_id")]
-    first = salted.withColumn("_r1", F.row_number().over(Window.partitionBy("window_start", "_salt").orderBy(*by_tot))) \
-                  .filter(F.col("_r1") <= tenants)
-    top_t = first.withColumn("_tr", F.row_number().over(Window.partitionBy("window_start").orderBy(*by_tot))) \
-                 .filter(F.col("_tr") <= tenants).select("window_start", "tenant_id", "_tt", "_tr")
-    # Severities within a tenant: groups bounded by the severity domain.
-    s_tot = base.groupBy("window_start", "tenant_id", "severity").agg(F.count(F.lit(1)).alias("_st"))
-    top_s = s_tot.withColumn("_sr", F.row_number().over(
-        Window.partitionBy("window_start", "tenant_id").orderBy(F.col("_st").desc(), F.col("severity")))) \
-        .filter(F.col("_sr") <= severities)
-    leaf = base.filter(F.col("predicted_risk").isNotNull()) \
-        .groupBy("window_start", "window_end", "tenant_id", "severity", "predicted_risk").agg(
-            F.count(F.lit(1)).alias("findings"), avg_cvss().alias("avg_cvss_score"),
-            avg_score().alias("avg_anomaly_score"))
-    ranked = leaf.join(top_t, ["window_start", "tenant_id"]).join(top_s, ["window_start", "tenant_id", "severity"])
-    ranked = ranked.withColumn("_rr", F.row_number().over(
+    hi_c, lo_c = split(F.col("cvss_score"))
+    hi_a, lo_a = split(F.col("anomaly_score"))
+    # One aggregate over the documents; everything below works on its buckets.
+    buckets = docs.filter(F.col("severity").isNotNull() & ts.isNotNull() & F.col("tenant_id").isNotNull()) \
+        .groupBy(F.window(ts, width).alias("w"), "tenant_id", "severity", "predicted_risk").agg(
+            F.count(F.lit(1)).alias("findings"),
+            F.sum(hi_c).alias("_hc"), F.sum(lo_c).alias("_lc"), F.count(not_nan(F.col("cvss_score"))).alias("_nc"),
+            F.sum(hi_a).alias("_ha"), F.sum(lo_a).alias("_la"), F.count(not_nan(F.col("anomaly_score"))).alias("_na")) \
+        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "tenant_id", "severity",
+                "predicted_risk", "findings", mean(F.col("_hc"), F.col("_lc"), F.col("_nc")).alias("avg_cvss_score"),
+                mean(F.col("_ha"), F.col("_la"), F.col("_na")).alias("avg_anomaly_score"))
+    in_tenant = Window.partitionBy("window_start", "tenant_id")
+    totals = buckets.withColumn("_tt", F.sum("findings").over(in_tenant)).withColumn(
+        "_st", F.sum("findings").over(Window.partitionBy("window_start", "tenant_id", "severity")))
+    by_severity = totals.withColumn("_sr", F.dense_rank().over(
+        in_tenant.orderBy(F.col("_st").desc(), F.col("severity")))).filter(F.col("_sr") <= severities)
+    leaf = by_severity.filter(F.col("predicted_risk").isNotNull()).withColumn("_rr", F.row_number().over(
         Window.partitionBy("window_start", "tenant_id", "severity").orderBy(
-            F.col("findings").desc(), F.col("predicted_risk"))))
-    kept = ranked.filter(F.col("_rr") <= risks).select(
-        "window_start", "window_end", "tenant_id", "severity", "predicted_risk", "findings", "avg_cvss_score",
-        "avg_anomaly_score", "_tt", "_st", "_tr", "_sr", "_rr")
-    return kept.drop("_tt", "_st", "_tr", "_sr", "_rr")
+            F.col("findings").desc(), F.col("predicted_risk")))).filter(F.col("_rr") <= risks)
+    # Tenants: top-k per window in two phases, so no task ranks all tenants of a window.  A tenant's
+    # rows share their total, so dense ranks count tenants, and the top k of every salt hold the top k.
+    by_tot = [F.col("_tt").desc(), F.col("tenant_id")]
+    salted = leaf.withColumn("_salt", F.pmod(F.xxhash64("tenant_id"), F.lit(salts)))
+    first = salted.withColumn("_r1", F.dense_rank().over(
+        Window.partitionBy("window_start", "_salt").orderBy(*by_tot))).filter(F.col("_r1") <= tenants)
+    kept = first.withColumn("_tr", F.dense_rank().over(Window.partitionBy("window_start").orderBy(*by_tot))) \
+                .filter(F.col("_tr") <= tenants)
+    return kept.select("window_start", "window_end", "tenant_id", "severity", "predicted_risk", "findings",
+                       "avg_cvss_score", "avg_anomaly_score")

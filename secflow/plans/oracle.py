@@ -9,6 +9,17 @@ from __future__ import annotations
 
 AS_OF = "2024-02-01 00:00:00"
 
+
+def avg_sql(col: str, over: str = "") -> str:
+    """Average of a DOUBLE column with order-independent sums (no rounding to decimals)."""
+    hi = f"FLOOR({col} * 1048576e0)"
+    lo = f"FLOOR(({col} * 1048576e0 - {hi}) * 8589934592e0)"
+    total = " + ".join(f"CAST(SUM(CAST({part} AS BIGINT)){over} AS DOUBLE){unit}"
+                       for part, unit in ((hi, ""), (lo, " / 8589934592e0")))
+    n = f"COUNT({col}){over}"
+    return f"CASE WHEN {n} > 0 THEN ({total}) / CAST({n} AS DOUBLE) / 1048576e0 END"
+
+
 ADAPTERS = {
     "assets": """
 SELECT c_mktsegment AS tenant_id,
@@ -117,10 +128,8 @@ FROM (SELECT d.*, ROW_NUMBER() OVER (PARTITION BY _id ORDER BY ip_address DESC N
 SELECT time_bucket(INTERVAL '10 minutes', ts) AS window_start,
        time_bucket(INTERVAL '10 minutes', ts) + INTERVAL '10 minutes' AS window_end,
        tenant_id, severity, predicted_risk, COUNT(*) AS findings,
-       CAST(SUM(CAST(ROUND(cvss_score * 10) AS BIGINT)) AS DOUBLE) / CAST(COUNT(cvss_score) AS DOUBLE) / 10.0
-         AS avg_cvss_score,
-       CAST(SUM(CAST(ROUND(anomaly_score * 100) AS BIGINT)) AS DOUBLE) / CAST(COUNT(anomaly_score) AS DOUBLE) / 100.0
-         AS avg_anomaly_score
+       """ + avg_sql("cvss_score") + """ AS avg_cvss_score,
+       """ + avg_sql("anomaly_score") + """ AS avg_anomaly_score
 FROM (SELECT *, TRY_CAST(event_time AS TIMESTAMP) AS ts FROM findings_latest) WHERE ts IS NOT NULL
 GROUP BY ALL""",
     "rule_rows": """

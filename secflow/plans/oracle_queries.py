@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from secflow.plans.oracle import with_ctes
+from secflow.plans.oracle import avg_sql, with_ctes
 
 ENT = ["assets", "network_interfaces", "asset_cves"]
 TS = "TRY_CAST(event_time AS TIMESTAMP)"
-AVG_CVSS = ("CAST(SUM(CAST(ROUND(cvss_score * 10) AS BIGINT)) AS DOUBLE) / "
-            "CAST(COUNT(cvss_score) AS DOUBLE) / 10.0")
-AVG_SCORE = ("CAST(SUM(CAST(ROUND(anomaly_score * 100) AS BIGINT)) AS DOUBLE) / "
-             "CAST(COUNT(anomaly_score) AS DOUBLE) / 100.0")
+AVG_CVSS = avg_sql("cvss_score")
+AVG_SCORE = avg_sql("anomaly_score")
 JOIN3 = """FROM assets a
 JOIN network_interfaces n ON a.tenant_id = n.tenant_id AND a.asset_id = n.asset_id
 JOIN asset_cves c ON a.tenant_id = c.tenant_id AND a.asset_id = c.asset_id"""
@@ -69,10 +67,8 @@ FROM cve_scored""")
     q["running_cvss_range"] = with_ctes(["asset_cves"], """
 SELECT tenant_id, cve_record_id, cvss_score, discovered_at,
        COUNT(cvss_score) OVER w AS running_count,
-       CASE WHEN COUNT(cvss_score) OVER w > 0 THEN
-         CAST(SUM(CAST(ROUND(cvss_score * 10) AS BIGINT)) OVER w AS DOUBLE)
-           / CAST(COUNT(cvss_score) OVER w AS DOUBLE) / 10.0 END AS running_avg,
-       CAST(MAX(CAST(ROUND(cvss_score * 10) AS BIGINT)) OVER w AS DOUBLE) / 10.0 AS running_max
+       """ + avg_sql("cvss_score", " OVER w") + """ AS running_avg,
+       MAX(cvss_score) OVER w AS running_max
 FROM asset_cves
 WINDOW w AS (PARTITION BY tenant_id ORDER BY discovered_at RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
     q["cep_incident"] = with_ctes(["rule_rows", "asset_activity"], """
@@ -133,7 +129,7 @@ SELECT tenant_id, COUNT(*) AS critical_cves FROM asset_cves WHERE severity = 'CR
     q["agg_high_risk_assets"] = with_ctes(["assets"], """
 SELECT tenant_id, COUNT(*) AS high_risk_assets FROM assets WHERE risk_level = 'HIGH' GROUP BY tenant_id""")
     q["agg_avg_cvss"] = with_ctes(["asset_cves"], f"""
-SELECT tenant_id, CASE WHEN COUNT(cvss_score) > 0 THEN {AVG_CVSS} END AS avg_cvss
+SELECT tenant_id, {AVG_CVSS} AS avg_cvss
 FROM asset_cves GROUP BY tenant_id""")
     q["agg_cves_per_tenant"] = with_ctes(["asset_cves"], """
 SELECT tenant_id, COUNT(*) AS cve_count FROM asset_cves GROUP BY tenant_id""")
@@ -154,7 +150,7 @@ FROM assets_cdc_flat
 WHERE op IN ('c', 'r', 'u') AND risk_level = 'HIGH'
 GROUP BY 1, 2, 3""")
     q["top_device_types"] = with_ctes(["findings_latest"], f"""
-SELECT device_type, COUNT(*) AS findings, CASE WHEN COUNT(cvss_score) > 0 THEN {AVG_CVSS} END AS avg_cvss_score
+SELECT device_type, COUNT(*) AS findings, {AVG_CVSS} AS avg_cvss_score
 FROM findings_latest GROUP BY device_type ORDER BY findings DESC, device_type ASC NULLS LAST LIMIT 20""")
     q["kpi_total_findings"] = with_ctes(["finding_docs"], "SELECT COUNT(*) AS findings FROM finding_docs")
     q["kpi_critical_findings"] = with_ctes(["finding_docs"],
@@ -170,8 +166,8 @@ SELECT tenant_id, COUNT(*) AS alerts FROM finding_docs WHERE predicted_risk = 'C
     q["top_cves"] = with_ctes(["finding_docs"], _top("finding_docs", "cve_id", 10))
     q["avg_scores"] = with_ctes(["finding_docs"], f"""
 SELECT tenant_id, COUNT(*) AS findings,
-       CASE WHEN COUNT(cvss_score) > 0 THEN {AVG_CVSS} END AS avg_cvss_score,
-       CASE WHEN COUNT(anomaly_score) > 0 THEN {AVG_SCORE} END AS avg_anomaly_score
+       {AVG_CVSS} AS avg_cvss_score,
+       {AVG_SCORE} AS avg_anomaly_score
 FROM finding_docs GROUP BY ROLLUP (tenant_id)""")
     q["findings_over_time"] = with_ctes(["finding_docs"], """
 SELECT time_bucket(INTERVAL '1 hour', strptime(event_time, '%Y-%m-%dT%H:%M:%S.%fZ')) AS bucket_start,
@@ -184,7 +180,7 @@ WHERE tenant_id IN ('BUILDING', 'MACHINERY') AND severity IN ('CRITICAL')
   AND device_type IN ('server', 'router', 'firewall')""")
     q["top_devices"] = with_ctes(["findings_latest"], f"""
 SELECT tenant_id, asset_id, device_type, COUNT(*) AS findings,
-       CASE WHEN COUNT(cvss_score) > 0 THEN {AVG_CVSS} END AS avg_cvss_score
+       {AVG_CVSS} AS avg_cvss_score
 FROM findings_latest GROUP BY tenant_id, asset_id, device_type
 ORDER BY findings DESC, tenant_id, asset_id LIMIT 10""")
 
@@ -213,8 +209,8 @@ FROM (
                                ORDER BY findings DESC, predicted_risk) AS rr
   FROM (
     SELECT window_start, window_end, tenant_id, severity, predicted_risk, COUNT(*) AS findings,
-           CASE WHEN COUNT(cvss_score) > 0 THEN {AVG_CVSS} END AS avg_cvss_score,
-           CASE WHEN COUNT(anomaly_score) > 0 THEN {AVG_SCORE} END AS avg_anomaly_score
+           {AVG_CVSS} AS avg_cvss_score,
+           {AVG_SCORE} AS avg_anomaly_score
     FROM base WHERE predicted_risk IS NOT NULL GROUP BY 1, 2, 3, 4, 5)) l
 JOIN (SELECT window_start, tenant_id FROM (
         SELECT window_start, tenant_id,
