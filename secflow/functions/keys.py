@@ -16,10 +16,6 @@ def finding_key(tenant_id: Column, asset_id: Column, cve_id: Column) -> Column:
     return F.encode(F.concat(tenant_id, F.lit("|"), asset_id, F.lit("|"), cve_id), "UTF-8")
 
 
-def finding_key_text(tenant_id: Column, asset_id: Column, cve_id: Column) -> Column:
-    return F.concat(tenant_id, F.lit("|"), asset_id, F.lit("|"), cve_id)
-
-
 def to_millis_precision(ts: Column) -> Column:
     """``CAST(ts AS TIMESTAMP(3))``: drop sub-millisecond digits."""
     return F.date_trunc("millisecond", ts)
@@ -31,8 +27,12 @@ def event_time_text(ts: Column) -> Column:
 
 
 def parse_event_time(text: Column) -> Column:
-    """Lenient parse: ISO with ``T`` or blank separator, optional zone; junk or '' -> NULL."""
-    return F.try_to_timestamp(F.replace(text, F.lit(" "), F.lit("T")))
+    """Lenient parse: ISO with ``T`` or blank separator, optional zone; the basic form without
+    separators too.  A full date is required: a bare time or year is junk, and junk or '' -> NULL."""
+    iso = F.regexp_replace(F.trim(text), r"^(\d{4})(\d{2})(\d{2})[T ](\d{2})(\d{2})(\d{2})", "$1-$2-$3T$4:$5:$6")
+    iso = F.regexp_replace(iso, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    return F.when(iso.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d|$)"),
+                  F.try_to_timestamp(F.regexp_replace(iso, r"^(\S{10}) ", "$1T")))
 
 
 def normalize_event_time(text: Column) -> Column:

@@ -13,11 +13,28 @@ from pyspark.sql import functions as F
 
 from secflow import schemas as S
 
-# IPv4 dotted quad with each octet 0..255; IPv6 in full or '::'-compressed form.
-IPV4_PATTERN = r"^((25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])$"
-IPV6_PATTERN = (r"^(([0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
-                r"|([0-9A-Fa-f]{1,4}:){0,7}:([0-9A-Fa-f]{1,4}:){0,7}[0-9A-Fa-f]{0,4}"
-                r"|::)$")
+# IPv4: four numbers 0..255.  IPv6: eight groups, or fewer with one '::' for the missing ones; the last two
+# groups may be an IPv4 address.
+_OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_V4 = rf"({_OCTET}\.){{3}}{_OCTET}"
+_GROUP = "[0-9A-Fa-f]{1,4}"
+
+
+def _ipv6() -> str:
+    g, forms = _GROUP, []
+    for tail, most in (("", 8), (_V4, 6)):
+        # All groups written out; then one '::' with k groups before it and as many as fit after it.
+        forms.append(f"({g}:){{{most}}}{tail}" if tail else f"({g}:){{7}}{g}")
+        for k in range(most):
+            after = most - 1 - k
+            end = f"(({g}:){{0,{after}}}{tail})" if tail else (f"({g}(:{g}){{0,{after - 1}}})?" if after else "")
+            head = f"{g}(:{g}){{{k - 1}}}" if k else ""
+            forms.append(f"{head}::{end}")
+    return "^(" + "|".join(forms) + ")$"
+
+
+IPV4_PATTERN = f"^{_V4}$"
+IPV6_PATTERN = _ipv6()
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

@@ -1,13 +1,16 @@
 """Three-way entity join and the rules evaluated on it.
 
-Every join is an inner equi-join on ``(tenant_id, asset_id)``.  Because all
-three inputs share that key, Spark hash-partitions each input once and the
-second join reuses the first join's output partitioning: three exchanges,
-no re-shuffle of the intermediate result.  Filters written after the join
-(risk level, activity, CVSS) are pushed below it by Catalyst.  No broadcast
-hint is given: AQE switches a side to broadcast only when its measured size
-is under ``spark.sql.autoBroadcastJoinThreshold``, and skewed keys are split
-by AQE's skew-join handling.
+Every join is an inner equi-join on ``(tenant_id, asset_id)``.  Filters written
+after the join (risk level, activity, CVSS) are pushed below it by Catalyst.
+No broadcast hint is given: AQE switches a side to broadcast only when its
+measured size is under ``spark.sql.autoBroadcastJoinThreshold``.
+
+Hot assets.  AQE splits a skewed partition only where both inputs of a join
+come straight from a shuffle.  A second join that reuses the first one's
+partitioning has no such shuffle, and one asset's interfaces x CVEs would stay
+in one task.  The second join is therefore keyed by the pair as one struct,
+which costs one shuffle of the small asset-interface side and lets AQE split
+the CVE side of a hot asset over many tasks.
 """
 
 from __future__ import annotations
@@ -40,7 +43,11 @@ def join_entities(assets: DataFrame, interfaces: DataFrame, cves: DataFrame,
     a = assets.select(*JOIN_KEYS, *asset_cols)
     n = interfaces.select(*JOIN_KEYS, *interface_cols)
     c = cves.select(*JOIN_KEYS, *cve_cols)
-    return a.join(n, JOIN_KEYS).join(c, JOIN_KEYS)
+    pair = F.struct(*JOIN_KEYS)
+    # A struct equals itself even with NULL fields, an inner join on the columns would not.
+    known = F.col(JOIN_KEYS[0]).isNotNull() & F.col(JOIN_KEYS[1]).isNotNull()
+    left = a.join(n, JOIN_KEYS).withColumn("_pair", pair)
+    return left.join(c.filter(known).withColumn("_pair", pair).drop(*JOIN_KEYS), "_pair").drop("_pair")
 
 
 def detection_rule(assets: DataFrame, interfaces: DataFrame, cves: DataFrame, as_of) -> DataFrame:
@@ -91,10 +98,13 @@ def join_active(assets: DataFrame, interfaces: DataFrame, cves: DataFrame) -> Da
                          ["cve_record_id", "cve_id", "cvss_score", "severity", "discovered_at"])
 
 
-def incident(rule_rows: DataFrame, activity: DataFrame) -> DataFrame:
-    """Rule finding on an asset that also shows suspicious activity (left semi join)."""
+def incident(rule_rows: DataFrame, activity: DataFrame, as_of, hours: int = 72) -> DataFrame:
+    """Rule finding on an asset with suspicious activity in the ``hours`` before the finding (``as_of``)."""
+    end = as_of_literal(as_of)
+    seen = F.col("activity_time").cast("timestamp")
+    recent = (seen > end - F.make_dt_interval(hours=F.lit(hours))) & (seen <= end)
     # Distinct keys (partial aggregation): a hot asset adds one build row, not all its events.
-    sus = activity.filter(F.col("is_suspicious")).select(*JOIN_KEYS).distinct()
+    sus = activity.filter(F.col("is_suspicious") & recent).select(*JOIN_KEYS).distinct()
     return rule_rows.join(sus, JOIN_KEYS, "left_semi")
 
 

@@ -2,8 +2,8 @@
 
 Last-writer-wins per key is a grouped ``max`` over a struct whose leading
 fields are the ordering columns.  It is an ordinary aggregate, so Spark runs
-it as partial + final aggregation: a hot key collapses to one row per map task
-before the shuffle instead of landing whole in one task (which a
+it as partial + final (sort-based) aggregation: a hot key collapses to one row
+per map task before the shuffle instead of landing whole in one task (which a
 ``row_number()`` window over the key would do).
 """
 
@@ -81,9 +81,13 @@ def all_findings(rule_rows: DataFrame, ml_rows: DataFrame) -> DataFrame:
     return with_key(rule_rows).unionByName(ml_rows.select(*S.FINDING_COLUMNS))
 
 
-# Ordering of versions of one key: newest event first, then greatest address, then the rest.
-UPSERT_ORDER = ["event_time", "ip_address", "device_type", "cvss_score", "severity", "anomaly_score",
-                "finding_type", "predicted_risk", "model_version"]
+# Ordering of versions of one key: newest event (by instant, ``_instant``), then greatest address, then the rest.
+UPSERT_ORDER = ["_instant", "ip_address", "device_type", "cvss_score", "severity", "anomaly_score",
+                "finding_type", "predicted_risk", "model_version", "event_time"]
+
+
+def with_instant(findings: DataFrame) -> DataFrame:
+    return findings.withColumn("_instant", K.parse_event_time(F.col("event_time")))
 
 
 def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -96,7 +100,8 @@ def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def upsert_latest(findings: DataFrame) -> DataFrame:
     """Current state of the upsert table keyed by ``key`` (NULL keys are rejected by the sink)."""
-    return latest_by(findings.filter(F.col("key").isNotNull()), ["key"], UPSERT_ORDER)
+    known = with_instant(findings.filter(F.col("key").isNotNull()))
+    return latest_by(known, ["key"], UPSERT_ORDER).drop("_instant")
 
 
 def documents(findings: DataFrame) -> DataFrame:

@@ -126,7 +126,14 @@ def retention_days(label: Column) -> Column:
     return (F.when(unit.startswith("day"), num)
              .when(unit.startswith("week"), num * 7)
              .when(unit.startswith("month"), num * 30)
-             .when(unit.startswith("year"), num * 365))
+             .when(unit.startswith("year"), num * 365)
+             .when(unit.startswith("hour"), F.floor(num / 24).cast("int")))
+
+
+def retention_hours(label: Column) -> Column:
+    """Hours beyond the whole days of ``retention_days`` ('36-hours' -> 12)."""
+    n = F.regexp_extract(label, r"^\s*(\d+)\s*-?\s*[Hh]ours?\s*$", 1)
+    return F.when(n != "", n.cast("int") % 24).otherwise(F.lit(0))
 
 
 def retention_expired(meta: DataFrame, data: dict[str, DataFrame], as_of) -> DataFrame:
@@ -140,10 +147,10 @@ def retention_expired(meta: DataFrame, data: dict[str, DataFrame], as_of) -> Dat
         rows = rows.unionByName(f)
     days = meta.select("topic", F.col("labels.retention").alias("retention"),
                        retention_days(F.col("labels.retention")).alias("retention_days"))
-    cut = days.withColumn("cutoff", (as_of_literal(as_of) - F.make_dt_interval(F.col("retention_days")))
+    cut = days.withColumn("cutoff", (as_of_literal(as_of) - F.make_dt_interval(F.col("retention_days"), retention_hours(F.col("retention"))))
                           .cast("timestamp_ntz"))
-    # The metadata side has one row per dataset: a bounded broadcast.
-    j = rows.join(F.broadcast(cut), "topic")
+    # One row per topic, so a topic listed twice cannot double the counts.
+    j = rows.join(cut.dropDuplicates(["topic"]), "topic")
     return j.groupBy("topic", "retention", "retention_days", "cutoff").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(F.when(F.col("ts") < F.col("cutoff"), 1)).alias("expired_rows"))

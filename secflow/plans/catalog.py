@@ -1,7 +1,9 @@
 """Registered queries: each builds one DataFrame plan from the driver tables.
 
 A query is ``fn(spark, sf_dir) -> DataFrame``.  Everything below composes the
-library operators over the fixture adapters; nothing is collected.
+library operators over the fixture adapters; no rows are collected.  Queries
+on global positions (anomaly model, running statistics, bursts) write a
+position table to the shared folder and read it back while the plan is built.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from secflow import schemas as S
 from secflow.functions import keys as K
 from secflow.operators import anomaly, cdc, contracts, enrich, findings, governance, rollups
 from secflow.operators import cep
@@ -122,7 +125,7 @@ def q_running(spark, d):
 @query("cep_incident")
 def q_cep_incident(spark, d):
     rule = enrich.detection_rule(*_entities(spark, d), as_of=AS_OF)
-    return enrich.incident(rule, fx.asset_activity(spark, d))
+    return enrich.incident(rule, fx.asset_activity(spark, d), as_of=AS_OF)
 
 
 @query("threat_intel_enrichment")
@@ -158,7 +161,9 @@ def q_all(spark, d):
 
 @query("purge_missing_severity")
 def q_purge(spark, d):
-    return findings.purge_missing_severity(finding_docs(spark, d))
+    # A record without a score has no trustworthy severity: its document arrives without one.
+    docs = finding_docs(spark, d).withColumn("severity", F.when(F.col("cvss_score").isNotNull(), F.col("severity")))
+    return findings.purge_missing_severity(docs)
 
 
 @query("conform_findings")
@@ -404,27 +409,34 @@ def q_i17(spark, d):
 
 @query("check_pk")
 def q_n1(spark, d):
-    return contracts.check_pk_all(*_entities(spark, d))
+    return contracts.check_pk_all(*fx.incoming(spark, d))
 
 
 @query("check_fk")
 def q_n2(spark, d):
-    return contracts.check_fk_all(*_entities(spark, d))
+    _, n, c = fx.incoming(spark, d)
+    return contracts.check_fk_all(fx.assets(spark, d), n, c)
 
 
 @query("check_not_null")
 def q_n3(spark, d):
-    return contracts.check_not_null_all(*_entities(spark, d))
+    return contracts.check_not_null_all(*fx.incoming(spark, d))
 
 
 @query("check_lengths")
 def q_n4(spark, d):
-    return contracts.check_lengths_all(*_entities(spark, d))
+    return contracts.check_lengths_all(*fx.incoming(spark, d))
 
 
 @query("apply_defaults")
 def q_n5(spark, d):
-    return contracts.apply_defaults(cdc.latest_state(fx.assets_cdc(spark, d)), {"risk_level": "LOW"})
+    a, n, _ = fx.incoming(spark, d)
+    a = contracts.apply_defaults(a, S.DEFAULTS["assets"])
+    n = contracts.apply_defaults(n, S.DEFAULTS["network_interfaces"])
+    return a.groupBy(F.lit("assets").alias("table_name"), F.col("risk_level").alias("value"),
+                     F.col("is_quarantined").alias("flag")).agg(F.count(F.lit(1)).alias("rows")).unionByName(
+        n.groupBy(F.lit("network_interfaces").alias("table_name"), F.lit(None).cast("string").alias("value"),
+                  F.col("is_active").alias("flag")).agg(F.count(F.lit(1)).alias("rows")))
 
 
 @query("cascade_deletes")
@@ -435,7 +447,7 @@ def q_n6(spark, d):
 
 @query("check_ip")
 def q_n7(spark, d):
-    return contracts.check_ip(fx.network_interfaces(spark, d))
+    return contracts.check_ip(fx.incoming(spark, d)[1])
 
 
 # --- governance joined with data ---------------------------------------------------------
@@ -443,7 +455,9 @@ def q_n7(spark, d):
 @query("retention_expired")
 def q_m11(spark, d):
     a, n, c = _entities(spark, d)
+    changes = fx.assets_cdc_flat(spark, d)
     data = {
+        "assets": changes.select(F.timestamp_millis("ts_ms").cast("timestamp_ntz").alias("ts")),
         "network_interfaces": n.select(F.col("last_seen_at").alias("ts")),
         "asset_cves": c.select(F.col("discovered_at").alias("ts")),
         "security_findings": findings_table(spark, d).select(K.parse_event_time(F.col("event_time"))

@@ -52,7 +52,7 @@ SELECT t.tenant_id, t.cve_record_id, t.asset_id, t.cve_id, t.cvss_score,
        t.discovered_at
 FROM (
   SELECT c.c_mktsegment AS tenant_id,
-         CAST(e.event_id AS INT) AS cve_record_id,
+         CAST(e.event_id AS BIGINT) AS cve_record_id,
          CAST(e.user_id AS VARCHAR) AS asset_id,
          CONCAT('CVE-2026-', CAST(10000 + e.event_id % 90000 AS VARCHAR)) AS cve_id,
          CASE WHEN e.event_id % 97 = 0 THEN NULL
@@ -71,6 +71,34 @@ SELECT c.c_mktsegment AS key_tenant_id,
        CASE WHEN e.event_type = 'error' THEN NULL
             WHEN e.value >= 60 THEN 'HIGH' WHEN e.value >= 20 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level
 FROM events e JOIN customer c ON e.user_id = c.c_custkey""",
+    "in_assets": """
+SELECT * FROM assets
+UNION ALL
+SELECT * REPLACE (CASE WHEN asset_id::BIGINT % 100 = 0 THEN repeat(os_vendor, 40) ELSE os_vendor END AS os_vendor,
+                  CASE WHEN asset_id::BIGINT % 150 = 0 THEN NULL ELSE risk_level END AS risk_level,
+                  CASE WHEN asset_id::BIGINT % 200 = 0 THEN NULL ELSE is_quarantined END AS is_quarantined)
+FROM assets WHERE asset_id::BIGINT % 50 = 0""",
+    "in_interfaces": """
+SELECT * FROM network_interfaces
+UNION ALL
+SELECT * REPLACE (
+  CASE WHEN interface_id::BIGINT % 120 = 0 THEN CONCAT('X', asset_id) ELSE asset_id END AS asset_id,
+  CASE WHEN interface_id::BIGINT % 80 = 0 THEN CONCAT('v6-', interface_id) ELSE interface_id END AS interface_id,
+  (['::1', '::ffff:1.2.3.4', '2001:db8::8a2e:370:7334', 'fe80::', '1:2:3:4:5:6:7:8', ':', ':1', '1::2:',
+    '1:2:3:4:5:6:7::1:2:3:4', '256.1.1.1', '10.0.0', ''])[(interface_id::BIGINT // 40) % 12 + 1] AS ip_address,
+  CASE WHEN interface_id::BIGINT % 160 = 0 THEN repeat(mac_address, 20) ELSE mac_address END AS mac_address,
+  CASE WHEN interface_id::BIGINT % 200 = 0 THEN NULL ELSE is_active END AS is_active)
+FROM network_interfaces WHERE interface_id::BIGINT % 40 = 0""",
+    "in_cves": """
+SELECT * FROM asset_cves
+UNION ALL
+SELECT * REPLACE (
+  CASE WHEN cve_record_id % 90 = 0 THEN CONCAT('X', asset_id) ELSE asset_id END AS asset_id,
+  CASE WHEN cve_record_id % 60 = 0 THEN NULL ELSE severity END AS severity,
+  CASE WHEN cve_record_id % 120 = 0 THEN repeat(cve_id, 20) ELSE cve_id END AS cve_id,
+  CASE WHEN cve_record_id % 150 = 0 THEN cvss_score + 0.25e0 WHEN cve_record_id % 210 = 0 THEN cvss_score * 100e0
+       ELSE cvss_score END AS cvss_score)
+FROM asset_cves WHERE cve_record_id % 30 = 0""",
     "asset_activity": """
 SELECT c.c_mktsegment AS tenant_id, CAST(e.user_id AS VARCHAR) AS asset_id, e.event_id AS activity_id,
        e.event_type AS activity_type, e.ts AS activity_time, (e.event_type IN ('error')) AS is_suspicious
@@ -225,6 +253,9 @@ FRAGMENTS.update(series_chain("", "joined_active",
 FRAGMENTS.update(series_chain("cve_", "asset_cves", "date_trunc('millisecond', discovered_at), cve_record_id"))
 
 _DEPENDS = {
+    "in_assets": ["assets"],
+    "in_interfaces": ["network_interfaces"],
+    "in_cves": ["asset_cves"],
     "joined_active": ["assets", "network_interfaces", "asset_cves"],
     "series_prep": ["joined_active"],
     "series_cum": ["series_prep"],

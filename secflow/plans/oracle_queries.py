@@ -74,7 +74,9 @@ WINDOW w AS (PARTITION BY tenant_id ORDER BY discovered_at RANGE BETWEEN UNBOUND
     q["cep_incident"] = with_ctes(["rule_rows", "asset_activity"], """
 SELECT * FROM rule_rows r
 WHERE EXISTS (SELECT 1 FROM asset_activity s
-              WHERE s.is_suspicious AND s.tenant_id = r.tenant_id AND s.asset_id = r.asset_id)""")
+              WHERE s.is_suspicious AND s.tenant_id = r.tenant_id AND s.asset_id = r.asset_id
+                AND s.activity_time > TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 72 HOUR
+                AND s.activity_time <= TIMESTAMP '2024-02-01 00:00:00')""")
     q["threat_intel_enrichment"] = with_ctes(["finding_docs", "threat_intel_feed"], f"""
 SELECT d.*, f.threat_actor, COALESCE(f.known_exploited, FALSE) AS known_exploited,
        COALESCE(f.feed_entries, 0) AS feed_entries
@@ -98,7 +100,8 @@ SELECT CONCAT(tenant_id, '|', asset_id, '|', cve_id) AS key, * FROM rule_rows
 UNION ALL
 SELECT * FROM ml_findings""")
     q["purge_missing_severity"] = with_ctes(["finding_docs"],
-                                            "SELECT * FROM finding_docs WHERE severity IS NOT NULL")
+                                            "SELECT * FROM finding_docs WHERE severity IS NOT NULL "
+                                            "AND cvss_score IS NOT NULL")
     q["conform_findings"] = with_ctes(["finding_docs"], """
 SELECT * REPLACE (strptime(event_time, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time) FROM finding_docs""")
     q["findings_retention"] = with_ctes(["findings_latest"], f"""
@@ -257,38 +260,43 @@ SELECT tenant_id, cve_record_id, CAST(CAST(cvss_score AS DECIMAL(3, 1)) AS DOUBL
 FROM asset_cves""")
 
     # contracts
+    incoming = {"assets": "in_assets", "network_interfaces": "in_interfaces", "asset_cves": "in_cves"}
+    IN = list(incoming.values())
+
     def pk(table, keys):
         return f"""SELECT '{table}' AS table_name, CAST(SUM(n) AS BIGINT) AS rows, COUNT(*) AS distinct_keys,
        CAST(SUM(CASE WHEN n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS duplicate_keys
-FROM (SELECT {keys}, COUNT(*) AS n FROM {table} GROUP BY {keys})"""
-    q["check_pk"] = with_ctes(ENT, "\nUNION ALL\n".join([
+FROM (SELECT {keys}, COUNT(*) AS n FROM {incoming[table]} GROUP BY {keys})"""
+    q["check_pk"] = with_ctes(IN, "\nUNION ALL\n".join([
         pk("assets", "tenant_id, asset_id"), pk("network_interfaces", "tenant_id, interface_id"),
         pk("asset_cves", "tenant_id, cve_record_id")]))
-    q["check_fk"] = with_ctes(ENT, """
-SELECT 'network_interfaces' AS table_name, COUNT(*) AS orphans FROM network_interfaces n
+    q["check_fk"] = with_ctes(["assets", *IN], """
+SELECT 'network_interfaces' AS table_name, COUNT(*) AS orphans FROM in_interfaces n
 WHERE NOT EXISTS (SELECT 1 FROM assets a WHERE a.tenant_id = n.tenant_id AND a.asset_id = n.asset_id)
 UNION ALL
-SELECT 'asset_cves', COUNT(*) FROM asset_cves c
+SELECT 'asset_cves', COUNT(*) FROM in_cves c
 WHERE NOT EXISTS (SELECT 1 FROM assets a WHERE a.tenant_id = c.tenant_id AND a.asset_id = c.asset_id)""")
     from secflow import schemas as S
     nn = []
     for t, cols in S.NOT_NULL.items():
         for c in cols:
             nn.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) "
-                      f"AS null_count FROM {t}")
-    q["check_not_null"] = with_ctes(ENT, "\nUNION ALL\n".join(nn))
+                      f"AS null_count FROM {incoming[t]}")
+    q["check_not_null"] = with_ctes(IN, "\nUNION ALL\n".join(nn))
     ln = []
     for t, lim in S.LENGTH_LIMITS.items():
         for c, n in lim.items():
             ln.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, {n} AS max_length, "
-                      f"COUNT(*) FILTER (WHERE length({c}) > {n}) AS violations FROM {t}")
+                      f"COUNT(*) FILTER (WHERE length({c}) > {n}) AS violations FROM {incoming[t]}")
     ln.append("SELECT 'asset_cves', 'cvss_score', 3, COUNT(*) FILTER (WHERE cvss_score IS NOT NULL AND "
-              "(abs(cvss_score * 10 - round(cvss_score * 10)) > 1e-9 OR abs(cvss_score) >= 100.0)) FROM asset_cves")
-    q["check_lengths"] = with_ctes(ENT, "\nUNION ALL\n".join(ln))
-    q["apply_defaults"] = with_ctes(["cdc_latest"], f"""
-SELECT key_tenant_id AS tenant_id, key_asset_id AS asset_id, os_version, COALESCE(risk_level, 'LOW') AS risk_level,
-       ts_ms, seq
-FROM cdc_latest WHERE {live}""")
+              "(abs(cvss_score * 10 - round(cvss_score * 10)) > 1e-9 OR abs(cvss_score) >= 100.0)) FROM in_cves")
+    q["check_lengths"] = with_ctes(IN, "\nUNION ALL\n".join(ln))
+    q["apply_defaults"] = with_ctes(["in_assets", "in_interfaces"], """
+SELECT 'assets' AS table_name, COALESCE(risk_level, 'LOW') AS value, COALESCE(is_quarantined, FALSE) AS flag,
+       COUNT(*) AS rows
+FROM in_assets GROUP BY 1, 2, 3
+UNION ALL
+SELECT 'network_interfaces', NULL, COALESCE(is_active, TRUE), COUNT(*) FROM in_interfaces GROUP BY 1, 2, 3""")
     q["cascade_deletes"] = with_ctes(["network_interfaces", "cdc_latest"], """
 SELECT * FROM network_interfaces n
 WHERE NOT EXISTS (SELECT 1 FROM cdc_latest d
@@ -296,20 +304,22 @@ WHERE NOT EXISTS (SELECT 1 FROM cdc_latest d
     from secflow.operators.contracts import IPV4_PATTERN, IPV6_PATTERN
     v4 = f"regexp_full_match(ip_address, '{IPV4_PATTERN}')"
     v6 = f"regexp_full_match(ip_address, '{IPV6_PATTERN}')"
-    q["check_ip"] = with_ctes(["network_interfaces"], f"""
+    q["check_ip"] = with_ctes(["in_interfaces"], f"""
 SELECT COUNT(ip_address) AS checked,
        COUNT(*) FILTER (WHERE ip_address IS NOT NULL AND (NOT ({v4} OR {v6}) OR length(ip_address) > 45)) AS invalid,
        COUNT(*) FILTER (WHERE {v4}) AS ipv4,
        COUNT(*) FILTER (WHERE {v6}) AS ipv6
-FROM network_interfaces""")
+FROM in_interfaces""")
 
     # governance joined with data
-    q["retention_expired"] = with_ctes(["network_interfaces", "asset_cves", "findings_latest"], """
+    q["retention_expired"] = with_ctes(
+        ["assets_cdc_flat", "network_interfaces", "asset_cves", "findings_latest"], """
 SELECT m.topic, m.retention, m.retention_days,
        TIMESTAMP '2024-02-01 00:00:00' - to_days(m.retention_days) AS cutoff,
        COUNT(*) AS rows,
        COUNT(*) FILTER (WHERE d.ts < TIMESTAMP '2024-02-01 00:00:00' - to_days(m.retention_days)) AS expired_rows
-FROM (SELECT 'network_interfaces' AS topic, last_seen_at AS ts FROM network_interfaces
+FROM (SELECT 'assets' AS topic, make_timestamp(ts_ms * 1000) AS ts FROM assets_cdc_flat
+      UNION ALL SELECT 'network_interfaces' AS topic, last_seen_at AS ts FROM network_interfaces
       UNION ALL SELECT 'asset_cves', discovered_at FROM asset_cves
       UNION ALL SELECT 'security_findings', TRY_CAST(event_time AS TIMESTAMP) FROM findings_latest) d
 JOIN (VALUES ('assets', '30-days', 30), ('network_interfaces', '14-days', 14), ('asset_cves', '90-days', 90),

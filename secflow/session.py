@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,22 +47,31 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset.
+    """Return the shared checkpoint folder, creating a local one only in local mode.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; we read it
-    from the session.  Local runs without the setting get a fresh scratch folder.
+    from the session.  Local runs without the setting get a fresh scratch folder;
+    on a cluster a missing setting is an error, since no machine's own folder is shared.
     """
     sc = _context(spark)
     path = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None) \
         or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.match(r"local($|\[)", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="secflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if sc is not None:
+    # Setting the folder makes a new subfolder each time: once per application and folder is enough.
+    if sc is not None and (sc.applicationId, path) not in _CHECKPOINTED:
         sc.setCheckpointDir(path)
+        _CHECKPOINTED.add((sc.applicationId, path))
     return path
 
 
+_CHECKPOINTED: set[tuple[str, str]] = set()
+
+
 def _context(spark: SparkSession):
     """The SparkContext of a classic session; None for a Spark Connect session."""
     try:
@@ -128,15 +138,21 @@ def materialize(df, name: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_materialized(spark: SparkSession | None = None) -> int:
-    """Delete the tables this process materialized (optionally only for ``spark``).
+def materialized_count() -> int:
+    """How many tables exist now; a mark for ``release_materialized(since=...)``."""
+    return len(_MATERIALIZED)
+
+
+def release_materialized(spark: SparkSession | None = None, since: int = 0) -> int:
+    """Delete the tables this process materialized (optionally only for ``spark``, or only those
+    after the first ``since``).
 
     Call when the DataFrames built on them are no longer needed.  Only paths
     recorded by ``materialize`` are removed, through the Hadoop FileSystem API
     so it works on the cluster's shared storage.
     """
-    keep, removed = [], 0
-    for sess, path in _MATERIALIZED:
+    keep, removed = _MATERIALIZED[:since], 0
+    for sess, path in _MATERIALIZED[since:]:
         if spark is not None and sess is not spark:
             keep.append((sess, path))
             continue

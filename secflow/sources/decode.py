@@ -32,7 +32,7 @@ MAGIC = 0
 
 DECODED = T.StructType(
     [T.StructField(n, T.DoubleType() if t == "double" else T.StringType()) for n, _, t in FINDING_FIELDS]
-    + [T.StructField("schema_id", T.IntegerType()), T.StructField("_error", T.StringType())]
+    + [T.StructField("schema_id", T.IntegerType()), T.StructField("_error", T.StringType()), T.StructField("_raw", T.BinaryType())]
 )
 
 _CLASS = None
@@ -96,7 +96,7 @@ def _decode_batches(batches):
     cls = message_class()
     names = [n for n, _, _ in FINDING_FIELDS]
     for pdf in batches:
-        out = {n: [] for n in names + ["schema_id", "_error"]}
+        out = {n: [] for n in names + ["schema_id", "_error", "_raw"]}
         for v in pdf["value"]:
             try:
                 schema_id, _, payload = unframe(bytes(v))
@@ -106,24 +106,29 @@ def _decode_batches(batches):
                     out[n].append(getattr(m, n))
                 out["schema_id"].append(schema_id)
                 out["_error"].append(None)
+                out["_raw"].append(None)
             except Exception as exc:  # noqa: BLE001 - every decode failure is a reject
                 for n in names:
                     out[n].append(None)
                 out["schema_id"].append(None)
-                out["_error"].append(f"{type(exc).__name__}: {exc}"[:500])
+                out["_error"].append(f"{type(exc).__name__}: {exc}")
+                out["_raw"].append(bytes(v))
         res = pd.DataFrame(out)
         res["schema_id"] = res["schema_id"].astype("Int32")
         yield res
 
 
 def decode_findings(records: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(decoded, rejects) from a frame with a binary ``value`` column; tombstones are dropped."""
+    """(decoded, rejects) from a frame with a binary ``value`` column; tombstones are dropped.
+
+    A reject keeps its whole value (``_raw``) beside the error, so it can be identified and replayed.
+    """
     ship_package(records.sparkSession)
     v = F.col(value_col)
     live = records.filter(v.isNotNull() & (F.length(v) > 0)).select(v.alias("value"))
     decoded = live.mapInPandas(_decode_batches, DECODED)
-    ok = decoded.filter(F.col("_error").isNull()).drop("_error")
-    bad = decoded.filter(F.col("_error").isNotNull()).select("_error")
+    ok = decoded.filter(F.col("_error").isNull()).drop("_error", "_raw")
+    bad = decoded.filter(F.col("_error").isNotNull()).select("_error", "_raw")
     return ok, bad
 
 

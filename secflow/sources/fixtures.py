@@ -21,6 +21,9 @@ OS_VENDORS = ["Ubuntu", "RedHat", "Windows", "Cisco", "Fortinet", "Palo Alto"]
 # events.event_type -> change op ('error' is a delete, 'signup' a create, 'view' a snapshot read).
 EVENT_OPS = {"signup": "c", "view": "r", "error": "d"}
 SUSPICIOUS_EVENT_TYPES = ["error"]
+# Addresses that incoming interfaces may carry besides IPv4 (valid IPv6 first, then malformed).
+BAD_AND_V6_ADDRESSES = ["::1", "::ffff:1.2.3.4", "2001:db8::8a2e:370:7334", "fe80::", "1:2:3:4:5:6:7:8",
+                        ":", ":1", "1::2:", "1:2:3:4:5:6:7::1:2:3:4", "256.1.1.1", "10.0.0", ""]
 
 
 def _pick(values: list[str], idx: Column) -> Column:
@@ -79,7 +82,7 @@ def asset_cves(spark: SparkSession, sf_dir: str) -> DataFrame:
     eid = F.col("event_id")
     rows = e.join(c, e.user_id == c.c_custkey).select(
         F.col("c_mktsegment").alias("tenant_id"),
-        eid.cast("int").alias("cve_record_id"),
+        eid.cast("long").alias("cve_record_id"),
         _str(F.col("user_id")).alias("asset_id"),
         F.concat(F.lit("CVE-2026-"), _str(10000 + eid % 90000)).alias("cve_id"),
         _cvss_from_value(eid, F.col("value")).alias("cvss_score"),
@@ -89,6 +92,35 @@ def asset_cves(spark: SparkSession, sf_dir: str) -> DataFrame:
                        severity_from_cvss(F.col("cvss_score")).alias("severity"), "discovered_at")
 
 
+def incoming(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Entities as a source might deliver them, for the contract checks: every row of the entities plus
+    rows that break the contract, derived from the same tables (repeated keys, missing and unknown
+    references, missing values, over-long text, IPv6 and malformed addresses, out-of-range scores)."""
+    a, n, c = assets(spark, sf_dir), network_interfaces(spark, sf_dir), asset_cves(spark, sf_dir)
+    aid, iid = F.col("asset_id").cast("long"), F.col("interface_id").cast("long")
+    text = lambda v: F.lit(v).cast("string")
+    a_bad = a.filter(aid % 50 == 0).withColumns({
+        "os_vendor": F.when(aid % 100 == 0, F.repeat(F.col("os_vendor"), 40)).otherwise(F.col("os_vendor")),
+        "risk_level": F.when(aid % 150 == 0, text(None)).otherwise(F.col("risk_level")),
+        "is_quarantined": F.when(aid % 200 == 0, F.lit(None).cast("boolean")).otherwise(F.col("is_quarantined"))})
+    ips = F.array(*[F.lit(v) for v in BAD_AND_V6_ADDRESSES])
+    n_bad = n.filter(iid % 40 == 0).withColumns({
+        "asset_id": F.when(iid % 120 == 0, F.concat(F.lit("X"), F.col("asset_id"))).otherwise(F.col("asset_id")),
+        "interface_id": F.when(iid % 80 == 0, F.concat(F.lit("v6-"), F.col("interface_id")))
+                         .otherwise(F.col("interface_id")),
+        "ip_address": F.element_at(ips, (F.floor(iid / 40).cast("long") % len(BAD_AND_V6_ADDRESSES) + 1).cast("int")),
+        "mac_address": F.when(iid % 160 == 0, F.repeat(F.col("mac_address"), 20)).otherwise(F.col("mac_address")),
+        "is_active": F.when(iid % 200 == 0, F.lit(None).cast("boolean")).otherwise(F.col("is_active"))})
+    rid = F.col("cve_record_id")
+    c_bad = c.filter(rid % 30 == 0).withColumns({
+        "asset_id": F.when(rid % 90 == 0, F.concat(F.lit("X"), F.col("asset_id"))).otherwise(F.col("asset_id")),
+        "severity": F.when(rid % 60 == 0, text(None)).otherwise(F.col("severity")),
+        "cve_id": F.when(rid % 120 == 0, F.repeat(F.col("cve_id"), 20)).otherwise(F.col("cve_id")),
+        "cvss_score": F.when(rid % 150 == 0, F.col("cvss_score") + 0.25).when(
+            rid % 210 == 0, F.col("cvss_score") * 100).otherwise(F.col("cvss_score"))})
+    return a.unionByName(a_bad), n.unionByName(n_bad), c.unionByName(c_bad)
+
+
 def event_millis(ts: Column) -> Column:
     """Epoch milliseconds of a (possibly zone-less) timestamp, truncating like a CDC capture."""
     return F.unix_millis(ts.cast("timestamp"))

@@ -263,7 +263,8 @@ class AnomalyBatchScorer:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         from secflow.operators.anomaly import detect, global_positions
-        spark = batch.sparkSession
+        from secflow.session import materialized_count, release_materialized
+        spark, mark = batch.sparkSession, materialized_count()
         new = batch.select(*[F.col(c).cast("timestamp").alias(c) if c == "discovered_at" else F.col(c)
                              for c in self.COLS]).withColumn("_hist", F.lit(False))
         prev = self._previous_tail(spark, batch_id)
@@ -282,6 +283,18 @@ class AnomalyBatchScorer:
         keep = self.params.max_training_size + 1
         tail = pos.join(last, "tenant_id").filter(F.col("_g") > F.col("_last") - keep).select(*self.COLS)
         tail.write.mode("overwrite").parquet(self._tail_dir(batch_id))
+        # A running stream keeps only the tails that a replay of this batch or the next one reads.
+        release_materialized(spark, since=mark)
+        self._drop_tails(spark, before=batch_id - 1)
+
+    def _drop_tails(self, spark: SparkSession, before: int) -> None:
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.state_path)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if name.startswith("tail_batch=") and int(name.split("=", 1)[1]) < before:
+                fs.delete(st.getPath(), True)
 
     def _previous_tail(self, spark: SparkSession, batch_id: int) -> str | None:
         """Newest complete tail written by an earlier batch (listing via the Hadoop FileSystem API)."""

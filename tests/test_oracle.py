@@ -23,7 +23,8 @@ def test_query_matches_oracle(spark, con, name):
     got = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
     if sql is None:
-        assert len(got) >= 0
+        # No SQL form: the operator's own tests hold it against brute force; here it must run and give rows.
+        assert got
         return
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
