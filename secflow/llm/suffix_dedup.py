@@ -41,7 +41,7 @@ from secflow.llm.shingles import mix, powers
 from secflow.session import ship_package
 
 LENGTH, GRAM = 100, 24
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 CHUNK_BYTES = 1 << 16
 SHARD_BYTES = 400_000
 RUN_WINDOWS = 256                 # longest run of windows sent as one string
