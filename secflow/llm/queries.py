@@ -20,7 +20,40 @@ _QUERIES = {
     "op10_exact_topk": "secflow.llm.mtree",
 }
 
-ORACLES: dict[str, str] = {}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+ORACLES: dict[str, str] = {
+    "op7_near_duplicates": f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(COALESCE(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+                                                   '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE
+           WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, COUNT(*) AS common
+  FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs WHERE 100 * common >= 80 * (na + nb - common)),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, LEAST(s.doc_id, COALESCE(MIN(r.b), s.doc_id)) AS component_id,
+       s.doc_id = LEAST(s.doc_id, COALESCE(MIN(r.b), s.doc_id)) AS kept
+FROM sets s LEFT JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, len(s.s)""",
+    "op10_exact_topk": """
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, q.r, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.r <> c.r AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+}
+
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
