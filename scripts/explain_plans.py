@@ -16,17 +16,17 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 NOTES = {
     "detection_rule": "Rule predicates sit right above the scans (`o_orderstatus <> 'F'` is a parquet pushed filter); "
-                      "small sides broadcast by size; one hash exchange per side on (tenant_id, asset_id).",
+                      "small sides broadcast by size; the second join is keyed by the pair as a struct, so AQE can split a hot asset.",
     "ml_scoring": "Starts from the materialized range-indexed series: one broadcast of the per-partition offsets "
                   "(rows = range partitions), one exchange on (tenant_id, block), one sort, three Window operators.",
-    "findings_upsert_latest": "Last-writer-wins is HashAggregate partial -> exchange on key -> final (map-side combine).",
+    "findings_upsert_latest": "Last-writer-wins is a sort-based aggregate: partial -> exchange on key -> final (map-side combine).",
     "bi_rollup": "Two partial/final aggregations (upsert, then window x keys); no window-function sort of raw rows.",
-    "bi_rollup_topn": "Ranks run over aggregated buckets, not findings; tenants per window via a salted two-phase top-k.",
+    "bi_rollup_topn": "One document aggregate; ranks are windows over its buckets; tenants per window via a salted two-phase top-k.",
     "cdc_latest_state": "max(struct(ts_ms, seq, ...)) per key: partial aggregation before the shuffle.",
     "cep_burst_alert": "Probe rows -> range-indexed table -> bounded block windows -> partial/final sum per event.",
     "running_cvss_range": "Prefix tables per (tenant, range partition) and (tenant, partition, block); peers via aggregate.",
     "active_vulnerable_devices": "Two left-semi joins; no interface x CVE fan-out, no distinct count.",
-    "retention_expired": "Metadata side (one row per dataset) is the only broadcast; data is counted per dataset.",
+    "retention_expired": "The metadata side has one row per topic and is joined without a hint; data is counted per dataset.",
 }
 
 QUERIES = ["detection_rule", "ml_scoring", "findings_upsert_latest", "bi_rollup", "bi_rollup_topn",

@@ -115,19 +115,6 @@ FINDING_DOCUMENT = T.StructType(
        for c in DOCUMENT_COLUMNS]
 )
 
-BI_DOCUMENT = T.StructType([
-    T.StructField("_id", T.StringType(), False),
-    T.StructField("window_start", T.StringType()),
-    T.StructField("window_end", T.StringType()),
-    T.StructField("tenant_id", T.StringType()),
-    T.StructField("severity", T.StringType()),
-    T.StructField("predicted_risk", T.StringType()),
-    T.StructField("findings", T.LongType()),
-    T.StructField("avg_cvss_score", T.DoubleType()),
-    T.StructField("avg_anomaly_score", T.DoubleType()),
-])
-
-
 def envelope(after: T.StructType, key_fields: list[str]) -> T.StructType:
     """Change envelope: message key, row image after the change, op code, change time."""
     key = T.StructType([f for f in after.fields if f.name in key_fields])

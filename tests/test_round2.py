@@ -178,3 +178,19 @@ def test_scorer_leaves_a_constant_number_of_folders(spark):
         assert materialized_count() == before
         assert len([d for d in os.listdir(state) if d.startswith("tail_batch=")]) <= 2
     assert scorer.results(spark).count() == 100
+
+
+def test_findings_upsert_stream_equals_batch(spark, tmp_path):
+    from secflow.streaming.pipelines import file_changes, findings_upsert_stream
+    rows = [("t", str(i % 4), "d", f"10.0.0.{i}", f"CVE-{i % 3}", float(i % 10), "LOW",
+             datetime(2024, 1, 1 + (i * 5) % 28), (i % 2 == 0,)) for i in range(40)]
+    schema = ("tenant_id string, asset_id string, device_type string, ip_address string, cve_id string, cvss_score double, "
+              "severity string, discovered_at timestamp, anomaly struct<is_anomaly:boolean>")
+    src = str(tmp_path / "src")
+    df = spark.createDataFrame(rows, schema)
+    for k in range(4):                                  # several micro-batches, newest events not last
+        df.filter(F.dayofmonth("discovered_at") % 4 == k).coalesce(1).write.mode("append").parquet(src)
+    log = UpsertLog(str(tmp_path / "log"), ["key"], findings.UPSERT_ORDER)
+    findings_upsert_stream(file_changes(spark, src, df.schema, max_files=1), log)
+    want = sorted(tuple(r) for r in findings.upsert_latest(findings.score(df)).collect())
+    assert sorted(tuple(r) for r in log.current(spark).collect()) == want
