@@ -32,7 +32,6 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from secflow.llm.bpe import blocks, stable
 from secflow.llm.common import arrow_map, keyed_text, table
