@@ -23,6 +23,51 @@ _QUERIES = {
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 ORACLES: dict[str, str] = {
+    "op4_url_filter": f"""
+WITH parts AS (
+  SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+split AS (
+  SELECT *, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_UPPER.lower()}') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM parts),
+tokens AS (
+  SELECT *, CASE WHEN host = '' THEN [] ELSE list_distinct(list_concat(
+      list_transform(range(1, len(string_split(host, '.')) + 1),
+                     lambda i: 'domain=' || array_to_string(string_split(host, '.')[i:], '.')),
+      list_transform(regexp_split_to_array(host, '[.-]'), lambda x: 'host=' || x),
+      list_transform(list_filter(regexp_split_to_array(lower(path), '[^\\p{{L}}]+'), lambda x: x <> ''),
+                     lambda x: 'path=' || x),
+      list_transform(list_filter(string_split(regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1), '&'), lambda x: x <> ''),
+                     lambda x: 'query=' || regexp_extract(x, '^([^=]*)', 1)),
+      CASE WHEN contains(rest, '#') THEN ['fragment'] ELSE [] END)) END AS t
+  FROM split),
+subsets AS (
+  SELECT t, list_sort(list_filter(t, lambda x, i: (mask >> (i - 1)) & 1 = 1)) AS x
+  FROM (SELECT t, unnest(range(1, 1 << len(t))) AS mask FROM (SELECT DISTINCT t FROM tokens WHERE len(t) > 0))),
+labelled AS (
+  SELECT k.t, (l.toxic = 1 OR l.quality = 0) AS blocked
+  FROM tokens k JOIN labels l
+    ON l.doc_id = TRY_CAST(NULLIF(regexp_extract(url, '://[^/?#]*/[^?#]*?([0-9]+)', 1), '') AS BIGINT)
+  WHERE l.toxic = 1 OR l.quality = 0 OR (l.toxic IS NOT NULL AND l.quality IS NOT NULL)),
+rules AS (
+  SELECT x FROM labelled JOIN subsets USING (t) GROUP BY x
+  HAVING COUNT(*) FILTER (WHERE blocked) >= GREATEST(10, CEIL(0.01 * (SELECT COUNT(*) FROM labelled)))
+     AND COUNT(*) FILTER (WHERE blocked) >= 0.5 * COUNT(*)),
+mined AS (SELECT DISTINCT t FROM subsets WHERE x IN (SELECT x FROM rules)),
+listed AS (
+  SELECT *, CASE
+      WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+      WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+      WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+      WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+      WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule,
+    t IN (SELECT t FROM mined) AS mined
+  FROM tokens)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN mined THEN 'block' ELSE 'allow' END AS verdict, mined
+FROM listed""",
     "op7_near_duplicates": f"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(COALESCE(text, ''), '{_UPPER}', '{_UPPER.lower()}'),

@@ -14,6 +14,9 @@ Without labels no rule is mined and everything unlisted is allowed.
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +27,7 @@ from secflow.llm.common import pinned, table
 LISTED = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
           ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
-MIN_SUPPORT = 0.01
+MIN_SUPPORT, MIN_ROWS = 0.01, 10        # a combination is on this share of the labelled URLs, and on so many
 MIN_CONFIDENCE = 0.5
 BLOCK = "class=block"
 
@@ -75,8 +78,8 @@ def url_tokens() -> Column:
         F.array_sort(F.array_distinct(F.concat(suffixes, words, path, keys, part))))
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
-               min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+               min_rows: int = MIN_ROWS) -> DataFrame:
     """Rules (antecedent array, confidence, support) that imply the blocked class.
 
     ``labelled`` has ``tokens`` and ``blocked`` (boolean).  A rule whose antecedent contains that
@@ -85,10 +88,14 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
     """
     items = labelled.select(F.when(F.col("blocked"), F.concat("tokens", F.array(F.lit(BLOCK))))
                             .otherwise(F.col("tokens")).alias("items")).filter(F.size("items") > 0)
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+    total = items.count()
+    least = max(min_rows, math.ceil(Fraction(str(min_support)) * total))
+    # FP-growth takes a share and rounds share * total up: half a row less gives exactly ``least``.
+    share = min(1.0, (least - 0.5) / max(1, total))
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(items)
     rules = (model.associationRules.filter(F.element_at("consequent", 1) == BLOCK)
              .select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support"))
-    rules = pinned(rules, "url-rules")
+    rules = pinned(rules if total >= least else rules.limit(0), "url-rules")
     # A shorter rule inside a longer one: it shares the longer one's tokens, so look it up by token.
     part = rules.select(F.col("antecedent").alias("short"), F.explode("antecedent").alias("token"))
     inner = (rules.select(F.col("antecedent"), F.explode("antecedent").alias("token"))
