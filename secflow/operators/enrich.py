@@ -98,11 +98,13 @@ def join_active(assets: DataFrame, interfaces: DataFrame, cves: DataFrame) -> Da
                          ["cve_record_id", "cve_id", "cvss_score", "severity", "discovered_at"])
 
 
-def incident(rule_rows: DataFrame, activity: DataFrame, as_of, hours: int = 72) -> DataFrame:
-    """Rule finding on an asset with suspicious activity in the ``hours`` before the finding (``as_of``)."""
-    end = as_of_literal(as_of)
-    seen = F.col("activity_time").cast("timestamp")
-    recent = (seen > end - F.make_dt_interval(hours=F.lit(hours))) & (seen <= end)
+def incident(rule_rows: DataFrame, activity: DataFrame, as_of=None, hours: int = 72) -> DataFrame:
+    """Rule finding on an asset with suspicious activity in the ``hours`` before the finding (``as_of``),
+    or at any time without ``as_of``."""
+    recent = F.lit(True)
+    if as_of is not None:
+        end, seen = as_of_literal(as_of), F.col("activity_time").cast("timestamp")
+        recent = (seen > end - F.make_dt_interval(hours=F.lit(hours))) & (seen <= end)
     # Distinct keys (partial aggregation): a hot asset adds one build row, not all its events.
     sus = activity.filter(F.col("is_suspicious") & recent).select(*JOIN_KEYS).distinct()
     return rule_rows.join(sus, JOIN_KEYS, "left_semi")
