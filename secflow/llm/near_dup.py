@@ -5,11 +5,13 @@ folded into a parity bitmap.  Texts with equal sets form one node.  Nodes that a
 samples meet in its bucket.  A pair's similarity is estimated from the population count of the XOR
 of its sketches, and pairs that are not clearly too far apart are confirmed on their full sets.
 
-No bucket emits all its pairs.  First every node of a bucket meets the bucket's smallest node;
-confirmed links give components.  Then, only in buckets that still hold several components, the
-nodes outside the bucket's largest component meet the nodes of other components.  Afterwards every
-pair of a bucket either lies in one component or has been judged, so components equal those of all
-candidate pairs.  A pair at the threshold misses all bands with probability below 5e-8.
+No bucket emits all its pairs.  First every node of a bucket meets the bucket's smallest node, its
+hub; confirmed links give components.  Then the nodes that share a hub are one group, and only
+groups that hold several components go on: their nodes outside the group's largest component
+(outliers) are held, block by block, as an inverted index, and the group's other nodes stream past
+it.  Only links come out.  Afterwards every pair of a bucket either lies in one component or has
+been judged, so components equal those of all candidate pairs.  A pair at the threshold misses all
+bands with probability below 5e-8.
 
 Defined cases: null text or text without words has an empty set, is linked with nothing and is
 kept; fewer words than a shingle make one shingle of the whole; equal texts are one node; rows
@@ -37,6 +39,7 @@ SKETCH_BITS = 512
 MARGIN = 0.2                              # about five standard deviations of the estimate
 SLICE_BYTES = 1 << 20
 CLASS_ROWS = 512                          # members confirmed against one hub in one group
+OUTLIER_ROWS, MEMBER_ROWS = 512, 4096     # of one group in one task
 NO_ID = -(1 << 63)
 
 SIGNED = "doc_id long, n_shingles long, node binary, bands array<long>, sketch array<long>"
@@ -122,35 +125,36 @@ def _close(pairs: DataFrame, nodes: DataFrame, limit: int) -> DataFrame:
             .select("u", "v"))
 
 
-MEMBER = "v binary, class int, kind int, node binary, shingles binary"
-MEMBER_SCHEMA = pa.schema([("v", pa.binary()), ("class", pa.int32()), ("kind", pa.int32()),
-                           ("node", pa.binary()), ("shingles", pa.binary())])
+MEMBER = "v binary, class long, kind int, node binary, label binary, sketch array<long>, shingles binary"
+MEMBER_SCHEMA = pa.schema([("v", pa.binary()), ("class", pa.int64()), ("kind", pa.int32()), ("node", pa.binary()),
+                           ("label", pa.binary()), ("sketch", pa.list_(pa.int64())), ("shingles", pa.binary())])
+LINK_SCHEMA = pa.schema([("u", pa.binary()), ("v", pa.binary())])
 
 
 def _members(size: int):
     """Send each needed text's set to the groups that ask for it."""
     def run(batches):
         for b in slices(batches, "text", SLICE_BYTES):
-            out = {n: [] for n in MEMBER_SCHEMA.names}
             for asked, s in zip(b.column("asked").to_pylist(), _sets(b, size), strict=True):
-                key = set_key(s)
-                for x in asked:
-                    if x["node"] == key:          # another text under the same id is another node
-                        for n, v in zip(MEMBER_SCHEMA.names, (x["v"], x["class"], x["kind"], key, s.tobytes()),
-                                        strict=True):
-                            out[n].append(v)
-            yield pa.RecordBatch.from_pydict(out, schema=MEMBER_SCHEMA)
+                key, raw = set_key(s), s.tobytes()
+                # Another text under the same id is another node.
+                mine = [x for x in asked if x["node"] == key]
+                for lo in range(0, len(mine), 64):
+                    part = mine[lo:lo + 64]
+                    yield pa.RecordBatch.from_pydict(
+                        {n: [x[n] for x in part] if n != "shingles" else [raw] * len(part)
+                         for n in MEMBER_SCHEMA.names}, schema=MEMBER_SCHEMA)
     return run
 
 
 def _confirm(percent: int):
-    schema = pa.schema([("u", pa.binary()), ("v", pa.binary())])
-
+    """Each group's hub (kind 0) against its members: links that reach the threshold."""
     def run(batches):
         at, hub = None, None
         for b in batches:
             us, vs = [], []
-            for v, c, kind, node, raw in zip(*(b.column(n).to_pylist() for n in MEMBER_SCHEMA.names), strict=True):
+            for v, c, kind, node, raw in zip(*(b.column(n).to_pylist() for n in
+                                               ("v", "class", "kind", "node", "shingles")), strict=True):
                 if kind == 0:
                     at, hub = (v, c), np.frombuffer(raw, dtype=np.uint64)
                     continue
@@ -163,10 +167,80 @@ def _confirm(percent: int):
                     if 100 * both >= percent * (len(own) + len(hub) - both):
                         us.append(node)
                         vs.append(v)
-            yield pa.RecordBatch.from_pydict({"u": us, "v": vs}, schema=schema)
+            yield pa.RecordBatch.from_pydict({"u": us, "v": vs}, schema=LINK_SCHEMA)
+    return run
+
+
+class _Outliers:
+    """The outliers of one group block: sketches, labels and an inverted index of their shingles."""
+
+    def __init__(self, rows: list[tuple]):
+        self.nodes, self.labels = [r[0] for r in rows], [r[1] for r in rows]
+        self.sketch = np.array([r[2] for r in rows], dtype=np.int64).reshape(len(rows), -1).view(np.uint64)
+        sets = [np.frombuffer(r[3], dtype=np.uint64) for r in rows]
+        self.size = np.array([len(x) for x in sets])
+        flat = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), self.size)
+        order = np.argsort(flat, kind="stable")
+        self.owner = owner[order]
+        self.known, self.first, n = np.unique(flat[order], return_index=True, return_counts=True)
+        self.last = self.first + n
+
+    def links(self, label: bytes, sketch: list[int], raw: bytes, percent: int, limit: int) -> list[int]:
+        """Outliers of other components that reach the threshold with a member."""
+        far = np.bitwise_count(self.sketch ^ np.array(sketch, dtype=np.int64).view(np.uint64)).sum(1) > limit
+        if far.all():
+            return []
+        own = np.frombuffer(raw, dtype=np.uint64)
+        pos = np.minimum(np.searchsorted(self.known, own), len(self.known) - 1)
+        pos = pos[self.known[pos] == own]
+        lo, n = self.first[pos], self.last[pos] - self.first[pos]
+        at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        both = np.bincount(self.owner[at], minlength=len(self.size))
+        good = ~far & (100 * both >= percent * (len(own) + self.size - both))
+        return [i for i in np.flatnonzero(good).tolist() if self.labels[i] != label]
+
+
+def _compare(percent: int, limit: int):
+    """Outliers (kind 0) of a group block against its members: one link per pair of components."""
+    def run(batches):
+        at, rows, held, seen = None, [], None, set()
+        for b in batches:
+            us, vs = [], []
+            for v, c, kind, node, label, sketch, raw in zip(*(b.column(n).to_pylist() for n in MEMBER_SCHEMA.names),
+                                                            strict=True):
+                if at != (v, c):
+                    at, rows, held, seen = (v, c), [], None, set()
+                if kind == 0:
+                    rows.append((node, label, sketch, raw))
+                    continue
+                if held is None:
+                    held, rows = _Outliers(rows), []
+                for i in held.links(label, sketch, raw, percent, limit):
+                    if (label, held.labels[i]) not in seen:
+                        seen.add((label, held.labels[i]))
+                        us.append(node)
+                        vs.append(held.nodes[i])
+            yield pa.RecordBatch.from_pydict({"u": us, "v": vs}, schema=LINK_SCHEMA)
     return run
 
 
+def _with_sets(asked: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """Rows (v, class, kind, node, label) with the nodes' sketches and sets, grouped by (v, class).
+
+    A node's set is computed from the text of one document that has it.
+    """
+    reps = nodes.select("node", F.coalesce("rep", F.lit(NO_ID)).alias("rep"), "sketch")
+    by_text = (asked.join(reps, "node")
+               .withColumn("part", F.pmod(F.xxhash64("v", "class"), F.lit(64)))
+               .groupBy("rep", "part")
+               .agg(F.collect_list(F.struct("v", "class", "kind", "node", "label", "sketch")).alias("asked"))
+               .drop("part"))
+    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("rep"), "text").join(by_text, "rep")
+    sets = arrow_map(texts.select("text", "asked"), _members(size), MEMBER)
+    return sets.repartition("v", "class").sortWithinPartitions("v", "class", "kind")
+
+
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs (u, v) that reach the threshold on their full sets.
 
@@ -174,23 +248,39 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, p
     each with its own copy of the hub's set, so a hub with very many members fills many groups.
     """
     many = pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    classes = F.ceil(F.col("n") / CLASS_ROWS).cast("int")
+    none = F.lit(None).cast("binary").alias("label")
     dealt = pairs.join(many, "v").select(
-        "v", F.pmod(F.xxhash64("u"), classes).cast("int").alias("class"), F.lit(1).alias("kind"),
-        F.col("u").alias("node"))
+        "v", F.pmod(F.xxhash64("u"), F.ceil(F.col("n") / CLASS_ROWS)).cast("long").alias("class"),
+        F.lit(1).alias("kind"), F.col("u").alias("node"), none)
     hubs = dealt.select("v", "class").distinct().select(
-        "v", "class", F.lit(0).alias("kind"), F.col("v").alias("node"))
-    reps = nodes.select("node", F.coalesce("rep", F.lit(NO_ID)).alias("rep"))
-    asked = (dealt.union(hubs).join(reps, "node")
-             .withColumn("part", F.pmod(F.xxhash64("v", "class"), F.lit(64)))
-             .groupBy("rep", "part").agg(F.collect_list(F.struct("v", "class", "kind", "node")).alias("asked"))
-             .drop("part"))
-    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("rep"), "text").join(asked, "rep")
-    sets = arrow_map(texts.select("text", "asked"), _members(size), MEMBER)
-    grouped = sets.repartition("v", "class").sortWithinPartitions("v", "class", "kind")
+        "v", "class", F.lit(0).alias("kind"), F.col("v").alias("node"), none)
+    grouped = _with_sets(dealt.union(hubs), nodes, docs, size)
     return arrow_map(grouped, _confirm(percent), "u binary, v binary").distinct()
 
 
+def _across(met: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int,
+            limit: int) -> DataFrame:
+    """Links between components inside the groups of nodes that share a hub."""
+    group = met.select(F.col("u").alias("node"), "v").union(
+        met.select(F.col("v").alias("node"), "v").distinct())
+    group = group.join(labels, "node", "left").select("v", "node", F.coalesce("label", "node").alias("label"))
+    sizes = group.groupBy("v", "label").agg(F.count(F.lit(1)).alias("n"))
+    mixed = sizes.groupBy("v").agg(
+        F.max(F.struct("n", "label")).alias("most"), F.count(F.lit(1)).alias("kinds"),
+        F.sum("n").alias("n")).filter("kinds > 1").select(
+        "v", F.col("most.label").alias("main"), F.ceil(F.col("n") / MEMBER_ROWS).alias("m_blocks"),
+        F.ceil((F.col("n") - F.col("most.n")) / OUTLIER_ROWS).alias("o_blocks"))
+    rows = group.join(mixed, "v").withColumns({"m": F.pmod(F.xxhash64("node"), F.col("m_blocks")),
+                                               "o": F.pmod(F.xxhash64("node"), F.col("o_blocks"))})
+    outliers = rows.filter(F.col("label") != F.col("main")).withColumn(
+        "m", F.explode(F.sequence(F.lit(0), F.col("m_blocks") - 1)))
+    members = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("o_blocks") - 1)))
+    asked = [x.select("v", (F.col("o") * F.col("m_blocks") + F.col("m")).cast("long").alias("class"),
+                      F.lit(kind).alias("kind"), "node", "label") for kind, x in enumerate((outliers, members))]
+    grouped = _with_sets(asked[0].union(asked[1]), nodes, docs, size)
+    return arrow_map(grouped, _compare(percent, limit), "u binary, v binary").distinct()
+
+
 def near_duplicates(df: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row."""
@@ -202,28 +292,12 @@ def near_duplicates(df: DataFrame, size: int = 5, percent: int = 80, id_col: str
         F.any_value("sketch").alias("sketch")), "near-nodes")
 
     rows = nodes.select("node", F.explode("bands").alias("band"))
-    hubs = rows.groupBy("band").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    first = (rows.join(hubs, "band").filter(F.col("node") != F.col("v"))
-             .select(F.col("node").alias("u"), "v").distinct())
-    first = pinned(_close(first, nodes, limit), "near-pairs")
-    links = pinned(_confirmed(first, nodes, docs, size, percent), "near-links")
+    hubs = rows.groupBy("band").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    met = pinned(rows.join(hubs, "band").filter(F.col("node") != F.col("v"))
+                 .select(F.col("node").alias("u"), "v").distinct(), "near-met")
+    links = pinned(_confirmed(_close(met, nodes, limit), nodes, docs, size, percent), "near-links")
     labels = components(links, "near-components")
-
-    # Buckets that still hold several components: their smaller components meet the others.
-    mixed = rows.join(hubs.filter("n > 2").select("band"), "band").join(labels, "node", "left").select(
-        "band", "node", F.coalesce("label", "node").alias("label"))
-    sizes = mixed.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = (sizes.groupBy("band").agg(F.max(F.struct("n", "label")).alias("most"), F.count(F.lit(1)).alias("k"))
-            .filter("k > 1").select("band", F.col("most.label").alias("main")))
-    mixed = pinned(mixed.join(main, "band"), "near-mixed")
-    small = mixed.filter(F.col("label") != F.col("main")).select("band", F.col("node").alias("a"),
-                                                                F.col("label").alias("la"))
-    cross = (small.join(mixed, "band").filter((F.col("la") != F.col("label")))
-             .select(F.greatest("a", "node").alias("u"), F.least("a", "node").alias("v")).distinct())
-    cross = cross.join(first.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")),
-                       ["u", "v"], "left_anti")
-    second = pinned(_close(cross, nodes, limit), "near-pairs")
-    more = pinned(_confirmed(second, nodes, docs, size, percent), "near-links")
+    more = pinned(_across(met, labels, nodes, docs, size, percent, limit), "near-links")
     if more.limit(1).count():
         labels = components(links.union(more), "near-components")
 
