@@ -4,16 +4,17 @@ A word is a stretch of text that starts at a single white-space character after
 The tokenizer's own pre-tokenizer always starts a new piece there, so the ids of a text are the
 ids of its words in order.  Documents are read in blocks of bounded size:
 
-1. every block lists its distinct words, each with a slot number (``block, slot, word``);
-2. the words are shuffled by word and each distinct word is encoded once by the library;
+1. every block lists its distinct words; a word's position in the list is its slot;
+2. the lists are shuffled in buckets of words, and a bucket's words are encoded by the library,
+   each distinct one once;
 3. ids go back to their block; the block's documents take them by position (slot numbers).
 
 Decoding joins the distinct ids of each block with the vocabulary's id-to-piece table and
 concatenates the pieces by position.
 
-A word is sent once per block, so a very frequent word costs one row per block, never a row per
-occurrence.  Both readings of the documents see the same blocks: ``stable`` pins any input that is
-not a plain file scan.
+A word is sent once per block, so a very frequent word is listed once per block, never once per
+occurrence, and a bucket's share of words does not depend on how frequent they are.  Both readings
+of the documents see the same blocks: ``stable`` pins any input that is not a plain file scan.
 
 Defined cases: null text counts as empty (no tokens); the special token's string in a text is that
 token, as in the library; repeated rows are each returned; a null id is kept.
@@ -23,13 +24,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from secflow.llm.common import arrow_map, keyed_text, pinned, slices, table
 from secflow.session import ship_package
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 12 << 20
 LONG_WORD = 64
 
 # White space in a row (or beside characters that some Unicode versions count as white space).
@@ -131,27 +132,48 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[int,
         yield base + n, ids, texts
 
 
-WORDS = pa.schema([("block", pa.int64()), ("slot", pa.int32()), ("word", pa.string())])
+ROWS = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("payload", pa.binary())])
+ROW = "bucket int, block long, payload binary"
 SLOTS = pa.schema([("block", pa.int64()), ("n_words", pa.int32()), ("doc_id", pa.list_(pa.int64())),
                    ("sizes", pa.list_(pa.int32())), ("slots", pa.binary())])
-IDS = pa.schema([("block", pa.int64()), ("slot", pa.int32()), ("ids", pa.binary())])
 OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
                  ("decoded_sha256", pa.string())])
 
 
-def _distinct_words(limit: int):
+def frame(*arrays: np.ndarray) -> bytes:
+    """Compressed arrays of one payload."""
+    sizes = np.array([a.nbytes for a in arrays], dtype="<i8")
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([sizes.tobytes(), *(a.tobytes() for a in arrays)]))
+
+
+def unframe(payload: bytes, *kinds: str) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompressobj().decompress(payload)
+    ends = np.cumsum(np.frombuffer(raw, "<i8", len(kinds))) + 8 * len(kinds)
+    starts = [8 * len(kinds), *ends[:-1].tolist()]
+    return [np.frombuffer(raw[a:b], kind) for a, b, kind in zip(starts, ends.tolist(), kinds, strict=True)]
+
+
+def _distinct_words(n_buckets: int, limit: int):
+    """Each block's distinct words by bucket: (slots, bytes per word, words)."""
     def run(batches):
         for block, _, texts in blocks(batches, limit):
             seen: dict[str, None] = {}
             for t in texts:
                 if t:
                     seen.update(dict.fromkeys(words(t)))
-            keys = list(seen)
-            for lo in range(0, len(keys), 100_000):
-                part = keys[lo:lo + 100_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), block)), pa.array(np.arange(lo, lo + len(part), dtype=np.int32)),
-                     pa.array(part, pa.string())], schema=WORDS)
+            keys = [k.encode("utf-8", "surrogatepass") for k in seen]
+            bucket = np.fromiter(map(zlib.crc32, keys), np.int64, len(keys)) % n_buckets
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1)).tolist()
+            rows = []
+            for k in range(n_buckets):
+                own = order[cuts[k]:cuts[k + 1]]
+                if len(own):
+                    part = [keys[i] for i in own.tolist()]
+                    rows.append((k, block, frame(own.astype("<i4"), np.array([len(w) for w in part], "<i4"),
+                                                 np.frombuffer(b"".join(part), np.uint8))))
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], f.type) for c, f in enumerate(ROWS)],
+                                             schema=ROWS)
     return run
 
 
@@ -173,14 +195,25 @@ def _positions(limit: int):
 
 
 def _encode_words(path: str):
+    """Rows sorted by bucket: encode each distinct word of a bucket once, answer every block."""
     def run(batches):
-        enc, known = encoder(path), {}
+        enc, now, known = encoder(path), None, {}
         for b in batches:
-            keys = b.column("word").to_pylist()
-            new = [k for k in dict.fromkeys(keys) if k not in known]
-            known.update(zip(new, enc.encode(new), strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("block"), b.column("slot"), pa.array([known[k] for k in keys], pa.binary())], schema=IDS)
+            out = []
+            for k, block, payload in zip(*(b.column(c).to_pylist() for c in ROWS.names), strict=True):
+                if k != now:
+                    now, known = k, {}
+                slots, sizes, raw = unframe(payload, "<i4", "<i4", "u1")
+                raw, ends = raw.tobytes(), np.cumsum(sizes).tolist()
+                keys = [raw[e - n:e].decode("utf-8", "surrogatepass")
+                        for e, n in zip(ends, sizes.tolist(), strict=True)]
+                new = [w for w in keys if w not in known]
+                known.update(zip(new, enc.encode(new), strict=True))
+                ids = [known[w] for w in keys]
+                out.append((k, block, frame(slots, np.array([len(i) // 4 for i in ids], "<i4"),
+                                            np.frombuffer(b"".join(ids), "<u4"))))
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], f.type) for c, f in enumerate(ROWS)],
+                                             schema=ROWS)
     return run
 
 
@@ -189,49 +222,49 @@ def _digest(left: pa.Table, right: pa.Table) -> pa.Table:
     if not left.num_rows:
         raise RuntimeError("a block of words has no documents: the input changed between readings")
     row = left.to_pylist()[0]
-    kind = right.column("slot").to_numpy() >= 0
-    word_rows, piece_rows = right.filter(pa.array(kind)), right.filter(pa.array(~kind))
-    if word_rows.num_rows != row["n_words"]:
+    n_words = row["n_words"]
+    is_piece = right.column("bucket").to_numpy() < 0
+    own = right.filter(pa.array(is_piece))
+    piece = dict(zip((-1 - own.column("bucket").to_numpy()).tolist(), own.column("payload").to_pylist(), strict=True))
+    number = {i: b"%d," % i for i in piece}
+    ids, dec, counts = [b""] * n_words, [b""] * n_words, np.full(n_words, -1, dtype=np.int64)
+    for payload in right.filter(pa.array(~is_piece)).column("payload").to_pylist():
+        slots, n, flat = unframe(payload, "<i4", "<i4", "<u4")
+        counts[slots] = n
+        flat, ends = flat.tolist(), np.cumsum(n).tolist()
+        for slot, k, end in zip(slots.tolist(), n.tolist(), ends, strict=True):
+            word = flat[end - k:end]
+            ids[slot] = b"".join([number[i] for i in word])
+            dec[slot] = b"".join([piece[i] for i in word])
+    if n_words and counts.min() < 0:
         raise RuntimeError("the input changed between two readings of a block")
-    piece = {-1 - s: p for s, p in zip(piece_rows.column("slot").to_pylist(),
-                                       piece_rows.column("ids").to_pylist(), strict=True)}
-    ids, dec, raw = [b""] * row["n_words"], [b""] * row["n_words"], [0] * row["n_words"]
-    for slot, b in zip(word_rows.column("slot").to_pylist(), word_rows.column("ids").to_pylist(), strict=True):
-        own = np.frombuffer(b, dtype="<u4").tolist()
-        ids[slot] = b"".join([b"%d," % i for i in own])
-        dec[slot] = b"".join([piece[i] for i in own])
-        raw[slot] = len(own)
     total = sum(row["sizes"])
     planes = zstandard.ZstdDecompressor().decompress(row["slots"], max_output_size=max(1, 4 * total))
     flat = np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view(np.int32).ravel()
-    counts = np.array(raw, dtype=np.int64)
     out, at = {n: [] for n in OUT.names}, 0
     for doc, n in zip(row["doc_id"], row["sizes"], strict=True):
-        own = flat[at:at + n]
+        mine = flat[at:at + n]
         at += n
-        slots = own.tolist()
+        slots = mine.tolist()
         text = b"".join(map(ids.__getitem__, slots))
         decoded = b"".join(map(dec.__getitem__, slots)).decode("utf-8", "replace")
         out["doc_id"].append(doc)
-        out["n_tokens"].append(int(counts[own].sum()) if n else 0)
+        out["n_tokens"].append(int(counts[mine].sum()) if n else 0)
         out["ids_sha256"].append(hashlib.sha256(text[:-1]).hexdigest())
         out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
     return pa.Table.from_pydict(out, schema=OUT)
 
 
 def _used_ids(batches):
-    """(block, id) distinct within a batch."""
+    """(block, id), distinct within a payload's row batch."""
     for b in batches:
-        lens = pc.binary_length(b.column("ids")).to_numpy() // 4
-        flat = np.frombuffer(b"".join(b.column("ids").to_pylist()), dtype="<u4").astype(np.int64)
-        block = np.repeat(b.column("block").to_numpy(), lens)
-        order = np.unique((block << 20) | flat) if len(flat) and block.max() < 1 << 43 else None
-        if order is None:
-            pairs = np.unique(np.stack([block, flat], 1), axis=0) if len(flat) else np.zeros((0, 2), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["block", "id"])
-        else:
-            yield pa.RecordBatch.from_arrays([pa.array(order >> 20), pa.array(order & 0xFFFFF)],
-                                             names=["block", "id"])
+        used: dict[int, list[np.ndarray]] = {}
+        for block, payload in zip(b.column("block").to_pylist(), b.column("payload").to_pylist(), strict=True):
+            used.setdefault(block, []).append(np.unique(unframe(payload, "<i4", "<i4", "<u4")[2]))
+        parts = {k: np.unique(np.concatenate(v)).astype(np.int64) for k, v in used.items()}
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(np.array(list(parts), np.int64), [len(v) for v in parts.values()])),
+             pa.array(np.concatenate([*parts.values(), np.zeros(0, np.int64)]))], names=["block", "id"])
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
@@ -255,11 +288,13 @@ def round_trip(df: DataFrame, tokenizer: str | None = None, id_col: str = "doc_i
     spark, path = df.sparkSession, tokenizer or default_tokenizer()
     ship_package(spark)
     docs = stable(keyed_text(df, id_col, text_col))
-    table_of_words = arrow_map(docs, _distinct_words(block_bytes), "block long, slot int, word string")
-    encoded = arrow_map(table_of_words.repartition("word"), _encode_words(path), "block long, slot int, ids binary")
+    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    listed = arrow_map(docs, _distinct_words(n, block_bytes), ROW)
+    encoded = pinned(arrow_map(listed.repartition("bucket").sortWithinPartitions("bucket"), _encode_words(path), ROW),
+                     "bpe-words")
     used = arrow_map(encoded, _used_ids, "block long, id long").distinct()
     back = used.join(pieces(spark, path), "id").select(
-        "block", (-1 - F.col("id")).cast("int").alias("slot"), F.col("piece").alias("ids"))
+        (-1 - F.col("id")).cast("int").alias("bucket"), "block", F.col("piece").alias("payload"))
     positions = arrow_map(docs, _positions(block_bytes),
                           "block long, n_words int, doc_id array<long>, sizes array<int>, slots binary")
     return positions.groupBy("block").cogroup(encoded.unionByName(back).groupBy("block")).applyInArrow(
