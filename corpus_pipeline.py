@@ -16,14 +16,16 @@ from secflow.llm import language_id, near_dup, packing, suffix_dedup
 from secflow.llm.common import pinned, release, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-MIN_SCORE = 0.0     # cosine with the nearest language; at or below it a text is in no known language
+MIN_SCORE = 0.0     # cosine with the nearest language; a longer text at or below it is in no known language
+MIN_LETTERS = 100   # with fewer letters a profile is too noisy to reject a text by its score
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without letters or without likeness to any language; fill missing ``lang``."""
+    """Drop documents without letters, and longer ones without likeness to any language; fill missing ``lang``."""
     release(spark, docs)
     found = language_id.identify(docs.select(*COLUMNS), COLUMNS)
-    known = found.filter((F.col("lang_pred") != "und") & (F.col("score") > MIN_SCORE))
+    letters = F.char_length(F.regexp_replace("text", r"\P{L}", ""))
+    known = found.filter((F.col("lang_pred") != "und") & ((F.col("score") > MIN_SCORE) | (letters < MIN_LETTERS)))
     return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
