@@ -9,8 +9,8 @@ ids of its words in order.  Documents are read in blocks of bounded size:
    each distinct one once;
 3. ids go back to their block; the block's documents take them by position (slot numbers).
 
-Decoding joins the distinct ids of each block with the vocabulary's id-to-piece table and
-concatenates the pieces by position.
+Decoding joins the ids of each block's words with the vocabulary's id-to-piece table, which is
+bounded by the vocabulary and travels with the job, and concatenates the pieces by position.
 
 A word is sent once per block, so a very frequent word is listed once per block, never once per
 occurrence, and a bucket's share of words does not depend on how frequent they are.  Both readings
@@ -34,7 +34,6 @@ import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from secflow.llm.common import arrow_map, keyed_text, pinned, slices, table
 from secflow.session import ship_package
@@ -217,58 +216,44 @@ def _encode_words(path: str):
     return run
 
 
-def _digest(left: pa.Table, right: pa.Table) -> pa.Table:
-    """One block: its position row (left) with the ids and pieces of its words (right)."""
-    if not left.num_rows:
-        raise RuntimeError("a block of words has no documents: the input changed between readings")
-    row = left.to_pylist()[0]
-    n_words = row["n_words"]
-    is_piece = right.column("bucket").to_numpy() < 0
-    own = right.filter(pa.array(is_piece))
-    piece = dict(zip((-1 - own.column("bucket").to_numpy()).tolist(), own.column("payload").to_pylist(), strict=True))
-    number = {i: b"%d," % i for i in piece}
-    ids, dec, counts = [b""] * n_words, [b""] * n_words, np.full(n_words, -1, dtype=np.int64)
-    for payload in right.filter(pa.array(~is_piece)).column("payload").to_pylist():
-        slots, n, flat = unframe(payload, "<i4", "<i4", "<u4")
-        counts[slots] = n
-        flat, ends = flat.tolist(), np.cumsum(n).tolist()
-        for slot, k, end in zip(slots.tolist(), n.tolist(), ends, strict=True):
-            word = flat[end - k:end]
-            ids[slot] = b"".join([number[i] for i in word])
-            dec[slot] = b"".join([piece[i] for i in word])
-    if n_words and counts.min() < 0:
-        raise RuntimeError("the input changed between two readings of a block")
-    total = sum(row["sizes"])
-    planes = zstandard.ZstdDecompressor().decompress(row["slots"], max_output_size=max(1, 4 * total))
-    flat = np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view(np.int32).ravel()
-    out, at = {n: [] for n in OUT.names}, 0
-    for doc, n in zip(row["doc_id"], row["sizes"], strict=True):
-        mine = flat[at:at + n]
-        at += n
-        slots = mine.tolist()
-        text = b"".join(map(ids.__getitem__, slots))
-        decoded = b"".join(map(dec.__getitem__, slots)).decode("utf-8", "replace")
-        out["doc_id"].append(doc)
-        out["n_tokens"].append(int(counts[mine].sum()) if n else 0)
-        out["ids_sha256"].append(hashlib.sha256(text[:-1]).hexdigest())
-        out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
-    return pa.Table.from_pydict(out, schema=OUT)
-
-
-def _used_ids(batches):
-    """(block, id), distinct within a payload's row batch."""
-    for b in batches:
-        used: dict[int, list[np.ndarray]] = {}
-        for block, payload in zip(b.column("block").to_pylist(), b.column("payload").to_pylist(), strict=True):
-            used.setdefault(block, []).append(np.unique(unframe(payload, "<i4", "<i4", "<u4")[2]))
-        parts = {k: np.unique(np.concatenate(v)).astype(np.int64) for k, v in used.items()}
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(np.array(list(parts), np.int64), [len(v) for v in parts.values()])),
-             pa.array(np.concatenate([*parts.values(), np.zeros(0, np.int64)]))], names=["block", "id"])
-
-
-def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """The vocabulary as (id, piece bytes): bounded by the vocabulary, not by the data."""
+def _digest(pieces: list[bytes]):
+    """One block: its position row (left) with the ids of its words (right) and their pieces."""
+    numbers = [b"%d," % i for i in range(len(pieces))]
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            raise RuntimeError("a block of words has no documents: the input changed between readings")
+        row = left.to_pylist()[0]
+        n_words = row["n_words"]
+        ids, dec, counts = [b""] * n_words, [b""] * n_words, np.full(n_words, -1, dtype=np.int64)
+        for payload in right.column("payload").to_pylist():
+            slots, n, flat = unframe(payload, "<i4", "<i4", "<u4")
+            counts[slots] = n
+            text, piece = [numbers[i] for i in flat.tolist()], [pieces[i] for i in flat.tolist()]
+            for slot, k, end in zip(slots.tolist(), n.tolist(), np.cumsum(n).tolist(), strict=True):
+                ids[slot], dec[slot] = b"".join(text[end - k:end]), b"".join(piece[end - k:end])
+        if n_words and counts.min() < 0:
+            raise RuntimeError("the input changed between two readings of a block")
+        total = sum(row["sizes"])
+        planes = zstandard.ZstdDecompressor().decompress(row["slots"], max_output_size=max(1, 4 * total))
+        flat = np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view(np.int32).ravel()
+        out, at = {n: [] for n in OUT.names}, 0
+        for doc, n in zip(row["doc_id"], row["sizes"], strict=True):
+            mine = flat[at:at + n]
+            at += n
+            slots = mine.tolist()
+            text = b"".join(map(ids.__getitem__, slots))
+            decoded = b"".join(map(dec.__getitem__, slots)).decode("utf-8", "replace")
+            out["doc_id"].append(doc)
+            out["n_tokens"].append(int(counts[mine].sum()) if n else 0)
+            out["ids_sha256"].append(hashlib.sha256(text[:-1]).hexdigest())
+            out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
+        return pa.Table.from_pydict(out, schema=OUT)
+    return run
+
+
+def piece_table(path: str) -> list[bytes]:
+    """The bytes of each id, by id: bounded by the vocabulary, not by the data."""
     from tokenizers import Tokenizer
 
     # Byte-level BPE writes bytes as characters: printable Latin-1 as themselves, the rest from 256 on.
@@ -276,10 +261,12 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
     rest = [b for b in range(256) if b not in set(plain)]
     byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
     tok = Tokenizer.from_file(path)
-    special = {i for i, t in tok.get_added_tokens_decoder().items()}
-    rows = [(i, bytearray(t.encode() if i in special else bytes(byte[c] for c in t)))
-            for t, i in tok.get_vocab(with_added_tokens=True).items()]
-    return spark.createDataFrame(rows, "id long, piece binary")
+    special = set(tok.get_added_tokens_decoder())
+    vocab = tok.get_vocab(with_added_tokens=True)
+    out = [b""] * (max(vocab.values()) + 1)
+    for t, i in vocab.items():
+        out[i] = t.encode() if i in special else bytes(byte[c] for c in t)
+    return out
 
 
 def round_trip(df: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -290,15 +277,11 @@ def round_trip(df: DataFrame, tokenizer: str | None = None, id_col: str = "doc_i
     docs = stable(keyed_text(df, id_col, text_col))
     n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     listed = arrow_map(docs, _distinct_words(n, block_bytes), ROW)
-    encoded = pinned(arrow_map(listed.repartition("bucket").sortWithinPartitions("bucket"), _encode_words(path), ROW),
-                     "bpe-words")
-    used = arrow_map(encoded, _used_ids, "block long, id long").distinct()
-    back = used.join(pieces(spark, path), "id").select(
-        (-1 - F.col("id")).cast("int").alias("bucket"), "block", F.col("piece").alias("payload"))
+    encoded = arrow_map(listed.repartition("bucket").sortWithinPartitions("bucket"), _encode_words(path), ROW)
     positions = arrow_map(docs, _positions(block_bytes),
                           "block long, n_words int, doc_id array<long>, sizes array<int>, slots binary")
-    return positions.groupBy("block").cogroup(encoded.unionByName(back).groupBy("block")).applyInArrow(
-        _digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return positions.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(
+        _digest(piece_table(path)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
