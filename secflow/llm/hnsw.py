@@ -1,10 +1,14 @@
 """Approximate nearest neighbours: one HNSW graph per shard, stored flat, shard results merged.
 
-``build_index`` returns one row per shard and dimension: vectors, ids, node levels and, for each
+Equal vectors are one node: a graph of copies at distance 0 cannot be walked, and no query needs
+more than the k + 1 copies with the smallest ids (one may be the query's own row).  Spark finds them
+by a ranked window, first per salt of the row, so a vector that many rows share fills no task.
+
+``build_index`` returns one row per shard and dimension: vectors, the copies of each, and, for each
 level, a flat int32 neighbour array (fixed width, -1 for none).  ``search`` sends every query to
-every shard, walks the stored graph, rescores the hits exactly on the original vectors in double
-precision and merges the shards' lists.  Shards hold about ``SHARD_ROWS`` rows, so building grows
-linearly with the input and no task holds more than a shard.
+every shard, walks the stored graph, rescores the nodes exactly on the original vectors in double
+precision, expands the nearest k + 1 to their copies and merges the shards' lists.  Shards hold about
+``SHARD_ROWS`` nodes, so building grows linearly with the input and no task holds more than a shard.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take no
 part; a query's own row is left out (another row with the same id is a candidate); ties go to the
@@ -15,22 +19,23 @@ row with a null id is a candidate that sorts first in ties, never a query.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from secflow.llm import vectors
 from secflow.llm.common import arrow_map, pinned, table
 
 M, EF_BUILD, EF_SEARCH, SHARD_ROWS = 16, 80, 160, 4096
-INDEX = ("shard int, dim int, entry int, top int, rows binary, ids binary, null_id binary, vectors binary, "
-         "neighbours array<binary>")
+INDEX = ("shard int, dim int, entry int, top int, copies binary, rows binary, ids binary, null_id binary, "
+         "vectors binary, neighbours array<binary>")
 INDEX_SCHEMA = pa.schema([("shard", pa.int32()), ("dim", pa.int32()), ("entry", pa.int32()),
-                          ("top", pa.int32()), ("rows", pa.binary()), ("ids", pa.binary()),
-                          ("null_id", pa.binary()), ("vectors", pa.binary()),
+                          ("top", pa.int32()), ("copies", pa.binary()), ("rows", pa.binary()),
+                          ("ids", pa.binary()), ("null_id", pa.binary()), ("vectors", pa.binary()),
                           ("neighbours", pa.list_(pa.binary()))])
 OUT = "query_row long, query_id long, row long, vec_id long, score double"
 OUT_SCHEMA = pa.schema([("query_row", pa.int64()), ("query_id", pa.int64()), ("row", pa.int64()),
@@ -140,10 +145,12 @@ def _builder(m: int, ef: int):
             own = data.filter(pa.array(dims == dim)).combine_chunks()
             x = vectors.matrix(own.column("vec").chunk(0), dim)
             graphs, entry = build_graph(x, m, ef)
-            ids = own.column("vec_id")
+            members = own.column("members").chunk(0)
+            copies, rows, ids = members.value_lengths(), *members.flatten().flatten()
             yield pa.RecordBatch.from_pydict({
                 "shard": [int(own.column("shard")[0].as_py())], "dim": [dim], "entry": [entry],
-                "top": [len(graphs)], "rows": [own.column("row").to_numpy().tobytes()],
+                "top": [len(graphs)], "copies": [copies.to_numpy().astype(np.int64).tobytes()],
+                "rows": [rows.to_numpy().tobytes()],
                 "ids": [ids.fill_null(0).to_numpy().tobytes()],
                 "null_id": [ids.is_null().to_numpy(zero_copy_only=False).tobytes()],
                 "vectors": [x.tobytes()], "neighbours": [[g.tobytes() for g in graphs]]}, schema=INDEX_SCHEMA)
@@ -167,8 +174,8 @@ def _builder(m: int, ef: int):
 
 
 def build_index(data: DataFrame, n_shards: int, m: int = M, ef: int = EF_BUILD) -> DataFrame:
-    """One flat HNSW graph per shard (and dimension) over ``data`` (shard, row, vec_id, vec, dim)."""
-    parts = (data.select("shard", "row", "vec_id", "vec", "dim").repartition(n_shards, "shard")
+    """One flat HNSW graph per shard (and dimension) over ``data`` (shard, row, vec, dim, members)."""
+    parts = (data.select("shard", "row", "vec", "dim", "members").repartition(n_shards, "shard")
              .sortWithinPartitions("shard", "row"))
     return arrow_map(parts, _builder(m, ef), INDEX)
 
@@ -181,25 +188,32 @@ def _searcher(k: int, ef: int):
                 shard, graphs = s, {}
             if kind == 0:
                 for r in b.to_pylist():
-                    rows = np.frombuffer(r["rows"], dtype=np.int64)
-                    x = np.frombuffer(r["vectors"]).reshape(len(rows), r["dim"])
-                    g = [np.frombuffer(a, dtype=np.int32).reshape(len(rows), -1) for a in r["neighbours"]]
-                    graphs[r["dim"]] = (x, g, r["entry"], rows, np.frombuffer(r["ids"], dtype=np.int64),
+                    copies = np.frombuffer(r["copies"], dtype=np.int64)
+                    x = np.frombuffer(r["vectors"]).reshape(len(copies), r["dim"])
+                    g = [np.frombuffer(a, dtype=np.int32).reshape(len(copies), -1) for a in r["neighbours"]]
+                    graphs[r["dim"]] = (x, g, r["entry"], np.concatenate([[0], np.cumsum(copies)]),
+                                        np.frombuffer(r["rows"], dtype=np.int64),
+                                        np.frombuffer(r["ids"], dtype=np.int64),
                                         np.frombuffer(r["null_id"], dtype=bool),
-                                        np.zeros(len(rows), dtype=np.int64))
+                                        np.zeros(len(copies), dtype=np.int64))
                 continue
             out, mark = {n: [] for n in OUT_SCHEMA.names}, 1
             for dim, row, qid, vec in zip(*(b.column(c).to_pylist() for c in ("dim", "row", "vec_id", "vec")),
                                           strict=True):
                 if dim not in graphs:
                     continue
-                x, g, entry, rows, ids, null_id, seen = graphs[dim]
+                x, g, entry, first, rows, ids, null_id, seen = graphs[dim]
                 q = np.array(vec)
                 mark += len(g) + 1
-                hits = np.array([v for _, v in search_graph(x, g, entry, q, max(ef, k + 1), seen, mark)])
-                hits = hits[rows[hits] != row]
-                score = np.sqrt(((x[hits] - q) ** 2).sum(1))
-                order = np.lexsort((np.where(null_id[hits], -2 ** 62, ids[hits]), score))[:k]
+                nodes = np.array([v for _, v in search_graph(x, g, entry, q, max(ef, k + 1), seen, mark)])
+                score = np.sqrt(((x[nodes] - q) ** 2).sum(1))
+                least = first[nodes]                          # a node's copy with the smallest id
+                order = np.lexsort((ids[least], ~null_id[least], score))[:k + 1]
+                nodes, score = nodes[order], score[order]
+                hits = np.concatenate([np.arange(first[v], first[v + 1]) for v in nodes])
+                score = np.repeat(score, first[nodes + 1] - first[nodes])
+                hits, score = hits[rows[hits] != row], score[rows[hits] != row]
+                order = np.lexsort((rows[hits], ids[hits], ~null_id[hits], score))[:k]
                 for h, sc in zip(hits[order].tolist(), score[order].tolist(), strict=True):
                     for n, v in zip(OUT_SCHEMA.names, (row, qid, int(rows[h]), None if null_id[h] else
                                                        int(ids[h]), sc), strict=True):
@@ -215,18 +229,33 @@ def search(index: DataFrame, queries: DataFrame, n_shards: int, k: int, ef: int
     cols = index.dtypes
     data = index.select("*", *[F.lit(None).cast(t).alias(c) for c, t in
                                (("row", "long"), ("vec_id", "long"), ("vec", "array<double>"))])
-    assert len(cols) == 9
+    assert len(cols) == 10
     hits = arrow_map(vectors.with_queries(data, q, n_shards), _searcher(k, ef), OUT)
     return vectors.merge(hits, k, [F.col("score").asc()])
 
 
+def distinct(rows: DataFrame, most: int, salt_rows: int) -> DataFrame:
+    """(vec, dim, members): each different vector with its ``most`` first rows by (vec_id, row)."""
+    salts = max(1, math.ceil(rows.count() / salt_rows))
+    for keys in (["vec", "salt"], ["vec"]):
+        w = Window.partitionBy(*keys).orderBy(F.col("vec_id").asc_nulls_first(), "row")
+        rows = (rows.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)))
+                .withColumn("place", F.row_number().over(w)).filter(F.col("place") <= most))
+    members = F.transform(F.array_sort(F.collect_list(F.struct("place", "row", "vec_id"))),
+                          lambda m: F.struct(m["row"].alias("row"), m["vec_id"].alias("vec_id")))
+    return rows.groupBy("vec").agg(members.alias("members")).withColumn("dim", F.size("vec"))
+
+
 def nearest(df: DataFrame, is_query, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
             shard_rows: int = SHARD_ROWS, ef_search: int = EF_SEARCH) -> DataFrame:
     """(query_id, rank, vec_id, score): k nearest other rows by Euclidean distance."""
     rows = vectors.vector_rows(df, id_col, vec_col).filter(F.exists("vec", lambda x: x != 0))
-    data, n = vectors.sharded(rows, shard_rows, "hnsw-rows")
+    # Adding 0.0 makes -0.0 equal to 0.0 for the grouping.
+    rows = pinned(rows.withColumn("vec", F.transform("vec", lambda x: x + F.lit(0.0)))
+                  .withColumn("row", F.monotonically_increasing_id()), "hnsw-rows")
+    data, n = vectors.sharded(distinct(rows, k + 1, shard_rows), shard_rows, "hnsw-nodes")
     index = pinned(build_index(data, n), "hnsw-index")
-    queries = data.filter(F.coalesce(is_query, F.lit(False)))
+    queries = rows.filter(F.coalesce(is_query, F.lit(False)))
     return search(index, queries, n, k, ef_search)
 
 

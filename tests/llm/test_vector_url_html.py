@@ -1,5 +1,6 @@
 """Vector search, URL rules and HTML extraction on small tables with every odd case."""
 
+import collections
 import math
 import random
 
@@ -83,6 +84,31 @@ def test_nearest(embeddings):
     assert hnsw.nearest(embeddings.limit(0), F.col("vec_id") % 10 == 0, 10).collect() == []
 
 
+def test_nearest_among_many_copies(spark):
+    rnd = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rnd.normal(size=8)]) for i in range(1200)]
+    rows = [(i, [0.5] * 7 + [0.0 if i % 2 else -0.0] if i % 3 == 0 else v) for i, v in rows]
+    rows += [(None, rows[0][1]), (0, rows[0][1])]
+    data = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6)
+    got = {}
+    for r in hnsw.nearest(data, F.col("vec_id") % 40 == 0, 10, shard_rows=450).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, round(r.score, 9)))
+    x, hit, total = np.array([v for _, v in rows]), 0, 0
+    for k, (i, v) in enumerate(rows[:1200]):
+        if i % 40:
+            continue
+        d = np.sqrt(((x - np.array(v)) ** 2).sum(1)).round(9).tolist()
+        near = sorted((d[m], j is not None, j or 0, j) for m, (j, _) in enumerate(rows) if m != k)[:10]
+        want = [(n + 1, j, s) for n, (s, _, _, j) in enumerate(near)]
+        if i == 0:
+            assert collections.Counter(got[0]) == collections.Counter(want * 2)    # two rows have this id
+        elif i % 3 == 0:
+            assert sorted(got[i]) == want
+        hit += len({j for _, j, _ in want} & {j for _, j, _ in got[i]})
+        total += len({j for _, j, _ in want})
+    assert hit / total >= 0.95
+
+
 def test_listed_rules_and_url_parts(spark):
     urls = [(1, "http://A.Example.ORG/x?y#z"), (2, "https://example.org/es/1"), (3, "https://www.example.org/en/17"),
             (4, "https://notexample.org/es/"), (5, "http://a.com/fr/1"), (6, "http://a.com/de/1#f"), (7, None),
