@@ -55,6 +55,7 @@ class Profiler:
         self.slot = np.full(SYMBOLS ** 3, -1, dtype=np.int32)
         self.vectors = np.zeros((1024, dim), dtype=np.int8)
         self.met = 0
+        self.kinds = 0                                     # different trigrams of the last profile
 
     def _learn(self, grams: np.ndarray) -> None:
         if self.met + len(grams) > KNOWN_GRAMS:
@@ -100,12 +101,14 @@ class Profiler:
                 if self.met + len(new) > KNOWN_GRAMS:
                     new = np.unique(own)
                 if len(new) > KNOWN_GRAMS:
+                    self.kinds = len(new)
                     yield self._direct(own)
                     continue
                 self._learn(new)
                 slots = self.slot[own]
             n = np.bincount(slots)
             used = np.flatnonzero(n)
+            self.kinds = len(used)
             yield n[used].astype(np.float32) @ self.vectors[used].astype(np.float32)
 
     def _direct(self, grams: np.ndarray) -> np.ndarray:
@@ -166,9 +169,6 @@ def train(df: DataFrame, dim: int = DIM) -> dict[str, np.ndarray]:
     return out
 
 
-PREDICTED = pa.schema([("lang_pred", pa.string()), ("score", pa.float64())])
-
-
 def _predictor(prototypes: dict[str, np.ndarray], dim: int, columns: list[str]):
     names = sorted(prototypes)
     matrix = np.stack([prototypes[n] for n in names]).astype(np.float64) if names else None
@@ -176,29 +176,32 @@ def _predictor(prototypes: dict[str, np.ndarray], dim: int, columns: list[str]):
     def run(batches):
         p = profiler(dim)
         for b in slices(batches, "text", SLICE_BYTES):
-            langs, scores = [], []
+            langs, scores, kinds = [], [], []
             for v in p.profiles(b.column("text").to_pylist()):
                 if v is None or matrix is None:
                     langs.append("und")
                     scores.append(0.0)
+                    kinds.append(0 if v is None else p.kinds)
                     continue
+                kinds.append(p.kinds)
                 cos = matrix @ v.astype(np.float64)
                 norm = float(np.sqrt(v.astype(np.float64) @ v.astype(np.float64)))
                 best = int(cos.argmax())
                 langs.append(names[best])
                 scores.append(min(1.0, max(0.0, float(cos[best]) / norm)) if norm else 0.0)
             yield pa.RecordBatch.from_arrays([b.column(c) for c in columns] + [pa.array(langs, pa.string()),
-                                                                              pa.array(scores, pa.float64())],
-                                             names=[*columns, "lang_pred", "score"])
+                                                                              pa.array(scores, pa.float64()),
+                                                                              pa.array(kinds, pa.int32())],
+                                             names=[*columns, "lang_pred", "score", "trigrams"])
     return run
 
 
 def predict(df: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str], dim: int = DIM) -> DataFrame:
-    """``keep`` columns of ``df`` with lang_pred and score, from column ``text`` alone."""
+    """``keep`` columns of ``df`` with lang_pred, score and the number of different trigrams, from column ``text`` alone."""
     src = df.select(*[F.col(f"`{c}`") for c in keep if c != "text"], F.col("text").cast("string").alias("text"))
     kept = [c for c in src.columns if c in keep]
     schema = ", ".join(f"`{c}` {t}" for c, t in src.dtypes if c in keep)
-    return arrow_map(src, _predictor(prototypes, dim, kept), f"{schema}, lang_pred string, score double")
+    return arrow_map(src, _predictor(prototypes, dim, kept), f"{schema}, lang_pred string, score double, trigrams int")
 
 
 def held_out() -> Column:

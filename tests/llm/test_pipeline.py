@@ -1,6 +1,8 @@
 """The corpus pipeline, stage by stage, against brute force on the small table."""
 
 import collections
+import random
+import string
 
 import corpus_pipeline
 from secflow.llm import language_id
@@ -73,3 +75,26 @@ def test_stages(spark, tmp_path):
     assert {(r[0], r[2], r[3]) for r in cut} == {(r[0], r[2], r[3]) for r in single}
     assert {r[0] for r in packed} == {r[0] for r in cut}
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(packed)
+
+
+def test_unknown_languages_are_dropped(spark, tmp_path):
+    rnd = random.Random(4)
+
+    def words(syllables, n):
+        return " ".join("".join(rnd.choices(syllables, k=rnd.randint(1, 3))) for _ in range(n))
+
+    english, german = ["the", "ing", "er", "st", "and", "wh", "ed", "on"], ["der", "ein", "sch", "ver", "zu", "ung", "ü"]
+    clean = [(k, words(s, n), lang) for k, (s, n, lang) in enumerate(
+        [(english, 200, "en"), (german, 200, "de")] * 40 + [(english, 6, "en"), (german, 6, "de"), (english, 25, None),
+                                                           (german, 25, None)] * 10)]
+    clean += [(200, "one two", "en"), (201, "the the the " * 50, "en")]
+    greek, cyrillic = [chr(c) for c in range(0x3b1, 0x3ca)], [chr(c) for c in range(0x430, 0x450)]
+    planted = [(300 + 10 * k + j, t, None) for k in range(20) for j, t in enumerate([
+        words(greek, 100), words(cyrillic, 300), "".join(chr(rnd.randrange(0x4e00, 0x9fff)) for _ in range(400)),
+        "".join(rnd.choices(string.ascii_lowercase + "     ", k=90)),
+        "".join(rnd.choices(string.ascii_lowercase + "     ", k=3000)),
+        words(["ki", "vat", "jo", "szo", "gye", "mub", "lyu", "nok"], 200)])]
+    docs = spark.createDataFrame([(i, t, lang, "s", len(t)) for i, t, lang in clean + planted],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs, str(tmp_path)).collect()}
+    assert got == {i for i, _, _ in clean}
