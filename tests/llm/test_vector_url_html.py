@@ -197,3 +197,18 @@ def test_site_templates(spark):
     assert got[22] == got[23] == ("", 0)
     assert got[30][0] == "same page" and got[50][0] == "same article"
     assert main_text(pages.limit(0)).collect() == []
+
+
+def _words(seed, n):
+    rnd = random.Random(seed)
+    return " ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(n))
+
+
+def test_templates_inside_articles(spark):
+    box = "<div class='who'><p>Ann Writer lives by the sea</p></div>"
+    html = {k: f"<article><p>{_words(k, 30)}</p>{box}</article>" for k in range(8)}
+    html |= {100 + k: f"<main><p>{_words(k, 30)}</p>{box}</main>" for k in range(8)}
+    pages = spark.createDataFrame([(k, f"http://site.net/{k}", h) for k, h in html.items()],
+                                  "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_text(pages).collect()}
+    assert got == {k: _words(k % 100, 30) for k in html}
