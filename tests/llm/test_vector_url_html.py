@@ -212,3 +212,17 @@ def test_templates_inside_articles(spark):
                                   "page_id long, url string, html string")
     got = {r.page_id: r.text for r in main_text(pages).collect()}
     assert got == {k: _words(k % 100, 30) for k in html}
+
+
+def test_templates_at_any_host_size(spark):
+    copy, menu = _words("copy", 40), "<div>All news from this section</div>"
+    # The same article under other dates, on small and large hosts; a section's menu on few of many pages.
+    rows = [(k, "small", f"<title>t{k}</title><div>May {k}</div><div><p>{copy}</p></div>") for k in range(5)]
+    rows += [(1000 + k, "large", (menu if k < 6 else "") + f"<div><p>{_words(k, 20)}</p></div>") for k in range(500)]
+    rows += [(2000 + k, "large", f"<div>June {k}</div><div><p>{copy}</p></div>") for k in range(40)]
+    pages = spark.createDataFrame([(k, f"http://{h}.net/{k}", "<body>" + t) for k, h, t in rows],
+                                  "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_text(pages).collect()}
+    assert all(got[k] == f"May {k} {copy}" for k in range(5))
+    assert all(got[1000 + k] == _words(k, 20) for k in range(500))
+    assert all(got[2000 + k] == f"June {k} {copy}" for k in range(40))
