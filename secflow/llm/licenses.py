@@ -9,7 +9,9 @@ miss, (1 - J)^bands, less probable than ``MISS``.  Retrieved windows are verifie
 template's shingles found must reach the threshold.  Overlapping verified windows are one match.
 
 Templates shorter than a shingle use their whole sequence as one shingle of their own length.
-Templates are a parameter (a bounded list); texts are scanned where they lie, without a shuffle.
+Templates are a parameter (a bounded list; by default ``TEMPLATES``, short notices and whole licence
+texts and headers, of which a few changed words leave more than the threshold); texts are scanned
+where they lie, without a shuffle.
 
 Defined cases: null or empty text has no match and no row; repeated rows match alike; a null id is
 kept; equal templates under two names both match.
@@ -25,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from secflow.llm.common import arrow_map, keyed_text, slices, table
+from secflow.llm.license_texts import BODIES
 from secflow.llm.shingles import shingle_hashes, word_hashes
 
 SHINGLE, CONTAINMENT, MISS = 5, 0.8, 1e-7
@@ -40,6 +43,10 @@ NOTICES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("All-Rights-Reserved", "All rights reserved."),
 ]
+#: The default: the notices, other usual words of them, and the licences' own texts and headers.
+TEMPLATES = [*NOTICES, *BODIES,
+             ("MIT", "Released under the terms of the MIT License."), ("MIT", "Licensed under the MIT License."),
+             ("CC-BY-4.0", "Licensed under CC BY 4.0."), ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0.")]
 
 MATCH = pa.schema([("doc_id", pa.int64()), ("license", pa.string()), ("start_word", pa.int64()),
                    ("n_words", pa.int64()), ("containment", pa.float64())])
@@ -153,7 +160,7 @@ def _scanner(notices, size: int, threshold: float):
     return run
 
 
-def scan(df: DataFrame, notices: list[tuple[str, str]] = NOTICES, size: int = SHINGLE,
+def scan(df: DataFrame, notices: list[tuple[str, str]] = TEMPLATES, size: int = SHINGLE,
          threshold: float = CONTAINMENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, license, start_word, n_words, containment): one row per match."""
     return arrow_map(keyed_text(df, id_col, text_col), _scanner(notices, size, threshold),

@@ -297,6 +297,20 @@ def test_license_scan(spark, empty):
     assert licenses.scan(empty).collect() == []
 
 
+def test_license_bodies(spark):
+    lead, rows = " ".join("w%d" % k for k in range(37)), []
+    for k, (_, body) in enumerate(licenses.BODIES):
+        words = body.split()
+        near = words[:len(words) // 2] + ["changed"] + words[len(words) // 2 + 1:]
+        rows += [(2 * k, f"{lead} {body} {lead}"), (2 * k + 1, " ".join([lead, *near, lead]))]
+    rows += [(900, lead), (901, f"{lead} Released under the terms of the MIT License. {lead}")]
+    got = {(r.doc_id, r.license) for r in licenses.scan(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, (name, _) in enumerate(licenses.BODIES):
+        assert (2 * k, name) in got and (2 * k + 1, name) in got
+    assert (901, "MIT") in got and 900 not in {i for i, _ in got}
+
+
 def test_license_windows_miss_nothing():
     """Every verified occurrence that an exhaustive scan finds, at any place in the text."""
     rnd = random.Random(4)
