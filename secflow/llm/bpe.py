@@ -9,8 +9,8 @@ ids of its words in order.  Documents are read in blocks of bounded size:
    each distinct one once;
 3. ids go back to their block; the block's documents take them by position (slot numbers).
 
-Decoding joins the ids of each block's words with the vocabulary's id-to-piece table, which is
-bounded by the vocabulary and travels with the job, and concatenates the pieces by position.
+Decoding looks the ids of each block's words up in the vocabulary's id-to-piece table, a list that is
+bounded by the vocabulary and travels with the job (no join), and concatenates the pieces by position.
 
 A word is sent once per block, so a very frequent word is listed once per block, never once per
 occurrence, and a bucket's share of words does not depend on how frequent they are.  Both readings
