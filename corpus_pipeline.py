@@ -19,7 +19,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 NOISE = language_id.DIM ** -0.5     # standard deviation of the cosine of an unlike text with a prototype
 #: (different trigrams, least cosine in units of NOISE), linear in between.  Text with fewer trigrams than the
 #: first says too little to be rejected.  Calibrated on the labelled rows of sf0.1: none of them falls below,
-#: random letters and unknown scripts stay below 5, another language mostly below 10 (from 200 trigrams on).
+#: random letters and unknown scripts stay below 6, another language mostly below 10 (from 200 trigrams on).
 LIMITS = [(20, 0.0), (60, 6.0), (130, 8.0), (200, 13.0)]
 
 
