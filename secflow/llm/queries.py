@@ -18,6 +18,9 @@ _QUERIES = {
     "op8_best_fit_packing": "secflow.llm.packing",
     "op9_bpe_round_trip": "secflow.llm.bpe",
     "op10_exact_topk": "secflow.llm.mtree",
+    "op11_line_rules": "secflow.llm.line_rules",
+    "op12_conversation_repair": "secflow.llm.turns",
+    "op13_merkle_manifest": "secflow.llm.merkle",
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
