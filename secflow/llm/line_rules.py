@@ -3,14 +3,14 @@
 A line with words fails if one of these rules holds for it:
 
 * punctuation: it does not end in a sentence mark (closing quotes and brackets may follow), or more than
-  ``MAX_SHOUTS`` of its words end in repeated exclamation or question marks, or it has more than ``MAX_SYMBOLS``
-  symbols a word;
-* navigation: at least two separators stand alone and make up ``MIN_SEPARATORS`` of its words, or all of it names
+  ``MAX_SHOUTS`` per cent of its words end in repeated exclamation or question marks, or it has more than
+  ``MAX_SYMBOLS`` symbols to a hundred words;
+* navigation: at least two separators stand alone and make up ``MIN_SEPARATORS`` per cent of its words, or all of it names
   a page control;
 * boilerplate: it has a phrase of scripts, cookie notices, placeholders or legal footers, or a curly bracket.
 
 Failing lines go.  A document is rejected if the base rules reject its whole text, or if the lines that stay hold
-less than ``MIN_KEPT`` of its words.  Everything is a DataFrame expression of one row: no shuffle and no Python;
+less than ``MIN_KEPT`` per cent of its words.  Everything is a DataFrame expression of one row: no shuffle and no Python;
 8-word windows are compared by a pair of 32- and 64-bit hashes, for rows with equal window hashes only.
 
 Defined cases: null text has no words and is rejected; ``clean_text`` of a null text is null; lines without words are
@@ -28,10 +28,10 @@ from secflow.llm.common import keyed_text, table
 MIN_WORDS = 20
 WINDOW = 8
 MAX_REPEATED = 30       # per cent of the words that lie in repeated windows
-MIN_KEPT = 0.5          # share of the words that the kept lines must hold
-MAX_SHOUTS = 0.3        # of a line's words
-MAX_SYMBOLS = 0.3       # a word
-MIN_SEPARATORS = 0.2    # of a line's words
+MIN_KEPT = 50           # per cent of the words that the kept lines must hold
+MAX_SHOUTS = 30         # per cent of a line's words
+MAX_SYMBOLS = 30        # to a hundred words
+MIN_SEPARATORS = 20     # per cent of a line's words
 MAX_CONTROL = 40        # characters of a line that only names a page control
 
 # White space of the contract, symbols, sentence marks, separators, page controls and phrases.
@@ -85,9 +85,9 @@ def line_fails(line: Column, may: Column) -> Column:
     bars = F.size(F.filter(words, lambda w: w.isin(*SEPARATORS)))
     symbols = F.regexp_count(line, F.lit(f"[{SYMBOLS}]"))
     punctuation = (~F.right(F.rtrim(line, F.lit(BLANKS + CLOSING)), F.lit(1)).isin(*SENTENCE_MARKS)
-                   | (shouting & (shouts > MAX_SHOUTS * n))
-                   | (symbolic & (symbols > MAX_SYMBOLS * n)))
-    navigation = ((separated & _holds(line, SEPARATORS) & (bars >= 2) & (bars >= MIN_SEPARATORS * n))
+                   | (shouting & (100 * shouts > MAX_SHOUTS * n))
+                   | (symbolic & (100 * symbols > MAX_SYMBOLS * n)))
+    navigation = ((separated & _holds(line, SEPARATORS) & (bars >= 2) & (100 * bars >= MIN_SEPARATORS * n))
                   | ((F.char_length(line) < MAX_CONTROL)
                      & F.lower(F.btrim(line, F.lit(BLANKS + ".:!?"))).isin(*CONTROLS)))
     return punctuation | navigation | (phrased & _holds(F.lower(line), PHRASES))
@@ -134,7 +134,7 @@ def _beside(hashes: str, span: int) -> Column:
     return F.transform(hashes, lambda h, i: F.xxhash64(h, F.get(F.col(hashes), i + span)))
 
 
-def clean(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_kept: float = MIN_KEPT) -> DataFrame:
+def clean(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_kept: int = MIN_KEPT) -> DataFrame:
     """Every row with its base counts, ``clean_text`` (the lines that pass), ``words_kept`` and the verdict ``kept``."""
     lower = base_counts(keyed_text(df, id_col, text_col)).withColumn("_lower", F.lower("text"))
     counted = lower.withColumn("_may", gates(F.col("text"), F.col("_lower"))).drop("_lower")
@@ -146,7 +146,7 @@ def clean(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_kep
               .withColumn("words_kept", F.when(whole, F.col("n_words"))
                           .otherwise(F.size(_words(F.coalesce("clean_text", F.lit(""))))).cast("long"))
               .drop("text", "_may").withColumn("base_failed", base))
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("words_kept") >= min_kept * F.col("n_words")))
+    return judged.withColumn("kept", ~F.col("base_failed") & (100 * F.col("words_kept") >= min_kept * F.col("n_words")))
 
 
 def op11_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from secflow.llm import line_rules as rules
+
 _QUERIES = {
     "op1_language_id": "secflow.llm.language_id",
     "op2_suffix_dedup": "secflow.llm.suffix_dedup",
@@ -103,6 +105,120 @@ FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) A
 }
 
 
+def _quoted(words) -> str:
+    return "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + ")"
+
+
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _words(col: str) -> str:
+    return f"list_filter(regexp_split_to_array({col}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+
+ORACLES["op11_line_rules"] = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, COALESCE(text, '') AS t, {_words("COALESCE(text, '')")} AS w FROM documents),
+windows AS (
+  SELECT r, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) AS x,
+         unnest(range(1, len(w) - 6)) AS i
+  FROM docs WHERE len(w) >= 8),
+twice AS (SELECT r, unnest(list(i)) AS i FROM windows GROUP BY r, x HAVING COUNT(*) > 1),
+covered AS (SELECT r, COUNT(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY r),
+lines AS (
+  SELECT *, {_words("line")} AS w FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+judged AS (
+  SELECT r, line, len(w) AS n,
+         right(rtrim(line, {_BLANKS} || {_quoted([rules.CLOSING])[1:-1]}), 1) NOT IN {_quoted(rules.SENTENCE_MARKS)}
+         OR 100 * len(list_filter(w, lambda x: right(x, 2) IN {_quoted(rules.SHOUTS)})) > {rules.MAX_SHOUTS} * len(w)
+         OR 100 * length(regexp_replace(line, '[^{rules.SYMBOLS}]+', '', 'g')) > {rules.MAX_SYMBOLS} * len(w)
+         OR (len(list_filter(w, lambda x: x IN {_quoted(rules.SEPARATORS)})) >= 2
+             AND 100 * len(list_filter(w, lambda x: x IN {_quoted(rules.SEPARATORS)}))
+                 >= {rules.MIN_SEPARATORS} * len(w))
+         OR (length(line) < {rules.MAX_CONTROL}
+             AND lower(trim(line, {_BLANKS} || '.:!?')) IN {_quoted(rules.CONTROLS)})
+         OR len(list_filter([{_quoted(rules.PHRASES)[1:-1]}], lambda p: contains(lower(line), p))) > 0 AS fails
+  FROM lines),
+texts AS (
+  SELECT r, COUNT(*) - COUNT(DISTINCT line) AS n_dup_lines, COALESCE(SUM(n) FILTER (WHERE NOT fails), 0) AS words_kept
+  FROM judged GROUP BY r),
+counted AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^{rules.SYMBOLS}]+', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(COALESCE(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(COALESCE(c.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(COALESCE(words_kept, 0) AS BIGINT) AS words_kept
+  FROM docs LEFT JOIN texts USING (r) LEFT JOIN covered c USING (r))
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)
+       AND 100 * words_kept >= {rules.MIN_KEPT} * n_words AS kept
+FROM counted"""
+
+_LEVELS = 6     # 16 ** 6 rows of a source; the stored form has no such limit
+
+
+def _field(col: str) -> str:
+    return f"CASE WHEN {col} IS NULL THEN '-' ELSE strlen(CAST({col} AS VARCHAR)) || ':' || {col} END"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+def _climb(name: str, start: str) -> str:
+    """CTEs of the levels of the trees over ``start`` (key, pos, h): runs of siblings, then their parents."""
+    out, nodes = [], start
+    for k in range(_LEVELS):
+        out.append(f"""{name}_run{k} AS (
+  SELECT key, pos // 16 AS run, list(h ORDER BY pos) AS l, any_value(total) = 1 AS alone
+  FROM (SELECT *, COUNT(*) OVER (PARTITION BY key) AS total FROM {nodes}) GROUP BY key, pos // 16),
+{name}_up{k} AS (SELECT key, run AS pos, CASE WHEN alone THEN l[1] ELSE sha256(array_to_string(l, '')) END AS h
+  FROM {name}_run{k})""")
+        nodes = f"{name}_up{k}"
+    return ",\n".join(out)
+
+
+def _walk(name: str, start: str) -> str:
+    """CTEs that take rows (r, key, p, cur, proof) of ``start`` up the levels of the tree ``name``."""
+    out, rows = [], start
+    for k in range(_LEVELS):
+        out.append(f"""{name}_walk{k} AS (
+  SELECT w.r, w.key, w.p // 16 AS p,
+         CASE WHEN alone THEN cur
+              ELSE sha256(array_to_string(list_concat(l[:w.p % 16], [cur], l[w.p % 16 + 2:]), '')) END AS cur,
+         CASE WHEN alone THEN proof
+              ELSE proof || array_to_string(list_concat(l[:w.p % 16], l[w.p % 16 + 2:]), '') END AS proof
+  FROM {rows} w JOIN {name}_run{k} t ON t.key = w.key AND t.run = w.p // 16)""")
+        rows = f"{name}_walk{k}"
+    return ",\n".join(out)
+
+
+_CRC32 = """xor(list_reduce(list_concat([4294967295], list_transform(string_split({}, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]),
+                             lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295)"""
+
+ORACLES["op13_merkle_manifest"] = f"""
+WITH leaves AS (
+  SELECT row_number() OVER () AS r, doc_id, COALESCE('s' || source, '') AS key, {_leaf('text')} AS h,
+         CASE WHEN doc_id IS NOT NULL AND {_CRC32.format("CAST(doc_id AS VARCHAR)")} % 5 = 0
+              THEN {_leaf(f"translate(text, '{_UPPER}', '{_UPPER.lower()}')")} ELSE {_leaf('text')} END AS cur
+  FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, h) - 1 AS pos FROM leaves),
+{_climb("own", "placed")},
+subroots AS (SELECT key AS name, '' AS key, row_number() OVER (ORDER BY key) - 1 AS pos, h
+             FROM own_up{_LEVELS - 1}),
+{_climb("top", "subroots")},
+first_rows AS (SELECT r, key, pos AS p, cur, '' AS proof FROM placed),
+{_walk("own", "first_rows")},
+second_rows AS (SELECT w.r, '' AS key, s.pos AS p, w.cur, w.proof
+                FROM own_walk{_LEVELS - 1} w JOIN subroots s ON s.name = w.key),
+{_walk("top", "second_rows")}
+SELECT d.doc_id, d.h AS leaf, s.h AS subroot, t.h AS root, sha256(w.proof) AS proof_sha256, w.cur AS folded_root,
+       w.cur = t.h AS verified
+FROM placed d JOIN subroots s ON s.name = d.key JOIN top_walk{_LEVELS - 1} w ON w.r = d.r
+CROSS JOIN top_up{_LEVELS - 1} t"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: getattr(importlib.import_module(module), name) for name, module in _QUERIES.items()}
