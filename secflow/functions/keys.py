@@ -28,11 +28,27 @@ def event_time_text(ts: Column) -> Column:
 
 def parse_event_time(text: Column) -> Column:
     """Lenient parse: ISO with ``T`` or blank separator, optional zone; the basic form without
-    separators too.  A full date is required: a bare time or year is junk, and junk or '' -> NULL."""
-    iso = F.regexp_replace(F.trim(text), r"^(\d{4})(\d{2})(\d{2})[T ](\d{2})(\d{2})(\d{2})", "$1-$2-$3T$4:$5:$6")
-    iso = F.regexp_replace(iso, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
-    return F.when(iso.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d|$)"),
+    separators too.  A full date is required: a bare time or year is junk, and junk or '' -> NULL.
+
+    The form that this library writes (``EVENT_TIME_FORMAT``, known by its length and three of its marks) is cast as
+    it is; only other texts pay for patterns.  Both ways give the same instant.
+    """
+    blank = F.trim(text)
+    iso = F.regexp_replace(blank, r"^(\d{4})(\d{2})(\d{2})(?:[T ](\d{2})(\d{2})(\d{2})|$)", "$1-$2-$3T$4:$5:$6")
+    iso = F.regexp_replace(iso, "T::$", "")
+    rare = F.when(iso.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d|$)"),
                   F.try_to_timestamp(F.regexp_replace(iso, r"^(\S{10}) ", "$1T")))
+    common = ((F.char_length(text) == 23) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 11, 1) == " ")
+              & (F.substring(text, 20, 1) == "."))
+    return F.coalesce(F.when(common, F.try_to_timestamp(text)), rare)
+
+
+def parse_event_time_sql(col: str) -> str:
+    """``parse_event_time`` as SQL text, for statements that a table format runs (MERGE)."""
+    iso = (f"regexp_replace(regexp_replace(trim({col}), "
+           r"r'^(\d{4})(\d{2})(\d{2})(?:[T ](\d{2})(\d{2})(\d{2})|$)', '$1-$2-$3T$4:$5:$6'), 'T::$', '')")
+    return (f"CASE WHEN {iso} RLIKE r'^\\d{{4}}-\\d{{2}}-\\d{{2}}([T ]\\d|$)' "
+            f"THEN try_to_timestamp(regexp_replace({iso}, r'^(\\S{{10}}) ', '$1T')) END")
 
 
 def normalize_event_time(text: Column) -> Column:

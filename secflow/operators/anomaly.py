@@ -30,13 +30,14 @@ tenants are few and hot.  Instead:
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from secflow import schemas as S
-from secflow.functions.exact import mean, not_nan, split
+from secflow.functions.exact import PARTS, mean, not_nan, split
 from secflow.session import materialize
 
 _POS_BITS = 33  # monotonically_increasing_id(): partition id in the upper bits, row index in the lower 33
@@ -76,7 +77,12 @@ def range_index(df: DataFrame, order: list[Column], num_partitions: int, name: s
     tagged rows are written once as a parquet table in the shared checkpoint
     folder; every later branch reads the same rows, and a lost executor
     re-reads files instead of re-sampling.  ``order`` must be a total order.
+
+    Sampling reads its input once more than the shuffle.  An input that joins or aggregates is therefore written
+    first and sampled from the file.
     """
+    if re.search("Join|Aggregate|Window|Exchange", df._jdf.queryExecution().optimizedPlan().toString()):
+        df = materialize(df, name + "-input")
     ranged = df.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
     return materialize(ranged.select(
         "*",
@@ -111,16 +117,20 @@ MAX_DECIMALS = 4
 _INT_LIMIT = float(1 << 24)     # squares of scaled values then sum within 64 bits over a block
 
 
-def exact_scale(df: DataFrame, value: Column, least: int = 1) -> int | None:
-    """The power of ten (at least ``least``) that makes every value a small integer without loss, or None."""
+def scale_metrics(value: Column) -> list[Column]:
+    """What ``exact_scale`` decides on, as aggregates."""
     need = F.lit(None).cast("long")
     for d in range(MAX_DECIMALS, -1, -1):
         f = F.lit(float(10 ** d))
         need = F.when(F.round(value * f) / f == value, F.lit(10 ** d).cast("long")).otherwise(need)
-    row = df.agg(F.max(need).alias("scale"), F.max(F.abs(value)).alias("top"),
-                 F.count(F.when(value.isNotNull() & need.isNull(), 1)).alias("finer")).first()
-    scale = max(least, row["scale"] or 1)
-    return scale if not row["finer"] and (row["top"] or 0.0) * scale <= _INT_LIMIT else None
+    return [F.max(need).alias("scale"), F.max(F.abs(value)).alias("top"),
+            F.count(F.when(value.isNotNull() & need.isNull(), 1)).alias("finer")]
+
+
+def exact_scale(found: dict, least: int = 1) -> int | None:
+    """The power of ten (at least ``least``) that makes every value a small integer without loss, or None."""
+    scale = max(least, found["scale"] or 1)
+    return scale if not found["finer"] and (found["top"] or 0.0) * scale <= _INT_LIMIT else None
 
 
 def detect(df: DataFrame, value: str, partition: str, order: list[Column],
@@ -138,8 +148,10 @@ def detect(df: DataFrame, value: str, partition: str, order: list[Column],
 
     clean = not_nan(F.col(value))
     full_order = [F.col(partition), clean.isNull()] + list(order)
-    pos = global_positions(df, full_order, num_partitions)
-    scale = exact_scale(pos, clean, params.scale)
+    # Observed while the positions are written: no pass of its own.
+    seen = Observation()
+    pos = global_positions(df.observe(seen, *scale_metrics(clean)), full_order, num_partitions)
+    scale = exact_scale(seen.get, params.scale)
 
     # Each row belongs to its block; the last span+1 rows of a block are also context for the next.
     own = F.floor(F.col("_g") / F.lit(block)).cast("bigint")
@@ -246,46 +258,38 @@ def running_stats(df: DataFrame, value: str, partition: str, order: str, tie_bre
     if num_partitions is None:
         num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(partition), F.col(order)] + [F.col(c) for c in tie_breaks]
-    hi, lo = split(F.col(value))
-    idx = range_index(df.withColumns({"_v": not_nan(F.col(value)), "_hi": hi, "_lo": lo}), keys,
-                      num_partitions, "running")
+    parts = {"_v_" + k: c for k, c in split(F.col(value)).items()}
+    idx = range_index(df.withColumns({"_v": not_nan(F.col(value)), **parts}), keys, num_partitions, "running")
     idx = idx.withColumn("_blk", F.floor(F.col("_local") / F.lit(block_rows)).cast("bigint"))
     earlier = Window.unboundedPreceding, -1
 
     def totals(cols):
-        return idx.groupBy(*cols).agg(F.count("_v").alias("_c"), F.sum("_hi").alias("_s"), F.sum("_lo").alias("_t"),
-                                      F.max("_v").alias("_m"))
+        return idx.groupBy(*cols).agg(F.count("_v").alias("_c"), F.max("_v").alias("_m"),
+                                      *[F.sum(p).alias("_s" + p) for p in parts])
 
     def prefixed(t, part, order_col, tag):
         w = Window.partitionBy(*part).orderBy(order_col).rowsBetween(*earlier)
-        return t.select(*part, order_col,
-                        F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_c" + tag),
-                        F.coalesce(F.sum("_s").over(w), F.lit(0)).alias("_s" + tag),
-                        F.coalesce(F.sum("_t").over(w), F.lit(0)).alias("_t" + tag),
-                        F.max("_m").over(w).alias("_m" + tag))
+        return t.select(*part, order_col, F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_c" + tag),
+                        F.max("_m").over(w).alias("_m" + tag),
+                        *[F.coalesce(F.sum("_s" + p).over(w), F.lit(0)).alias(p + tag) for p in parts])
 
     by_part = prefixed(totals([partition, "_pid"]), [partition], "_pid", "1")
     by_blk = prefixed(totals([partition, "_pid", "_blk"]), [partition, "_pid"], "_blk", "2")
     w_in = Window.partitionBy(partition, "_pid", "_blk").orderBy("_local").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     rows = idx.join(by_blk, [partition, "_pid", "_blk"]).join(by_part, [partition, "_pid"]).select(
-        *df.columns, "_pid", "_local", "_c1", "_s1", "_t1", "_m1", "_c2", "_s2", "_t2", "_m2",
-        F.count("_v").over(w_in).alias("_c3"), F.coalesce(F.sum("_hi").over(w_in), F.lit(0)).alias("_s3"),
-        F.coalesce(F.sum("_lo").over(w_in), F.lit(0)).alias("_t3"),
-        F.max("_v").over(w_in).alias("_m3"))
-    cum = rows.select(
-        *df.columns, F.struct("_pid", "_local").alias("_pos"),
-        (F.col("_c1") + F.col("_c2") + F.col("_c3")).alias("_cc"),
-        (F.col("_s1") + F.col("_s2") + F.col("_s3")).alias("_cs"),
-        (F.col("_t1") + F.col("_t2") + F.col("_t3")).alias("_ct"),
-        F.greatest("_m1", "_m2", "_m3").alias("_cm"))
+        *df.columns, "_pid", "_local", *[c + tag for tag in "12" for c in ("_c", "_m", *parts)],
+        F.count("_v").over(w_in).alias("_c3"), F.max("_v").over(w_in).alias("_m3"),
+        *[F.coalesce(F.sum(p).over(w_in), F.lit(0)).alias(p + "3") for p in parts])
+    sums = {p: F.col(p + "1") + F.col(p + "2") + F.col(p + "3") for p in ("_c", *parts)}
+    cum = rows.select(*df.columns, F.struct("_pid", "_local").alias("_pos"), F.struct(
+        F.greatest("_m1", "_m2", "_m3").alias("_m"), *[c.alias(p) for p, c in sums.items()]).alias("_now"))
     # Peers: every row takes the running values of the last row with its (partition, order) value.
-    peers = cum.groupBy(partition, order).agg(F.max_by(F.struct("_cc", "_cs", "_ct", "_cm"), F.col("_pos")).alias("_last"))
-    out = cum.drop("_cc", "_cs", "_ct", "_cm", "_pos").join(peers, [partition, order])
-    c = F.col("_last._cc")
+    peers = cum.groupBy(partition, order).agg(F.max_by("_now", "_pos").alias("_last"))
+    out = cum.drop("_now", "_pos").join(peers, [partition, order])
     return out.select(
         *df.columns,
-        c.alias("running_count"),
-        mean(F.col("_last._cs"), F.col("_last._ct"), c).alias("running_avg"),
-        F.col("_last._cm").alias("running_max"),
+        F.col("_last._c").alias("running_count"),
+        mean({k: F.col("_last._v_" + k) for k in PARTS}, F.col("_last._c")).alias("running_avg"),
+        F.col("_last._m").alias("running_max"),
     )

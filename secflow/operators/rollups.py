@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from secflow import schemas as S
 from secflow.functions import keys as K
-from secflow.functions.exact import exact_avg, mean, not_nan, split
+from secflow.functions.exact import exact_avg
 
 
 def avg_cvss(col: str = "cvss_score") -> Column:
@@ -158,15 +158,15 @@ def facet_filter(findings: DataFrame, **facets) -> DataFrame:
 def bi_rollup(findings: DataFrame, width: str = S.BI_WINDOW) -> DataFrame:
     """Tumbling windows x tenant x severity x predicted risk; only non-empty windows."""
     ts = K.parse_event_time(F.col("event_time"))
-    g = findings.withColumn("event_timestamp", ts).filter(F.col("event_timestamp").isNotNull()) \
-        .groupBy(F.window("event_timestamp", width).alias("time_window"), "tenant_id", "severity",
-                 "predicted_risk") \
-        .agg(F.count(F.lit(1)).alias("findings"), avg_cvss().alias("avg_cvss_score"),
-             avg_score().alias("avg_anomaly_score"))
-    return g.select(F.col("time_window.start").alias("window_start"),
-                    F.col("time_window.end").alias("window_end"),
-                    "tenant_id", "severity", "predicted_risk", "findings", "avg_cvss_score",
-                    "avg_anomaly_score")
+    return window_buckets(findings.filter(ts.isNotNull()), ts, width)
+
+
+def window_buckets(findings: DataFrame, instant: Column, width: str) -> DataFrame:
+    """Counts and average scores by window, tenant, severity and predicted risk."""
+    g = findings.groupBy(F.window(instant, width).alias("w"), "tenant_id", "severity", "predicted_risk").agg(
+        F.count(F.lit(1)).alias("findings"), avg_cvss().alias("avg_cvss_score"), avg_score().alias("avg_anomaly_score"))
+    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    *[c for c in g.columns if c != "w"])
 
 
 def bi_documents(bi: DataFrame) -> DataFrame:
@@ -194,17 +194,9 @@ def bi_rollup_topn(docs: DataFrame, tenants: int = 1000, severities: int = 10, r
     lacking a severity are not counted; a document lacking a deeper key still counts for the
     levels above it, like nested terms buckets."""
     ts = K.parse_event_time(F.col("event_time"))
-    hi_c, lo_c = split(F.col("cvss_score"))
-    hi_a, lo_a = split(F.col("anomaly_score"))
     # One aggregate over the documents; everything below works on its buckets.
-    buckets = docs.filter(F.col("severity").isNotNull() & ts.isNotNull() & F.col("tenant_id").isNotNull()) \
-        .groupBy(F.window(ts, width).alias("w"), "tenant_id", "severity", "predicted_risk").agg(
-            F.count(F.lit(1)).alias("findings"),
-            F.sum(hi_c).alias("_hc"), F.sum(lo_c).alias("_lc"), F.count(not_nan(F.col("cvss_score"))).alias("_nc"),
-            F.sum(hi_a).alias("_ha"), F.sum(lo_a).alias("_la"), F.count(not_nan(F.col("anomaly_score"))).alias("_na")) \
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "tenant_id", "severity",
-                "predicted_risk", "findings", mean(F.col("_hc"), F.col("_lc"), F.col("_nc")).alias("avg_cvss_score"),
-                mean(F.col("_ha"), F.col("_la"), F.col("_na")).alias("avg_anomaly_score"))
+    counted = docs.filter(F.col("severity").isNotNull() & ts.isNotNull() & F.col("tenant_id").isNotNull())
+    buckets = window_buckets(counted, ts, width)
     in_tenant = Window.partitionBy("window_start", "tenant_id")
     totals = buckets.withColumn("_tt", F.sum("findings").over(in_tenant)).withColumn(
         "_st", F.sum("findings").over(Window.partitionBy("window_start", "tenant_id", "severity")))

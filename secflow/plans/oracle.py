@@ -11,13 +11,13 @@ AS_OF = "2024-02-01 00:00:00"
 
 
 def avg_sql(col: str, over: str = "") -> str:
-    """Average of a DOUBLE column with order-independent sums (no rounding to decimals)."""
-    hi = f"FLOOR({col} * 1048576e0)"
-    lo = f"FLOOR(({col} * 1048576e0 - {hi}) * 8589934592e0)"
-    total = " + ".join(f"CAST(SUM(CAST({part} AS BIGINT)){over} AS DOUBLE){unit}"
-                       for part, unit in ((hi, ""), (lo, " / 8589934592e0")))
+    """Average of a DOUBLE column: the values are whole multiples of 2**-60, whose sum is exact in 128 bits.
+
+    The text between the sum and its double rounds once.
+    """
+    total = f"CAST(CAST(SUM(CAST({col} * 1152921504606846976e0 AS HUGEINT)){over} AS VARCHAR) AS DOUBLE)"
     n = f"COUNT({col}){over}"
-    return f"CASE WHEN {n} > 0 THEN ({total}) / CAST({n} AS DOUBLE) / 1048576e0 END"
+    return f"CASE WHEN {n} > 0 THEN {total} / 1152921504606846976e0 / CAST({n} AS DOUBLE) END"
 
 
 ADAPTERS = {

@@ -24,6 +24,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from secflow.functions.keys import parse_event_time_sql
 from secflow.operators.findings import latest_by, retention, with_instant
 
 
@@ -74,12 +75,14 @@ class UpsertLog:
 
 
 def merge_sql(table: str, source: str, keys: list[str], columns: list[str]) -> str:
-    """MERGE statement of one deduplicated batch (view ``source``) into ``table``: an older event never
-    replaces a newer one.  ``table`` must be in a format that supports MERGE."""
+    """MERGE statement of one deduplicated batch (view ``source``) into ``table``: an event of an earlier instant
+    never replaces a later one, whatever the form and offset of their texts.  ``table`` must be in a format that
+    supports MERGE."""
+    new, old = parse_event_time_sql("s.event_time"), parse_event_time_sql("t.event_time")
     on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
     sets = ", ".join(f"t.{c} = s.{c}" for c in columns if c not in keys)
     return (f"MERGE INTO {table} t USING {source} s ON {on} "
-            f"WHEN MATCHED AND (t.event_time IS NULL OR s.event_time >= t.event_time) THEN UPDATE SET {sets} "
+            f"WHEN MATCHED AND ({old} IS NULL OR {new} >= {old}) THEN UPDATE SET {sets} "
             f"WHEN NOT MATCHED THEN INSERT ({', '.join(columns)}) VALUES ({', '.join('s.' + c for c in columns)})")
 
 

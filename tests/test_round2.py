@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from secflow.functions import keys as K
 from secflow.functions.exact import exact_avg
 from secflow.operators import contracts, findings, governance
-from secflow.operators.anomaly import AnomalyParams, detect, exact_scale, running_stats
+from secflow.operators.anomaly import AnomalyParams, detect, exact_scale, running_stats, scale_metrics
 from secflow.operators.enrich import join_entities
 from secflow.sinks.writers import UpsertLog, merge_sql
 
@@ -25,6 +25,41 @@ def test_averages_keep_all_decimals(spark):
     assert r.a == pytest.approx(r.b, rel=1e-12)
 
 
+@pytest.mark.parametrize("values", [
+    [1e14, 1e14], [1e14, 1.0], [math.inf, math.inf, 1.0], [-math.inf, 2.0], [1e-17, 1e-17], [1e-17, 5.0], [1e300, 1e300],
+    [0.1] * 10, [7.3, 9.9, 3.0, -4.7], [4095.9, 4096.1], [-0.1, -2.5], [0.0, -0.0], [2.0 ** -60, 3.0], [5e-324, 5e-324]])
+def test_averages_of_any_size_are_right(spark, values):
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double")
+    got = df.agg(exact_avg(F.col("v")).alias("a")).first().a
+    want = sum(values) / len(values)
+    assert got == want if math.isinf(want) else got == pytest.approx(math.fsum(values) / len(values), rel=1e-15, abs=0)
+
+
+def test_infinities_of_both_signs_have_no_average(spark):
+    df = spark.createDataFrame([(math.inf,), (-math.inf,)], "v double")
+    assert math.isnan(df.agg(exact_avg(F.col("v")).alias("a")).first().a)
+
+
+def test_average_does_not_depend_on_the_order(spark):
+    rows = spark.range(30000).select((F.floor(F.rand(5) * 1000) / 100).alias("v"), F.rand(6).alias("o"))
+    got = {rows.orderBy(o).coalesce(n).agg(exact_avg(F.col("v")).alias("a")).first().a
+           for o, n in (("o", 1), ("v", 3), (F.col("v").desc(), 8))}
+    assert len(got) == 1
+
+
+@pytest.mark.parametrize("text", [
+    "2026-01-02 03:04:05.678", "2026-13-02 03:04:05.678", "2026-1-002 03:04:05.678", " 2026-01-02 03:04:05.67",
+    "2026-01-02T03:04:05.678", "2026-01-02 03:04:05.67+", "20260102T030405", "20260102", "2026-01-02",
+    "20260102 030405+02:00", "2026", "03:04:05", "", "abc", "2026-01-02 03:04:05.678+05:30", "2026-01-02 3:04:05.6789"])
+def test_event_times_of_the_common_form_equal_those_of_the_rare_one(spark, text):
+    parsed, padded = (spark.createDataFrame([(t,)], "t string").select(K.parse_event_time(F.col("t")).alias("x")).first().x
+                      for t in (text, text + " "))          # the blank behind keeps a text from the common form
+    assert parsed == padded
+    assert parsed == spark.sql(f"SELECT {K.parse_event_time_sql('t')} AS x FROM VALUES ('{text}') AS v(t)").first().x
+    assert (parsed is None) == (text in ("2026-13-02 03:04:05.678", "2026-1-002 03:04:05.678", "2026-01-02 03:04:05.67+",
+                                         "2026", "03:04:05", "", "abc"))
+
+
 def _brute(values, span=100, least=10):
     out = []
     for i, y in enumerate(values):
@@ -45,7 +80,7 @@ def test_anomaly_series_is_not_rounded(spark, step, digits):
     values = [round(5 + step * ((i * 37) % 11) + math.sin(i) * step, digits) for i in range(300)]
     rows = [("t", i, v) for i, v in enumerate(values)] + [("t", 1000, float("nan")), ("t", 1001, None)]
     df = spark.createDataFrame(rows, "k string, i long, v double")
-    assert (exact_scale(df, F.when(~F.isnan("v"), F.col("v")), 10) is None) == (digits > 4)
+    assert (exact_scale(df.agg(*scale_metrics(F.when(~F.isnan("v"), F.col("v")))).first().asDict(), 10) is None) == (digits > 4)
     got = {r.i: r.anomaly.forecast for r in detect(df, "v", "k", [F.col("i")], AnomalyParams(block_rows=128)).collect()}
     for i, want in enumerate(_brute(values)):
         if want is None:
