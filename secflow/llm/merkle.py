@@ -23,22 +23,23 @@ null doc_id comes first and is never tampered with; an empty table has no rows a
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from secflow.llm.common import arrow_map, pinned, table
+from secflow.llm.common import arrow_map, pinned, slices, table
 
 ARITY = 16
 BLOCK_LEVELS = 3
 BLOCK = ARITY ** BLOCK_LEVELS
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SLICE_BYTES = 4 << 20
 
 
 def levels(leaves: int) -> int:
@@ -137,27 +138,53 @@ def siblings(path: list[tuple[int, bytes]]) -> bytes:
 
 # --- rows and positions -----------------------------------------------------------------
 
-def _field(col: Column) -> Column:
-    text = col.cast("string")
-    return F.when(text.isNull(), "-").otherwise(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text))
+def _field(value: bytes | int | None) -> bytes:
+    if value is None:
+        return b"-"
+    if isinstance(value, int):
+        value = b"%d" % value
+    return b"%d:%b" % (len(value), value)
 
 
-def _leaf(columns: list[Column]) -> Column:
-    return F.unhex(F.sha2(F.concat(*[_field(c) for c in columns]), 256))
+LEAF = "key string, doc_id long, leaf binary, changed binary"
+_LEAF = pa.schema([("key", pa.string()), ("doc_id", pa.int64()), ("leaf", pa.binary()), ("changed", pa.binary())])
+
+
+def _hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The leaf of every row, and that of the tampered row where it differs.
+
+    Hashed piece by piece: a text is never copied into a longer one, so a very long text costs its own size once.
+    """
+    for b in slices(batches, "text", SLICE_BYTES):
+        columns = [b.column("doc_id"), *(b.column(c).cast(pa.binary()) for c in ("source", "lang")),
+                   b.column("n_chars"), b.column("text").cast(pa.binary())]
+        leaves, changed = [], []
+        for doc, source, lang, n_chars, text in zip(*(c.to_pylist() for c in columns), strict=True):
+            start = hashlib.sha256(b"".join(map(_field, (doc, source, lang, n_chars))))
+            lower = text
+            if text is not None and doc is not None and zlib.crc32(b"%d" % doc) % 5 == 0:
+                lower = text.lower()              # bytes: A-Z alone
+            digests = []
+            for t in (text, lower):
+                h = start.copy()
+                h.update(b"-" if t is None else b"%d:" % len(t))
+                h.update(t or b"")
+                digests.append(h.digest())
+                if lower == text:
+                    break
+            leaves.append(digests[0])
+            changed.append(digests[1] if len(digests) > 1 else None)
+        yield pa.RecordBatch.from_arrays([b.column("key"), b.column("doc_id"), pa.array(leaves, pa.binary()),
+                                          pa.array(changed, pa.binary())], schema=_LEAF)
 
 
 def manifest_rows(df: DataFrame) -> DataFrame:
     """(key, doc_id, leaf, changed): the ordering key of the source, and the leaf of the tampered row, if any."""
-    rows = df.select(*[F.col(f"`{c}`") for c in FIELDS])
-    hit = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
-    lower = F.translate("text", UPPER, UPPER.lower())
-    changed = hit & F.coalesce(F.col("text") != lower, F.lit(False))
-    as_is = [F.col(c) for c in FIELDS]
-    return rows.select(
-        # '' for null and 's' before a name keep the order of (null first, bytewise).
-        F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("s"), F.col("source").cast("string"))).alias("key"),
-        F.col("doc_id").cast("long").alias("doc_id"), _leaf(as_is).alias("leaf"),
-        F.when(changed, _leaf([*as_is[:-1], lower])).alias("changed"))
+    kinds = {"doc_id": "long", "source": "string", "lang": "string", "n_chars": "long", "text": "string"}
+    rows = df.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in FIELDS])
+    # '' for null and 's' before a name keep the order of (null first, bytewise).
+    key = F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("s"), F.col("source")))
+    return arrow_map(rows.withColumn("key", key), _hash_rows, LEAF)
 
 
 def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
