@@ -25,12 +25,14 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +46,10 @@ LONG_WORD = 64
 # White space in a row (or beside characters that some Unicode versions count as white space).
 _SPACE = "[\\s\u180e\u200b\ufeff]"
 _RUN = re.compile(_SPACE + _SPACE)
+# A word of letters with marks behind it: the pre-tokenizer splits it between the two.  Letters of Latin-1 and ASCII
+# marks only (no apostrophe, which may belong to a word, and none of a special token), whatever the Unicode version.
+_MARKED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-;=@\[-`{}~]+)\Z")
+_ARROW_RUN = ("[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\u180e\u200b\ufeff]{2}")
 _START = re.compile(f"(?<!{_SPACE})(?=[ \n])")
 
 
@@ -67,9 +73,12 @@ def word_of(key: str) -> str:
 
 
 class Encoder:
-    """Encodes word keys with the library, each distinct one once while ``limit`` words are kept."""
+    """Encodes word keys with the library, each distinct one once while the worker remembers it.
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    The last ``limit`` to twice ``limit`` distinct words are remembered, in two generations.
+    """
+
+    def __init__(self, path: str, limit: int = 500_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -79,24 +88,77 @@ class Encoder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.limit = limit
+        self.marks: dict[str, bytes] = {}
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
 
     def encode(self, keys: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each key."""
-        found = self.tok.encode_batch_fast([word_of(k) for k in keys], add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def text(self, text: str) -> bytes:
-        keys, known = words(text), self.known
-        try:
-            return b"".join(map(known.__getitem__, keys))
-        except KeyError:
-            if len(known) > self.limit:
-                known.clear()
-            new = [k for k in dict.fromkeys(keys) if k not in known]
-            got = dict(zip(new, self.encode(new), strict=True))
-            known.update(x for x in got.items() if len(x[0]) <= LONG_WORD)
-            return b"".join([known[k] if k in known else got[k] for k in keys])
+        return self._library([word_of(k) for k in keys])
+
+    def _learn(self, keys: list[str]) -> None:
+        """Remember the ids of new keys; letters that occur with several marks are encoded once."""
+        known, old, marks = self.known, self.old, self.marks
+        split = {k: m.groups() for k in keys if (m := _MARKED.match(k))}
+        stems = {s for s, _ in split.values()}
+        known.update([(s, old[s]) for s in stems if s in old and s not in known])
+        todo = list((stems | {k for k in keys if k not in split}).difference(known))
+        known.update(zip(todo, self.encode(todo), strict=True))
+        ends = list({m for _, m in split.values()}.difference(marks))
+        if len(marks) > self.limit:
+            marks.clear()
+            ends = list({m for _, m in split.values()})
+        marks.update(zip(ends, self._library(ends), strict=True))
+        known.update([(k, known[s] + marks[m]) for k, (s, m) in split.items()])
+
+    def _ids(self, keys: list[str]) -> list[bytes]:
+        """Ids of distinct keys, remembered or new."""
+        known, old = self.known, self.old
+        new = [k for k in keys if k not in known]
+        known.update([(k, old[k]) for k in new if k in old])
+        unseen = [k for k in new if k not in old]
+        self._learn(unseen)
+        out = [known[k] for k in keys]
+        for k in unseen:
+            if len(k) > LONG_WORD:
+                del known[k]
+        if len(known) > self.limit:
+            self.known, self.old = {}, known
+        return out
+
+    def texts(self, texts: pa.Array) -> list[memoryview]:
+        """Ids of each text (null: none).  Arrow splits the texts and numbers the distinct words."""
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, _ARROW_RUN)
+        plain = pc.and_(pc.invert(odd), pc.not_equal(texts, ""))
+        # As ``words`` does; the first word's mark comes before the text.
+        marked = pc.binary_join_element_wise("\t", pc.replace_substring(texts.filter(plain), "\n", " \n"), "")
+        split = pc.split_pattern(marked, " ")
+        strange = [words(t) for t in texts.filter(odd).to_pylist()]
+        n_words = np.zeros(len(texts), np.int64)
+        n_words[np.flatnonzero(plain)] = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+        n_words[np.flatnonzero(odd)] = [len(k) for k in strange]
+        flat = pa.concat_arrays([split.flatten(), pa.array([k for ks in strange for k in ks], pa.string())])
+        coded = flat.dictionary_encode()
+        distinct = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, distinct), np.int64, len(distinct)) // 4
+        pool = np.frombuffer(b"".join(distinct), "<u4")
+        at = coded.indices.to_numpy()
+        take = sizes[at]
+        ends = np.cumsum(take)
+        starts = (np.cumsum(sizes) - sizes)[at] - (ends - take)
+        ids = memoryview(pool[np.repeat(starts, take) + np.arange(len(take) and ends[-1])].tobytes())
+        # The plain texts come first, then the odd ones.
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(odd)])
+        cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n_words[order])])].tolist()
+        out = [ids[:0]] * len(texts)
+        for i, a, b in zip(order.tolist(), cuts, cuts[1:], strict=False):
+            out[i] = ids[4 * a:4 * b]
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}

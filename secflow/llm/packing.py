@@ -25,11 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from secflow.llm.bpe import blocks, default_tokenizer, encoder
-from secflow.llm.common import arrow_map, keyed_text, pinned, table
+from secflow.llm.bpe import default_tokenizer, encoder
+from secflow.llm.common import arrow_map, keyed_text, pinned, slices, table
 
 CAPACITY = 2048
 BLOCK_BYTES = 8 << 20
@@ -49,13 +50,17 @@ def _pieces(path: str, capacity: int, end_id: int, limit: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
-        enc = encoder(path)
-        for block, ids, texts in blocks(batches, limit):
+        enc, base = encoder(path), TaskContext.get().partitionId() << 24
+        for n_block, b in enumerate(slices(batches, "text", limit)):
             out, rank = {n: [] for n in PIECE_SCHEMA.names}, defaultdict(int)
-            for doc, text in zip(ids, texts, strict=True):
-                raw = memoryview((enc.text(text) if text else b"") + end)
-                for i, (start, n) in enumerate(cut(len(raw) // 4, capacity)):
-                    row = (block, rank[n], doc, i, start, n, zlib.crc32(raw[4 * start:4 * (start + n)]))
+            for doc, ids in zip(b.column("doc_id").to_pylist(), enc.texts(b.column("text")), strict=True):
+                n_ids = len(ids) // 4 + 1
+                pieces = cut(n_ids, capacity)
+                for i, (start, n) in enumerate(pieces):
+                    crc = zlib.crc32(ids[4 * start:4 * (start + n)])
+                    if i == len(pieces) - 1:
+                        crc = zlib.crc32(end, crc)
+                    row = (base + n_block, rank[n], doc, i, start, n, crc)
                     rank[n] += 1
                     for name, v in zip(PIECE_SCHEMA.names, row, strict=True):
                         out[name].append(v)

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -204,10 +205,14 @@ def test_words_keep_the_tokenizers_ids():
     enc = bpe.Encoder(bpe.default_tokenizer())
     alphabet = ["a", "Z", "é", "ß", "日", "7", "½", "'s", "'", "!", "_", " ", " ", "  ", "\n", "\t", "\r", "\x0b", "\x1c",
                 "\x85", " ", "᠎", "​", " ", "　", "﻿", "<|endoftext|>", "😀", "́"]
-    for _ in range(3000):
-        t = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 14)))
-        ids = np.frombuffer(enc.text(t), "<u4").tolist()
-        assert ids == TOK.encode(t, add_special_tokens=False).ids, repr(t)
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 14))) for _ in range(3000)]
+    texts += ["word, words. word's Über; Über... x-y", "a b", " a", "a ", "\na", "a\nb", "w" * 500 + " end."]
+    for block in [texts[i:i + 7] + [None] for i in range(0, len(texts), 7)] + [texts, [], [None], [""]]:
+        for t, ids in zip(block, enc.texts(pa.array(block, pa.string())), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == TOK.encode(t or "", add_special_tokens=False).ids, repr(t)
+    small = bpe.Encoder(bpe.default_tokenizer(), limit=5)
+    for t in texts:
+        assert np.frombuffer(small.texts(pa.array([t]))[0], "<u4").tolist() == TOK.encode(t, add_special_tokens=False).ids
 
 
 def test_packing(docs, empty):
