@@ -3,13 +3,14 @@
 import collections
 import math
 import random
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from secflow.llm import hnsw, mtree, url_rules
-from secflow.llm.html_extract import Page, joined, main_text
+from secflow.llm.html_extract import Page, joined, main_text, templates
 
 
 def _vectors():
@@ -214,6 +215,51 @@ def test_templates_inside_articles(spark):
     assert got == {k: _words(k % 100, 30) for k in html}
 
 
+def test_sentences_that_recur_in_articles_stay(spark):
+    again, link = "The same plain sentence ends many articles.", "<ul><li><a href='/x'>More of the series</a></li></ul>"
+    bare = [f"<p>{again}</p>", f"<h2>{again}</h2>", f"<ul><li>{again}</li></ul>", f"<p><b>{again}</b></p>",
+            f"<div><p>{again}</p></div>"]
+    html = {100 * b + k: f"<div class='page'><article><p>{_words(k, 30)}</p>{part}{link}</article></div>"
+            for b, part in enumerate(bare) for k in range(10)}
+    html |= {1000 + k: f"<article><p>{_words(k, 30)}</p><p class='x'>{again}</p></article>" for k in range(4)}
+    pages = spark.createDataFrame([(k, f"http://h{k // 100}.net/{k}", h) for k, h in html.items()],
+                                  "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_text(pages).collect()}
+    # The linked list goes, the sentences stay; a box on four pages is not on many.
+    assert got == {k: f"{_words(k % 100, 30)} {again}" for k in html}
+
+
+def brute_templates(pages, least):
+    """(host, hash) of templates from (host, body, {hash: (words, own)}) rows in plain Python."""
+    count = Counter((h, x) for h, _, subtrees in pages for x in subtrees)
+    contents = defaultdict(set)
+    for h, _, subtrees in pages:
+        for x, (n, _) in subtrees.items():
+            rarer = [(own, y) for y, (_, own) in subtrees.items() if own and count[h, y] < count[h, x]]
+            if rarer and 2 * max(rarer)[0] >= n:
+                contents[h, x].add(max(rarer)[1])
+    return {k for k, v in contents.items() if len(v) >= least}
+
+
+def test_template_counts_against_brute_force(spark):
+    rnd = random.Random(6)
+    pages = [(rnd.randrange(3), body, {rnd.randrange(25): (n := rnd.randint(1, 9), rnd.randint(0, n))
+                                       for _ in range(rnd.randint(1, 6))}) for body in range(150)]
+    rows = [(h, b, x, *n) for h, b, subtrees in pages for x, n in subtrees.items()]
+    seen = spark.createDataFrame(rows, "host long, body long, hash long, words int, own int")
+    for least in (1, 3, 5):
+        got = {(r.host, r.hash) for r in templates(seen, least).collect()}
+        assert got == brute_templates(pages, least)
+    assert brute_templates(pages, 3)
+
+
+def test_very_long_page(spark):
+    text = _words(1, 200_000)
+    html = f"<nav>m</nav><article><p>{text}</p>{'<p>x</p>' * 20_000}</article>"
+    pages = spark.createDataFrame([(1, "http://a.net/", html)], "page_id long, url string, html string")
+    assert main_text(pages).first().text == text + " x" * 20_000
+
+
 def test_templates_at_any_host_size(spark):
     copy, menu = _words("copy", 40), "<div>All news from this section</div>"
     # The same article under other dates, on small and large hosts; a section's menu on few of many pages.
