@@ -18,7 +18,9 @@ from secflow.functions import keys as K
 from secflow.operators import anomaly, cdc, contracts, enrich, findings, governance, rollups
 from secflow.operators import cep
 from secflow.plans.oracle import AS_OF
+from secflow.session import materialize, scratch_folder
 from secflow.sources import fixtures as fx
+from secflow.streaming import current
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -83,6 +85,74 @@ def q_detection_rule_current(spark, d):
     return enrich.detection_rule(current, n, c, as_of=AS_OF)
 
 
+# --- current state, micro-batch by micro-batch ---------------------------------------------
+
+MICRO_BATCHES = 2
+STATE_BUCKETS = 8      # for tables of this size; a deployment takes as many as keep a bucket small
+
+
+def _changes(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """A snapshot as changes that are older than any other."""
+    return rows.select(F.struct(*keys).alias("key"), F.struct(*rows.columns).alias("after"), F.lit("r").alias("op"),
+                       F.lit(-1).cast("long").alias("ts_ms"), F.lit(-1).cast("long").alias("seq"))
+
+
+def asset_changes(spark, d) -> DataFrame:
+    """Snapshot and change events of the assets with whole images."""
+    keys = ["tenant_id", "asset_id"]
+    rows = fx.assets(spark, d).select(*keys, "device_type", "risk_level")
+    come = fx.assets_cdc(spark, d).select("key", F.col("after.risk_level").alias("risk"), "op", "ts_ms",
+                                          F.col("seq").cast("long").alias("seq"))
+    known = rows.select(F.struct(*keys).alias("key"), "device_type")
+    image = F.struct(*[F.col("key." + k).alias(k) for k in keys], "device_type", F.col("risk").alias("risk_level"))
+    full = come.join(known, "key").select("key", F.when(F.col("op") != "d", image).alias("after"), "op", "ts_ms", "seq")
+    return _changes(rows, keys).unionByName(full)
+
+
+def _arrivals(changes: DataFrame, batch: int) -> DataFrame:
+    """The changes that arrive in a micro-batch: any mixture of old and new ones, deletes and snapshot rows."""
+    return changes.filter(F.pmod(F.xxhash64("key", "seq"), F.lit(MICRO_BATCHES)) == batch)
+
+
+def _rule_sources(spark, d) -> tuple[dict, dict[str, DataFrame]]:
+    n = fx.network_interfaces(spark, d).select("tenant_id", "interface_id", "asset_id", "ip_address", "is_active")
+    c = fx.asset_cves(spark, d).select("tenant_id", "cve_record_id", "asset_id", "cve_id", "cvss_score", "severity")
+    changes = {"assets": asset_changes(spark, d), "interfaces": _changes(n, ["tenant_id", "interface_id"]),
+               "cves": _changes(c, ["tenant_id", "cve_record_id"])}
+    keys = {k: df.schema["key"].dataType.names for k, df in changes.items()}
+    return {k: (df.schema["after"].dataType, keys[k]) for k, df in changes.items()}, changes
+
+
+@query("detection_rule_incremental")
+def q_rule_incremental(spark, d):
+    entities, changes = _rule_sources(spark, d)
+    rule = current.current_detection_rule(spark, scratch_folder(spark, "rule"), entities, AS_OF, buckets=STATE_BUCKETS)
+    for b in range(MICRO_BATCHES):
+        rule.apply({n: _arrivals(df, b) for n, df in changes.items()}, b)
+    return rule.rows()
+
+
+@query("agg_high_risk_incremental")
+def q_high_risk_incremental(spark, d):
+    entities, changes = _rule_sources(spark, d)
+    folder = scratch_folder(spark, "high-risk")
+    latest = current.LatestRows(spark, folder + "/assets", *entities["assets"], buckets=STATE_BUCKETS)
+    risk = current.high_risk_assets(spark, folder + "/risk", buckets=STATE_BUCKETS)
+    for b in range(MICRO_BATCHES):
+        latest.apply(_arrivals(changes["assets"], b), b)
+        risk.apply(latest.delta(b), b)
+    return risk.rows().filter("high_risk_assets > 0")
+
+
+@query("bi_rollup_incremental")
+def q_rollup_incremental(spark, d):
+    found = materialize(findings_table(spark, d), "rollup-findings")
+    roll = current.IncrementalRollup(spark, scratch_folder(spark, "rollup"))
+    for b in range(MICRO_BATCHES):
+        roll.apply(found.filter(F.pmod(F.xxhash64("key"), F.lit(MICRO_BATCHES)) == b), b)
+    return _ntz(roll.rows(), "window_start", "window_end")
+
+
 @query("enrichment")
 def q_enrichment(spark, d):
     return enrich.enrichment(*_entities(spark, d), as_of=AS_OF)

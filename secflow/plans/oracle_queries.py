@@ -38,6 +38,14 @@ FROM (SELECT a.tenant_id, a.asset_id, a.device_type,
 JOIN network_interfaces n ON a.tenant_id = n.tenant_id AND a.asset_id = n.asset_id
 JOIN asset_cves c ON a.tenant_id = c.tenant_id AND a.asset_id = c.asset_id
 WHERE a.risk_level = 'HIGH' AND n.is_active = TRUE AND c.cvss_score >= 9.0 AND c.severity = 'CRITICAL'""")
+    # The incremental forms end where the batch forms do.
+    q["detection_rule_incremental"] = q["detection_rule_current"]
+    q["agg_high_risk_incremental"] = with_ctes(["assets", "cdc_latest"], """
+SELECT a.tenant_id, COUNT(*) AS high_risk_assets
+FROM assets a LEFT JOIN cdc_latest l ON l.key_tenant_id = a.tenant_id AND l.key_asset_id = a.asset_id
+WHERE (l.op IS NULL OR l.op <> 'd')
+  AND CASE WHEN l.key_asset_id IS NOT NULL THEN l.risk_level ELSE a.risk_level END = 'HIGH'
+GROUP BY a.tenant_id""")
     q["enrichment"] = with_ctes(ENT, f"""
 SELECT a.tenant_id, a.asset_id, a.device_type, n.ip_address, c.cve_id, c.cvss_score, c.severity,
        CAST(CASE WHEN c.cvss_score >= 9.0 THEN 0.94 WHEN c.cvss_score >= 7.0 THEN 0.82 ELSE 0.31 END AS DOUBLE)
@@ -189,6 +197,7 @@ ORDER BY findings DESC, tenant_id, asset_id LIMIT 10""")
 
     # BI
     q["bi_rollup"] = with_ctes(["bi_rows"], "SELECT * FROM bi_rows")
+    q["bi_rollup_incremental"] = q["bi_rollup"]
     q["bi_documents"] = with_ctes(["bi_rows"], """
 SELECT sha256(CONCAT_WS('|', strftime(window_start, '%Y-%m-%dT%H:%M:%SZ'), COALESCE(tenant_id, 'None'),
                         COALESCE(severity, 'None'), COALESCE(predicted_risk, 'None'))) AS _id,

@@ -138,6 +138,14 @@ def materialize(df, name: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder, deleted with the materialized tables."""
+    import uuid
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    _MATERIALIZED.append((spark, path))
+    return path
+
+
 def materialized_count() -> int:
     """How many tables exist now; a mark for ``release_materialized(since=...)``."""
     return len(_MATERIALIZED)

@@ -93,9 +93,9 @@ class KeyedTable:
     def stage(self, batch_id: int, rows: DataFrame, buckets: list[str]) -> str:
         """Write the new rows of the buckets and their list under a staging name."""
         staging = os.path.join(self.path, f"_staging-{batch_id}-{uuid.uuid4().hex}")
-        names = [f.name for f in self.schema.fields]
         out = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields]).withColumn(BUCKET, self.bucket)
-        out.repartition(max(1, len(buckets)), BUCKET, *self._spread(names)).write.partitionBy(BUCKET).parquet(staging)
+        # Adaptive execution joins small buckets in a task and splits a large one.
+        out.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(staging)
         fs, root = self._fs(staging)
         full = {s.getPath().getName().split("=", 1)[1] for s in fs.listStatus(root) if s.isDirectory()}
         if full - set(buckets):
@@ -105,10 +105,6 @@ class KeyedTable:
         stream.close()
         return staging
 
-    def _spread(self, names: list[str]) -> list[Column]:
-        """A large bucket is written by several tasks."""
-        return [F.pmod(F.xxhash64(*names), F.lit(8))]
-
     def publish(self, batch_id: int, staging: str) -> None:
         fs, src = self._fs(staging)
         if self.published(batch_id):

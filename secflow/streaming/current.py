@@ -20,6 +20,7 @@ from secflow import schemas as S
 from secflow.functions import keys as K
 from secflow.functions.exact import PARTS, mean, not_nan, split
 from secflow.operators import enrich
+from secflow.session import materialize, materialized_count, release_materialized
 from secflow.sinks.keyed import KeyedTable, hash_bucket
 
 ASSET = ["tenant_id", "asset_id"]
@@ -119,12 +120,14 @@ class CurrentRule:
             apply_delta(self.by_asset[name], delta, batch_id)
             keys = delta.select(*ASSET)
             touched = keys if touched is None else touched.unionByName(keys)
-        touched = touched.distinct()
+        mark = materialized_count()
+        touched = materialize(touched.distinct(), "touched")      # read four times below
         buckets = self.result.buckets_of(touched)
         now = [t.read(buckets, batch_id + 1).join(touched, ASSET, "left_semi") for t in self.by_asset.values()]
         names = [f.name for f in self.result.schema.fields]
         rest = self.result.read(buckets, batch_id).join(touched, ASSET, "left_anti")
         self.result.rewrite(batch_id, rest.unionByName(self.rule(*now).select(*names)), buckets)
+        release_materialized(self.spark, since=mark)
 
     def rows(self) -> DataFrame:
         return self.result.read()

@@ -8,7 +8,6 @@ Checkpoints go under the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import io
 import json
 import os
 
@@ -23,6 +22,7 @@ from secflow import schemas as S
 from secflow.operators import enrich, findings, rollups
 from secflow.operators.anomaly import AnomalyParams
 from secflow.session import scratch_path, ship_package
+from secflow.streaming.scorer import score_points
 
 
 # --- sources ----------------------------------------------------------------------------
@@ -134,45 +134,8 @@ ANOMALY_STATE = T.StructType([T.StructField("history", T.StringType()),
 _PENDING_COLS = ["tenant_id", "cve_record_id", "interface_id", "discovered_at", "cvss_score"]
 
 
-def score_points(history: list[int], ys: list[int | None], p: AnomalyParams):
-    """Score points in order given the previous series values (integers, value * scale).
-
-    Same model and integer arithmetic as the batch operator.  Returns
-    (n, forecast, is_anomaly) per point and the updated history tail.
-    """
-    out = []
-    hist = list(history)
-    for y in ys:
-        if y is None:
-            out.append((None, None, None))
-            continue
-        pairs_x = np.array(hist[-p.max_training_size - 1:-1], dtype=np.int64)
-        pairs_y = np.array(hist[-p.max_training_size:], dtype=np.int64) if hist else np.array([], dtype=np.int64)
-        n = min(len(hist) - 1, p.max_training_size) if hist else 0
-        n = max(n, 0)
-        res = (n, None, None)
-        if n >= p.min_training_size:
-            x, yy = pairs_x[-n:], pairs_y[-n:]
-            sx, sy = int(x.sum()), int(yy.sum())
-            sxx = n * int((x * x).sum()) - sx * sx
-            sxy = n * int((x * yy).sum()) - sx * sy
-            syy = n * int((yy * yy).sum()) - sy * sy
-            if sxx != 0:
-                slope = float(sxy) / float(sxx)
-                intercept = (float(sy) - slope * float(sx)) / float(n)
-                fc_t = intercept + slope * float(hist[-1])
-                rss = max(float(syy) - slope * float(sxy), 0.0)
-                rmse = np.sqrt(rss) / float(n) / float(p.scale)
-                band = max(p.z * rmse, p.floor)
-                res = (n, fc_t / float(p.scale), abs(float(y) - fc_t) / float(p.scale) > band)
-        out.append(res)
-        hist.append(y)
-        hist = hist[-(p.max_training_size + 1):]
-    return out, hist
-
-
 def anomaly_stream(joined: DataFrame, params: AnomalyParams = AnomalyParams(),
-                   watermark: str | None = None) -> DataFrame:
+                   watermark: str | None = None, idle_ms: int | None = None) -> DataFrame:
     """Online scoring of the joined series with per-tenant state.
 
     State per tenant: the last ``max_training_size + 1`` series values, plus the
@@ -181,7 +144,8 @@ def anomaly_stream(joined: DataFrame, params: AnomalyParams = AnomalyParams(),
     arrive in time order).  With ``watermark`` (e.g. ``"10 minutes"``) rows wait
     until the event-time watermark passes them and are then scored in series
     order, so arrival order within the allowed lateness does not matter; an
-    event-time timeout scores waiting rows when no new data arrives.
+    event-time timeout scores waiting rows when no new data arrives.  A tenant without rows for ``idle_ms`` of event
+    time after its last one is forgotten (with ``watermark``).  Values are not rounded.
     """
     use_wm = watermark is not None
 
@@ -192,10 +156,12 @@ def anomaly_stream(joined: DataFrame, params: AnomalyParams = AnomalyParams(),
         return pdf.sort_values(["_null", "_ms", "cve_record_id", "interface_id"], kind="mergesort")
 
     def fn(key, pdfs, state):
+        if state.hasTimedOut and not state.get[1]:
+            state.remove()
+            return
         if state.exists:
             hist = json.loads(state.get[0])
-            pending = pd.read_json(io.StringIO(state.get[1]), orient="records", dtype=False,
-                                   convert_dates=False) if state.get[1] else None
+            pending = pd.DataFrame(json.loads(state.get[1]), columns=_PENDING_COLS) if state.get[1] else None
         else:
             hist, pending = [], None
         frames = [p for p in pdfs if len(p)]
@@ -211,15 +177,20 @@ def anomaly_stream(joined: DataFrame, params: AnomalyParams = AnomalyParams(),
         else:
             ready, wait = pdf, pdf.iloc[0:0]
         ready = order(ready)
-        ys = [None if pd.isna(v) else int(round(v * params.scale)) for v in ready["cvss_score"]]
+        ys = [None if pd.isna(v) else float(v) for v in ready["cvss_score"]]
         scored, hist = score_points(hist, ys, params)
         if len(wait):
             w = wait.copy()
             w["discovered_at"] = pd.to_datetime(w["discovered_at"]).astype("int64") // 1000
-            state.update((json.dumps(hist), w.to_json(orient="records")))
+            # Python's JSON keeps every bit of a double; pandas' own form would round it.
+            rows = [[None if pd.isna(v) else v for v in r] for r in w.astype(object).itertuples(index=False, name=None)]
+            state.update((json.dumps(hist), json.dumps(rows)))
             state.setTimeoutTimestamp(int(w["discovered_at"].min() // 1000) + 1)
         else:
             state.update((json.dumps(hist), ""))
+            if use_wm and idle_ms is not None:
+                newest = int(pd.to_datetime(ready["discovered_at"]).astype("int64").max() // 1_000_000) if len(ready) else 0
+                state.setTimeoutTimestamp(max(newest + idle_ms, wm + 1))
         yield pd.DataFrame({
             "tenant_id": ready["tenant_id"].values, "cve_record_id": ready["cve_record_id"].values,
             "interface_id": ready["interface_id"].values, "discovered_at": ready["discovered_at"].values,
@@ -328,11 +299,17 @@ BURST_OUT = T.StructType([
 BURST_STATE = T.StructType([T.StructField("recent_us", T.StringType())])
 
 
-def burst_stream(events: DataFrame, window_ms: int, min_events: int) -> DataFrame:
-    """Streaming burst alerts: state per asset = event times inside the last window."""
+def burst_stream(events: DataFrame, window_ms: int, min_events: int, watermark: str | None = None) -> DataFrame:
+    """Streaming burst alerts: state per asset = event times inside the last window.
+
+    With ``watermark`` an asset's state goes when event time has passed its window; without it, state stays.
+    """
     w_us = window_ms * 1000
 
     def fn(key, pdfs, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
         recent = json.loads(state.get[0]) if state.exists else []
         pdf = pd.concat(list(pdfs), ignore_index=True)
         pdf["_t"] = pd.to_datetime(pdf["activity_time"]).astype("int64") // 1000
@@ -343,13 +320,17 @@ def burst_stream(events: DataFrame, window_ms: int, min_events: int) -> DataFram
         pdf["events_in_window"] = hi - lo
         newest = int(times[-1]) if len(times) else 0
         state.update((json.dumps([int(t) for t in times if t >= newest - w_us]),))
+        if watermark is not None:
+            state.setTimeoutTimestamp(max((newest + w_us) // 1000, state.getCurrentWatermarkMs()) + 1)
         hit = pdf[pdf["events_in_window"] >= min_events]
         yield hit[["tenant_id", "asset_id", "activity_id", "activity_time", "events_in_window"]]
 
     ship_package(events.sparkSession)
-    return events.select("tenant_id", "asset_id", "activity_id", F.col("activity_time").cast("timestamp")) \
-        .groupBy("tenant_id", "asset_id").applyInPandasWithState(
-            fn, BURST_OUT, BURST_STATE, "append", GroupStateTimeout.NoTimeout)
+    src = events.select("tenant_id", "asset_id", "activity_id", F.col("activity_time").cast("timestamp"))
+    timeout = GroupStateTimeout.NoTimeout
+    if watermark is not None:
+        src, timeout = src.withWatermark("activity_time", watermark), GroupStateTimeout.EventTimeTimeout
+    return src.groupBy("tenant_id", "asset_id").applyInPandasWithState(fn, BURST_OUT, BURST_STATE, "append", timeout)
 
 
 # --- runners -------------------------------------------------------------------------------

@@ -1,6 +1,7 @@
 """Streaming forms replayed with availableNow on file sources, compared with the batch operators."""
 
 import os
+import random
 import tempfile
 import uuid
 
@@ -67,6 +68,28 @@ def test_burst_stream_equals_batch(spark):
     assert got == want and len(want) > 0
 
 
+def test_stream_of_finer_values_equals_batch_and_forgets_idle_tenants(spark):
+    from datetime import datetime, timedelta
+    from secflow.operators.anomaly import AnomalyParams
+    t0 = datetime(2026, 1, 1)
+    rnd = random.Random(3)
+    rows = [("t", i, "i", t0 + timedelta(minutes=i), rnd.randrange(3000, 9999) / 1000) for i in range(400)]
+    rows += [("gone", i, "i", t0 + timedelta(minutes=i), rnd.randrange(3000, 9999) / 1000) for i in range(40)]
+    df = spark.createDataFrame(rows, "tenant_id string, cve_record_id int, interface_id string, "
+                                     "discovered_at timestamp, cvss_score double")
+    d, schema = _slices(df, ["discovered_at", "cve_record_id"], 4, spark)
+    name, params = "finer_" + uuid.uuid4().hex, AnomalyParams(scale=1000)
+    stream = P.anomaly_stream(P.file_changes(spark, d, schema, 1), params, watermark="1 minute", idle_ms=3_600_000)
+    P.run_available(stream, _uniq("finer"), query_name=name)
+    batch = detect(spark.read.parquet(d), "cvss_score", "tenant_id", findings.series_order(), params)
+    want = {(r.tenant_id, r.cve_record_id): (r.anomaly.n, r.anomaly.forecast, r.anomaly.is_anomaly)
+            for r in batch.collect()}
+    got = {(r.tenant_id, r.cve_record_id): (r.n, r.forecast, r.is_anomaly) for r in _memory(spark, name).collect()}
+    assert len(got) > 300 and sum(1 for t, _ in got if t == "gone") == 40
+    assert {k: (want[k], v) for k, v in got.items() if want[k] != v} == {}
+    assert any(f is not None and round(f, 1) != f for _, f, _ in got.values())
+
+
 def test_latest_state_stream_through_upsert_log(spark):
     ch = fx.assets_cdc(spark, SF)
     d, schema = _slices(ch, "seq", 3, spark)
