@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Iterator
 
@@ -61,6 +62,16 @@ def drop(df: DataFrame) -> None:
         _delete(t)
 
 
+@atexit.register
+def _delete_left() -> None:
+    """What nobody released goes with the process, if its session still runs."""
+    for t in list(_TABLES):
+        try:
+            _delete(t)
+        except Exception:  # noqa: BLE001 - the session has stopped
+            break
+
+
 def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` with the package present on the workers."""
     ship_package(df.sparkSession)
