@@ -7,7 +7,8 @@ For a query q and anything x under an entry with centre c and radius r,
     q.x = q.c + q.(x - c) <= q.c + |q| r,
 
 so pages are visited by falling upper bound and the search stops when the bound falls below the
-k-th score.  Before q.c is computed the triangle inequality bounds it through the parent p:
+k-th score.  The queries of a block walk the tree together, each with its own bound and k-th score.
+Before q.c is computed the triangle inequality bounds it through the parent p:
 q.c <= q.p + |q| d(c, p), with d(c, p) stored; entries that fail this test cost no product.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components take no part,
@@ -31,6 +32,7 @@ from secflow.llm import vectors
 from secflow.llm.common import arrow_map, table
 
 PAGE = 64
+QUERY_BLOCK = 256                                # queries that walk a tree together
 SHARD_ROWS = 16_384
 OUT = "query_row long, query_id long, row long, vec_id long, score long"
 OUT_SCHEMA = pa.schema([("query_row", pa.int64()), ("query_id", pa.int64()), ("row", pa.int64()),
@@ -42,6 +44,7 @@ class MTree:
 
     def __init__(self, x: np.ndarray, page: int = PAGE):
         self.x, self.page = x, page
+        self.products = 0                         # inner products of queries so far
         self.centre: list[np.ndarray] = []
         self.children: list[np.ndarray] = []      # node ids, or row numbers in a leaf
         self.leaf: list[bool] = []
@@ -74,11 +77,11 @@ class MTree:
     def _split(self, x: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
         """Group rows round far-apart pivots, at most one page of groups."""
         groups = min(self.page, -(-len(rows) // self.page))
-        far = np.full(len(rows), np.inf)
+        far, square = np.full(len(rows), np.inf), (x * x).sum(1)
         pivots, at = [], 0
         for _ in range(groups):
             pivots.append(x[at])
-            far = np.minimum(far, ((x - x[at]) ** 2).sum(1))
+            far = np.minimum(far, square - 2 * (x @ x[at]) + square[at])    # whole numbers: exact
             at = int(far.argmax())
             if far[at] == 0:
                 break
@@ -92,40 +95,77 @@ class MTree:
             return np.array_split(order, min(groups, 8))
         return parts
 
-    def search(self, q: np.ndarray, k: int, self_row: int, ids: np.ndarray) -> list[tuple[int, int, int]]:
-        """The k best (score, -id, row number), ``self_row`` (or -1) left out."""
-        norm, slack = float(np.sqrt(q @ q)), 1e-6
-        best: list[tuple[int, int, int]] = []       # a min-heap: the worst kept first
-        root = self.root
-        queue = [(-(float(q @ self.centre[root]) + norm * self.root_radius), root,
-                  float(q @ self.centre[root]))]
+    def search_block(self, qs: np.ndarray, k: int, self_rows: np.ndarray,
+                     ids: np.ndarray) -> list[list[tuple[int, int, int]]]:
+        """For each row of ``qs`` the k best (score, -id, row number), its ``self_rows`` entry (or -1) left out.
+
+        The queries of a block share one queue: a page is visited once, for those queries whose bound can still
+        reach their own k-th score, and costs one matrix product.
+        """
+        norm, slack = np.sqrt((qs * qs).sum(1)), 1e-6
+        best: list[list[tuple[int, int, int]]] = [[] for _ in qs]    # min-heaps: the worst kept first
+        least = np.full(len(qs), -np.inf)                           # each query's k-th score so far
+        root_dot = qs @ self.centre[self.root]
+        bound = root_dot + norm * self.root_radius
+        queue = [(-float(bound.max()), self.root, np.arange(len(qs)), bound, root_dot)]
         while queue:
-            bound, node, centre_dot = heapq.heappop(queue)
-            least = best[0][0] if len(best) == k else -np.inf
-            if -bound + slack < least:
+            top, node, who, bound, centre_dot = heapq.heappop(queue)
+            if -top + slack < least.min():
                 break
-            # q.c <= q.p + |q| d(c, p): skip entries whose stored distances already rule them out.
-            reach = centre_dot + norm * (self.to_parent[node] + self.radius[node]) + slack
-            open_ = np.flatnonzero(reach >= least)
+            alive = bound + slack >= least[who]
+            who, centre_dot = who[alive], centre_dot[alive]
+            if not len(who):
+                continue
+            # q.c <= q.p + |q| d(c, p): entries that no query can reach by their stored distances cost no product.
+            far = self.to_parent[node] + self.radius[node]
+            reach = centre_dot[:, None] + norm[who, None] * far + slack >= least[who, None]
+            open_ = np.flatnonzero(reach.any(0))
             if not len(open_):
                 continue
-            dots = self.points[node][open_] @ q
+            self.products += len(who) * len(open_)
+            dots = qs[who] @ self.points[node][open_].T
             if self.leaf[node]:
-                ok = dots >= least
-                for row, s in zip(self.children[node][open_[ok]].tolist(), dots[ok].tolist(), strict=True):
-                    if row != self_row:
-                        item = (int(round(s)), -int(ids[row]), row)
-                        if len(best) < k:
-                            heapq.heappush(best, item)
-                        elif item > best[0]:
-                            heapq.heapreplace(best, item)
-            else:
-                ups = dots + norm * self.radius[node][open_]
-                for child, up, dot in zip(self.children[node][open_].tolist(), ups.tolist(),
-                                          dots.tolist(), strict=True):
-                    if up + slack >= least:
-                        heapq.heappush(queue, (-up, child, dot))
-        return sorted(best, reverse=True)
+                self._keep(best, least, k, who, dots, self.children[node][open_], self_rows, ids)
+                continue
+            ups = dots + norm[who, None] * self.radius[node][open_]
+            hopeful = ups + slack >= least[who, None]
+            for j in np.flatnonzero(hopeful.any(0)).tolist():
+                m = hopeful[:, j]
+                heapq.heappush(queue, (-float(ups[m, j].max()), int(self.children[node][open_[j]]),
+                                       who[m], ups[m, j], dots[m, j]))
+        return [sorted(b, reverse=True) for b in best]
+
+    @staticmethod
+    def _keep(best, least, k, who, dots, rows, self_rows, ids) -> None:
+        """Offer a leaf's rows to the queries ``who``; rows below the leaf's own (k + 1)-th score cannot be among
+        the k best (one of the k + 1 may be the query's own row)."""
+        floor = least[who]
+        if dots.shape[1] > k + 1:
+            floor = np.maximum(floor, np.partition(dots, -k - 1, axis=1)[:, -k - 1])
+        for i, j in zip(*(a.tolist() for a in np.nonzero(dots >= floor[:, None])), strict=True):
+            q, row = int(who[i]), int(rows[j])
+            if row == self_rows[q]:
+                continue
+            item, heap = (int(round(float(dots[i, j]))), -int(ids[row]), row), best[q]
+            if len(heap) < k:
+                heapq.heappush(heap, item)
+            elif item > heap[0]:
+                heapq.heapreplace(heap, item)
+            if len(heap) == k:
+                least[q] = heap[0][0]
+
+    def search(self, q: np.ndarray, k: int, self_row: int, ids: np.ndarray) -> list[tuple[int, int, int]]:
+        return self.search_block(q[None, :], k, np.array([self_row]), ids)[0]
+
+
+def _hits(queries: pa.Table, dim: int, k: int, tree: MTree, ids, names, rows, at) -> pa.RecordBatch:
+    qrows, qids = queries.column("row").to_pylist(), queries.column("vec_id").to_pylist()
+    own = np.array([at.get(r, -1) for r in qrows])
+    found = tree.search_block(vectors.matrix(queries.column("vec").chunk(0), dim), k, own, ids)
+    out = [(r, q, int(rows[hit]), names[hit], score)
+           for r, q, best in zip(qrows, qids, found, strict=True) for score, _, hit in best]
+    return pa.RecordBatch.from_pydict(
+        {n: [o[i] for o in out] for i, n in enumerate(OUT_SCHEMA.names)}, schema=OUT_SCHEMA)
 
 
 def _searcher(k: int, page: int):
@@ -149,16 +189,12 @@ def _searcher(k: int, page: int):
                     trees[dim] = (MTree(x, page), ids.astype(np.int64),
                                   own.column("vec_id").to_pylist(), rows,
                                   dict(zip(rows.tolist(), range(len(rows)), strict=True)))
-            out = {n: [] for n in OUT_SCHEMA.names}
-            for dim, row, qid, vec in zip(*(b.column(c).to_pylist() for c in ("dim", "row", "vec_id", "vec")),
-                                          strict=True):
-                if dim not in trees:
-                    continue
-                tree, ids, names, rows, at = trees[dim]
-                for score, _, hit in tree.search(np.array(vec), k, at.get(row, -1), ids):
-                    for n, v in zip(OUT_SCHEMA.names, (row, qid, int(rows[hit]), names[hit], score), strict=True):
-                        out[n].append(v)
-            yield pa.RecordBatch.from_pydict(out, schema=OUT_SCHEMA)
+            dims = b.column("dim").to_numpy(zero_copy_only=False)
+            for dim in np.unique(dims).tolist():
+                if dim in trees:
+                    own = pa.Table.from_batches([b]).filter(pa.array(dims == dim)).combine_chunks()
+                    for lo in range(0, own.num_rows, QUERY_BLOCK):
+                        yield _hits(own.slice(lo, QUERY_BLOCK).combine_chunks(), dim, k, *trees[dim])
     return run
 
 

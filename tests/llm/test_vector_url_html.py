@@ -61,6 +61,17 @@ def test_mtree_skips_by_stored_distances():
     for r in range(0, 600, 37):
         want = sorted(((int(x[r] @ x[j]), -j) for j in range(600) if j != r), reverse=True)[:5]
         assert [(s, i) for s, i, _ in tree.search(x[r], 5, r, ids)] == want
+    rows = np.arange(0, 600, 7)                       # a block of queries, each with its own bound
+    tree.products = 0
+    for r, got in zip(rows, tree.search_block(x[rows], 5, rows, ids), strict=True):
+        assert got == tree.search(x[r], 5, int(r), ids)
+        assert got == sorted(((int(x[r] @ x[j]), -j, j) for j in range(600) if j != r), reverse=True)[:5]
+    single = 0
+    for r in rows:
+        tree.products = 0
+        tree.search(x[r], 5, int(r), ids)
+        single += tree.products
+    assert single < 0.7 * len(rows) * len(x)          # clusters on the far side cost nothing
     for node in range(len(tree.centre)):              # stored bounds hold
         d = np.sqrt(((tree.points[node] - tree.centre[node]) ** 2).sum(1))
         assert np.allclose(d, tree.to_parent[node])
