@@ -133,6 +133,17 @@ def exact_scale(found: dict, least: int = 1) -> int | None:
     return scale if not found["finer"] and (found["top"] or 0.0) * scale <= _INT_LIMIT else None
 
 
+def observed(seen: Observation, written: DataFrame) -> dict:
+    """The metrics observed while ``written`` was made; of no rows where the optimizer dropped an empty input with its
+    observation."""
+    try:
+        return seen.get
+    except Exception:  # noqa: BLE001 - raised again unless there was nothing to observe
+        if not written.isEmpty():
+            raise
+        return {"scale": None, "top": None, "finer": 0}
+
+
 def detect(df: DataFrame, value: str, partition: str, order: list[Column],
            params: AnomalyParams = AnomalyParams(), num_partitions: int | None = None,
            out: str = "anomaly") -> DataFrame:
@@ -151,7 +162,7 @@ def detect(df: DataFrame, value: str, partition: str, order: list[Column],
     # Observed while the positions are written: no pass of its own.
     seen = Observation()
     pos = global_positions(df.observe(seen, *scale_metrics(clean)), full_order, num_partitions)
-    scale = exact_scale(seen.get, params.scale)
+    scale = exact_scale(observed(seen, pos), params.scale)
 
     # Each row belongs to its block; the last span+1 rows of a block are also context for the next.
     own = F.floor(F.col("_g") / F.lit(block)).cast("bigint")

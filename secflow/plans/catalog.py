@@ -9,6 +9,7 @@ position table to the shared folder and read it back while the plan is built.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +17,12 @@ from pyspark.sql import functions as F
 from secflow import schemas as S
 from secflow.functions import keys as K
 from secflow.operators import anomaly, cdc, contracts, enrich, findings, governance, rollups
-from secflow.operators import cep
+from secflow.operators import autoregressive, cep
 from secflow.plans.oracle import AS_OF
 from secflow.session import materialize, scratch_folder
+from secflow.sinks.dated import DatedTable
 from secflow.sources import fixtures as fx
-from secflow.streaming import current
+from secflow.streaming import current, late
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -88,6 +90,8 @@ def q_detection_rule_current(spark, d):
 # --- current state, micro-batch by micro-batch ---------------------------------------------
 
 MICRO_BATCHES = 2
+INCIDENT_WITHIN_MS = 3 * 86_400_000
+LATE_BATCHES, LATE_DELAY_MS = 3, 86_400_000
 STATE_BUCKETS = 8      # for tables of this size; a deployment takes as many as keep a bucket small
 
 
@@ -153,6 +157,27 @@ def q_rollup_incremental(spark, d):
     return _ntz(roll.rows(), "window_start", "window_end")
 
 
+@query("activity_totals_late")
+def q_activity_late(spark, d):
+    """Suspicious and other activity per tenant and day on a stream of three micro-batches, a fifth of the rows one batch late."""
+    rows = fx.asset_activity(spark, d).select("tenant_id", "activity_id", F.col("activity_time").cast("timestamp")
+                                              .alias("activity_time"), "is_suspicious")
+    day = F.to_date("activity_time")
+    due = F.when(day < "2024-01-11", 0).when(day < "2024-01-21", 1).otherwise(2)
+    batch = F.least(due + F.when(F.col("activity_id") % 5 == 0, 1).otherwise(0), F.lit(LATE_BATCHES - 1))
+    totals = late.LateAwareTotals(spark, scratch_folder(spark, "late"), rows.schema, "activity_time", "1 day", LATE_DELAY_MS,
+                                  ["tenant_id"], {"events": F.lit(True), "suspicious": F.col("is_suspicious")})
+    for b, part in enumerate(late.in_batches(rows, batch, LATE_BATCHES)):
+        totals.apply(part, b)
+    keys = ["tenant_id", "window_start", "events", "suspicious"]
+    lost = totals.late_rows().groupBy("tenant_id", F.window("activity_time", "1 day").alias("w")).agg(
+        F.count(F.lit(1)).alias("events"), F.count(F.when(F.col("is_suspicious"), 1)).alias("suspicious"))
+    lost = lost.withColumn("window_start", F.col("w.start"))
+    out = [df.select(*keys, F.lit(place).alias("place")) for place, df in
+           (("closed", totals.closed()), ("open", totals.open()), ("late", lost))]
+    return _ntz(out[0].unionByName(out[1]).unionByName(out[2]), "window_start")
+
+
 @query("enrichment")
 def q_enrichment(spark, d):
     return enrich.enrichment(*_entities(spark, d), as_of=AS_OF)
@@ -181,6 +206,16 @@ def q_anomaly_scores_cve(spark, d):
         a.lower.alias("lower"), a.upper.alias("upper"), a.rmse.alias("rmse"), a.is_anomaly.alias("is_anomaly"))
 
 
+@query("anomaly_scores_order")
+def q_anomaly_order(spark, d):
+    c = fx.asset_cves(spark, d).select("tenant_id", "cve_record_id", "cvss_score", "discovered_at")
+    a = F.col("anomaly")
+    scored = autoregressive.detect_order(c, "cvss_score", "tenant_id", [F.col("discovered_at"), F.col("cve_record_id")])
+    return scored.select(
+        "tenant_id", "cve_record_id", "cvss_score", a.n.alias("n"), a.p.alias("p"), a.d.alias("d"),
+        a.forecast.alias("forecast"), a.rmse.alias("rmse"), a.is_anomaly.alias("is_anomaly"))
+
+
 @query("ml_scoring")
 def q_ml_scoring(spark, d):
     return _key_text(ml_findings(spark, d))
@@ -198,6 +233,17 @@ def q_cep_incident(spark, d):
     return enrich.incident(rule, fx.asset_activity(spark, d), as_of=AS_OF)
 
 
+@query("cep_incident_ordered")
+def q_incident_ordered(spark, d):
+    a, _, c = _entities(spark, d)
+    high = a.filter(F.col("risk_level") == "HIGH").select("tenant_id", "asset_id").distinct()
+    critical = c.filter((F.col("cvss_score") >= 9.0) & (F.col("severity") == "CRITICAL"))
+    return cep.followed_by(
+        critical.join(high, ["tenant_id", "asset_id"], "left_semi"), fx.asset_activity(spark, d).filter("is_suspicious"),
+        keys=["tenant_id", "asset_id"], ts="discovered_at", id_col="cve_record_id", then_ts="activity_time",
+        then_id="activity_id", within_ms=INCIDENT_WITHIN_MS, carry=["cve_id"])
+
+
 @query("threat_intel_enrichment")
 def q_threat_intel(spark, d):
     return enrich.threat_intel(finding_docs(spark, d), fx.threat_intel_feed(spark, d))
@@ -241,6 +287,18 @@ def q_conform(spark, d):
     return _ntz(findings.conform_documents(finding_docs(spark, d)), "event_time")
 
 
+@query("findings_retention_table")
+def q_retention_table(spark, d):
+    """Findings streamed into a table by event date, expired dates dropped, then read from the cutoff on."""
+    found = materialize(findings_table(spark, d), "retention-findings")
+    table = DatedTable(spark, scratch_folder(spark, "dated"), found.schema, K.parse_event_time(F.col("event_time")))
+    for b in range(MICRO_BATCHES):
+        table.write(found.filter(F.pmod(F.xxhash64("key"), F.lit(MICRO_BATCHES)) == b), b)
+    cutoff = datetime.fromisoformat(AS_OF) - timedelta(milliseconds=S.RETENTION_MS)
+    table.expire(cutoff)
+    return _key_text(table.read(since=cutoff))
+
+
 @query("findings_retention")
 def q_retention(spark, d):
     return _key_text(findings.retention(findings_table(spark, d), AS_OF))

@@ -21,6 +21,57 @@ def _top(src: str, key: str, n: int, value: str = "COUNT(*)", where: str = "") -
             f"ORDER BY findings DESC, {key} ASC NULLS LAST LIMIT {n}")
 
 
+def order_sql() -> str:
+    """The autoregressive model with orders p 1 to 2 and d 0 to 1 over the CVE records: sums over moving frames, then
+    the equations of each order solved in the open (p = 2 by one elimination)."""
+    z = {0: ["y", "y1", "y2"], 1: ["(y - y1)", "(y1 - y2)", "(y2 - y3)"]}
+    sums, fits = ["SUM(CASE WHEN whole THEN 1 ELSE 0 END) OVER w AS n"], []
+    for d, lag in z.items():
+        for a in range(3):
+            sums.append(f"SUM(CASE WHEN whole THEN {lag[a]} ELSE 0 END) OVER w AS s{d}{a}")
+            sums += [f"SUM(CASE WHEN whole THEN {lag[a]} * {lag[b]} ELSE 0 END) OVER w AS s{d}{a}{b}"
+                     for b in range(a, 3)]
+    moments = [f"CAST(n * s{d}{a}{b} - s{d}{a} * s{d}{b} AS DOUBLE) AS m{d}{a}{b}"
+               for d in z for a in range(3) for b in range(a, 3)]
+    steps = []
+    for d in z:
+        steps += [f"m{d}22 - m{d}12 / NULLIF(m{d}11, 0) * m{d}12 AS v{d}",
+                  f"(m{d}02 - m{d}12 / NULLIF(m{d}11, 0) * m{d}01) / NULLIF(m{d}22 - m{d}12 / NULLIF(m{d}11, 0) * m{d}12, 0) AS g{d}",
+                  f"m{d}01 / NULLIF(m{d}11, 0) AS b{d}"]
+    for d, lag in z.items():
+        ahead = {0: "", 1: " - CAST(0 - y1 AS DOUBLE)"}[d]
+        h = f"((m{d}01 - m{d}12 * g{d}) / NULLIF(m{d}11, 0))"
+        one = (f"(CAST(s{d}0 AS DOUBLE) - b{d} * CAST(s{d}1 AS DOUBLE)) / CAST(n AS DOUBLE) + b{d} * CAST({lag[1]} AS DOUBLE)",
+               f"m{d}00 - b{d} * m{d}01", f"m{d}11 > 0")
+        two = (f"(CAST(s{d}0 AS DOUBLE) - {h} * CAST(s{d}1 AS DOUBLE) - g{d} * CAST(s{d}2 AS DOUBLE)) / CAST(n AS DOUBLE)"
+               f" + {h} * CAST({lag[1]} AS DOUBLE) + g{d} * CAST({lag[2]} AS DOUBLE)",
+               f"m{d}00 - {h} * m{d}01 - g{d} * m{d}02", f"m{d}11 > 0 AND m{d}22 > 0 AND v{d} > 1e-9 * m{d}22")
+        for p, (fc, rss, full) in ((1, one), (2, two)):
+            fits.append(f"""
+SELECT tenant_id, cve_record_id, {p} AS p, {d} AS d, ({fc}){ahead} AS fc, GREATEST({rss}, 0.0) AS rss,
+       GREATEST({rss}, 0.0) * exp({2.0 * (p + 1)} / CAST(n AS DOUBLE)) AS aic
+FROM solved WHERE whole AND n >= 10 AND {full}""")
+    nl = ",\n       "
+    return f""", lagged AS (SELECT c.*, CAST(ROUND(cvss_score * 10) AS BIGINT) AS y,
+                    LAG(CAST(ROUND(cvss_score * 10) AS BIGINT), 1) OVER s AS y1,
+                    LAG(CAST(ROUND(cvss_score * 10) AS BIGINT), 2) OVER s AS y2,
+                    LAG(CAST(ROUND(cvss_score * 10) AS BIGINT), 3) OVER s AS y3
+             FROM asset_cves c
+             WINDOW s AS (PARTITION BY tenant_id ORDER BY (cvss_score IS NULL), discovered_at, cve_record_id)),
+marked AS (SELECT *, (y IS NOT NULL AND y1 IS NOT NULL AND y2 IS NOT NULL AND y3 IS NOT NULL) AS whole FROM lagged),
+summed AS (SELECT *, {nl.join(sums)}
+           FROM marked WINDOW w AS (PARTITION BY tenant_id ORDER BY (cvss_score IS NULL), discovered_at, cve_record_id
+                                    ROWS BETWEEN 100 PRECEDING AND 1 PRECEDING)),
+moments AS (SELECT *, {nl.join(moments)} FROM summed),
+solved AS (SELECT *, {nl.join(steps)} FROM moments),
+fits AS ({" UNION ALL ".join(fits)}),
+chosen AS (SELECT * FROM fits QUALIFY ROW_NUMBER() OVER (PARTITION BY tenant_id, cve_record_id ORDER BY aic, p, d) = 1)
+SELECT s.tenant_id, s.cve_record_id, s.cvss_score, CASE WHEN s.y IS NOT NULL THEN CAST(COALESCE(s.n, 0) AS INT) END AS n,
+       f.p, f.d, f.fc / 10.0 AS forecast, sqrt(f.rss) / CAST(s.n AS DOUBLE) / 10.0 AS rmse,
+       abs(CAST(s.y AS DOUBLE) - f.fc) / 10.0 > GREATEST(2.5758 * (sqrt(f.rss) / CAST(s.n AS DOUBLE) / 10.0), 1e-6) AS is_anomaly
+FROM solved s LEFT JOIN chosen f ON f.tenant_id = s.tenant_id AND f.cve_record_id = s.cve_record_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
 
@@ -71,6 +122,7 @@ SELECT tenant_id, cve_record_id, cvss_score, a_n AS n,
        a_forecast AS forecast, a_forecast - a_band AS lower, a_forecast + a_band AS upper,
        a_rmse AS rmse, is_anomaly
 FROM cve_scored""")
+    q["anomaly_scores_order"] = with_ctes(["asset_cves"], order_sql())
     q["ml_scoring"] = with_ctes(["ml_findings"], "SELECT * FROM ml_findings")
     q["running_cvss_range"] = with_ctes(["asset_cves"], """
 SELECT tenant_id, cve_record_id, cvss_score, discovered_at,
@@ -85,6 +137,32 @@ WHERE EXISTS (SELECT 1 FROM asset_activity s
               WHERE s.is_suspicious AND s.tenant_id = r.tenant_id AND s.asset_id = r.asset_id
                 AND s.activity_time > TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 72 HOUR
                 AND s.activity_time <= TIMESTAMP '2024-02-01 00:00:00')""")
+    # Every pair of a critical CVE and a later suspicious activity; the operator makes none.
+    q["cep_incident_ordered"] = with_ctes(["assets", "asset_cves", "asset_activity"], """
+SELECT c.tenant_id, c.asset_id, c.cve_record_id, c.discovered_at, c.cve_id, COUNT(*) AS followers,
+       ARG_MIN(s.activity_id, (s.activity_time, s.activity_id)) AS activity_id, MIN(s.activity_time) AS activity_time
+FROM asset_cves c
+JOIN asset_activity s ON s.tenant_id = c.tenant_id AND s.asset_id = c.asset_id AND s.is_suspicious
+  AND s.activity_time > c.discovered_at AND s.activity_time <= c.discovered_at + INTERVAL 3 DAY
+WHERE c.cvss_score >= 9.0 AND c.severity = 'CRITICAL'
+  AND EXISTS (SELECT 1 FROM assets a WHERE a.tenant_id = c.tenant_id AND a.asset_id = c.asset_id
+              AND a.risk_level = 'HIGH')
+GROUP BY c.tenant_id, c.asset_id, c.cve_record_id, c.discovered_at, c.cve_id""")
+    # A batch's watermark: the newest time of the batches before, less a day.
+    q["activity_totals_late"] = with_ctes(["asset_activity"], """, arrived AS (SELECT *, LEAST(2, CASE WHEN activity_time < TIMESTAMP '2024-01-11' THEN 0
+                                     WHEN activity_time < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END
+                                + CASE WHEN activity_id % 5 = 0 THEN 1 ELSE 0 END) AS b,
+                     time_bucket(INTERVAL '1 day', activity_time) AS window_start
+              FROM asset_activity),
+judged AS (SELECT r.*, (SELECT MAX(e.t) FROM (SELECT b, MAX(activity_time) AS t FROM arrived GROUP BY b) e
+                        WHERE e.b < r.b) - INTERVAL 1 DAY AS wm
+           FROM arrived r)
+SELECT tenant_id, window_start,
+       CASE WHEN COALESCE(window_start + INTERVAL 1 DAY <= wm, FALSE) THEN 'late'
+            WHEN window_start + INTERVAL 1 DAY <= (SELECT MAX(activity_time) FROM arrived) - INTERVAL 1 DAY THEN 'closed'
+            ELSE 'open' END AS place,
+       COUNT(*) AS events, COUNT(*) FILTER (WHERE is_suspicious) AS suspicious
+FROM judged GROUP BY ALL""")
     q["threat_intel_enrichment"] = with_ctes(["finding_docs", "threat_intel_feed"], f"""
 SELECT d.*, f.threat_actor, COALESCE(f.known_exploited, FALSE) AS known_exploited,
        COALESCE(f.feed_entries, 0) AS feed_entries
@@ -115,6 +193,7 @@ SELECT * REPLACE (strptime(event_time, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time) F
     q["findings_retention"] = with_ctes(["findings_latest"], f"""
 SELECT * FROM findings_latest
 WHERE {TS} >= TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 604800000 MILLISECOND""")
+    q["findings_retention_table"] = q["findings_retention"]
     q["findings_last_24h"] = with_ctes(["finding_docs"], """
 SELECT * FROM finding_docs
 WHERE strptime(event_time, '%Y-%m-%dT%H:%M:%S.%fZ') BETWEEN TIMESTAMP '2024-01-29 12:00:00'
