@@ -33,7 +33,9 @@ from secflow.llm.common import arrow_map, table
 
 PAGE = 64
 QUERY_BLOCK = 256                                # queries that walk a tree together
-SHARD_ROWS = 16_384
+# Every query meets every shard, so shards are as large as an executor's task holds well: 65,536 vectors of 64
+# doubles are 34 MB, twice that with their pages.
+SHARD_ROWS, LEAST_ROWS = 65_536, 4_096
 OUT = "query_row long, query_id long, row long, vec_id long, score long"
 OUT_SCHEMA = pa.schema([("query_row", pa.int64()), ("query_id", pa.int64()), ("row", pa.int64()),
                         ("vec_id", pa.int64()), ("score", pa.int64())])
@@ -207,7 +209,7 @@ def top_k(df: DataFrame, is_query, k: int, id_col: str = "vec_id", vec_col: str
     """
     rows = vectors.vector_rows(df, id_col, vec_col).withColumn(
         "vec", F.transform("vec", lambda x: F.floor(F.lit(scale) * x).cast("double")))
-    data, n = vectors.sharded(rows, shard_rows, "mtree-rows")
+    data, n = vectors.sharded(rows, shard_rows, "mtree-rows", min(LEAST_ROWS, shard_rows))
     queries = data.filter(F.coalesce(is_query, F.lit(False))).drop("shard")
     hits = arrow_map(vectors.with_queries(data, queries, n), _searcher(k, page), OUT)
     return vectors.merge(hits, k, [F.col("score").desc()])

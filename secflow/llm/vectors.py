@@ -25,10 +25,17 @@ def vector_rows(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
             .filter(usable_vector(F.col("vec"))).withColumn("dim", F.size("vec")))
 
 
-def sharded(rows: DataFrame, shard_rows: int, name: str) -> tuple[DataFrame, int]:
-    """Pinned rows with a row number ``row`` and a shard; returns (table, number of shards)."""
+def sharded(rows: DataFrame, shard_rows: int, name: str, least_rows: int | None = None) -> tuple[DataFrame, int]:
+    """Pinned rows with a row number ``row`` and a shard; returns (table, number of shards).
+
+    A shard holds about ``shard_rows`` rows; with ``least_rows`` a small table is cut further, down to that many, while
+    there are cores for its shards.
+    """
     rows = pinned(rows.withColumn("row", F.monotonically_increasing_id()), name)
-    n = max(1, math.ceil(rows.count() / shard_rows))
+    total = rows.count()
+    n = max(1, math.ceil(total / shard_rows))
+    if least_rows:
+        n = max(n, min(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(total / least_rows)))
     return rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")), n
 
 
