@@ -256,6 +256,53 @@ def test_plan_uses_every_piece_and_fills_exactly():
     assert sorted(packing.plan({6: 2, 4: 2}, 10)) == [((6, 4), 2)]
 
 
+def _plain_profile(text, p):
+    """The bundle of a text's trigrams, letter by letter."""
+    symbols = [0]
+    for ch in (text or "").lower():
+        n = int(p.symbol[ord(ch)])
+        if n or symbols[-1]:                              # a run of other characters is one border
+            symbols.append(n)
+    total, kinds = np.zeros(p.third.shape[1]), set()
+    for a, b, c in zip(symbols, symbols[1:], [*symbols[2:], 0], strict=False):
+        if b or c:
+            total += np.roll(p.third[a], 2).astype(float) * np.roll(p.third[b], 1) * p.third[c]
+            kinds.add((a, b, c))
+    return total if kinds else None, len(kinds)
+
+
+def test_language_profiles_against_plain_ones(spark):
+    rnd = random.Random(9)
+    words = {"xx": ["alba", "lume", "stra", "perla"], "yy": ["kodo", "wüst", "straße", "ÄÖ"], "zz": ["été", "quoi", "l'an"]}
+    rows = [(i, " ".join(rnd.choices(words[g], k=rnd.randrange(1, 12))) + rnd.choice(["", ".", " 12 ", "!?"]), g)
+            for i, g in enumerate(rnd.choices(list(words), k=60))]
+    rows += [(60, "alba kodo été", None), (61, "  7 ", "xx"), (62, None, "yy"), (63, "a", None), (64, "пока alba", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    p = language_id.profiler(language_id.DIM)
+    sums = {}
+    for i, text, g in rows:
+        if g is None or zlib.crc32(str(i).encode()) % 3 == 1:
+            continue
+        v, _ = _plain_profile(text, p)
+        if v is not None:
+            sums[g] = sums.get(g, 0) + v / np.linalg.norm(v)
+    prototypes = {g: v / np.linalg.norm(v) for g, v in sums.items()}
+    trained = language_id.train(docs.filter(~language_id.held_out()))
+    assert set(trained) == set(prototypes)
+    assert all(np.abs(trained[g] - prototypes[g]).max() < 1e-5 for g in prototypes)
+    got = {r.doc_id: r for r in language_id.identify(docs, ["doc_id"]).collect()}
+    assert len(got) == len(rows)
+    for i, text, _ in rows:
+        v, kinds = _plain_profile(text, p)
+        if v is None:
+            assert (got[i].lang_pred, got[i].score, got[i].trigrams) == ("und", 0.0, 0)
+            continue
+        cos = {g: float(v @ u / np.linalg.norm(v)) for g, u in prototypes.items()}
+        best = max(cos.values())
+        assert got[i].trigrams == kinds and abs(got[i].score - max(0.0, best)) < 1e-5
+        assert cos[got[i].lang_pred] > best - 1e-6
+
+
 def test_language_id(docs, empty):
     got = language_id.identify(docs, ["doc_id", "text", "lang"]).withColumn("held_out", language_id.held_out()).collect()
     assert len(got) == len(ROWS)
