@@ -29,6 +29,7 @@ LISTED = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "ex
 
 MIN_SUPPORT, MIN_ROWS = 0.01, 10        # a combination is on this share of the labelled URLs, and on so many
 MIN_CONFIDENCE = 0.5
+DOMAIN_CHARS = 253                      # fixed value: the longest domain name
 BLOCK = "class=block"
 
 
@@ -59,12 +60,22 @@ def listed_rule(rules: list[tuple[str, str, str]]) -> Column:
     return F.array_max(F.array(*fits))
 
 
+def _domains() -> Column:
+    """The host and the domains above it.  A domain name has at most ``DOMAIN_CHARS`` characters, so a host of any length
+    gives a bounded number of bounded tokens: of a longer one, the domains within its end."""
+    host = F.col("host")
+    end = F.expr(f"right(host, {DOMAIN_CHARS + 1})")
+    # Behind a dot of the end starts a whole label; without a dot there is no domain short enough.
+    whole = F.when(F.length(host) <= DOMAIN_CHARS, host).when(
+        F.instr(end, ".") > 0, F.regexp_replace(end, r"^[^.]*\.", ""))
+    labels = F.split(whole, r"\.")
+    return F.coalesce(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat(
+        F.lit("domain="), F.array_join(F.slice(labels, i, F.size(labels)), "."))), F.array().cast("array<string>"))
+
+
 def url_tokens() -> Column:
     """Sorted distinct tokens: host, its suffix domains, host words, path words, query keys, fragment."""
-    labels = F.split(F.col("host"), r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
-                           lambda i: F.concat(F.lit("domain="), F.array_join(
-                               F.slice(labels, i, F.size(labels)), ".")))
+    labels, suffixes = F.split(F.col("host"), r"\."), _domains()
     words = F.transform(F.flatten(F.transform(labels, lambda x: F.split(x, "-"))),
                         lambda x: F.concat(F.lit("host="), x))
     path = F.transform(F.filter(F.split(F.lower("path"), r"[^\p{L}]+"), lambda x: x != ""),

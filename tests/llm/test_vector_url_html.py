@@ -264,6 +264,20 @@ def test_template_counts_against_brute_force(spark):
     assert brute_templates(pages, 3)
 
 
+def test_domains_of_very_long_hosts(spark):
+    hosts = ["a.b.c", "x" * 253, "x" * 254, "y" * 200 + "." + "z" * 52 + ".com", "y" * 200 + "." + "z" * 49 + ".com",
+             ".".join("ab" for _ in range(100_000)), "." * 50_000, "k" * 300 + "." + "m" * 249 + ".com"]
+    pages = spark.createDataFrame([(i, f"http://{h}/p") for i, h in enumerate(hosts)], "page_id long, url string")
+    got = {r.page_id: {t[7:] for t in r.tokens if t.startswith("domain=")} for r in url_rules.split_url(pages).select(
+        "page_id", url_rules.url_tokens().alias("tokens")).collect()}
+    for i, h in enumerate(hosts):
+        ends = [h, *(h[k + 1:] for k in range(max(0, len(h) - 400), len(h)) if h[k] == ".")]
+        assert got[i] == {e for e in ends if len(e) <= 253}, i
+    assert sum(map(len, got[5])) < 32_768 and not got[2] and len(got[7]) == 2
+    none = spark.createDataFrame([], "url string, blocked boolean")
+    assert url_rules.judge(pages, none).count() == len(hosts)
+
+
 def test_very_long_page(spark):
     text = _words(1, 200_000)
     html = f"<nav>m</nav><article><p>{text}</p>{'<p>x</p>' * 20_000}</article>"
