@@ -29,6 +29,7 @@ LISTED = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "ex
 
 MIN_SUPPORT, MIN_ROWS = 0.01, 10        # a combination is on this share of the labelled URLs, and on so many
 MIN_CONFIDENCE = 0.5
+SALTS = 16
 DOMAIN_CHARS = 253                      # fixed value: the longest domain name
 BLOCK = "class=block"
 
@@ -148,7 +149,10 @@ def judge(pages: DataFrame, labelled_urls: DataFrame, listed=LISTED, id_col: str
             .join(inverted_index(rules, sets), "token")
             .filter(F.exists("rules", lambda r: F.size(F.array_except(r, F.col("tokens"))) == 0))
             .select("tokens").distinct().withColumn("mined", F.lit(True)))
-    out = urls.join(hits, "tokens", "left")
+    # A common token set is on any share of the pages: its pages are dealt to SALTS tasks, the matched sets to each.
+    hits = hits.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = urls.withColumn("_salt", F.pmod(F.xxhash64(id_col, "_in"), F.lit(SALTS)).cast("int"))
+    out = salted.join(hits, ["tokens", "_salt"], "left")
     mined = F.coalesce("mined", F.lit(False))
     return out.select(id_col, "host", "path", F.col("listed.rule").alias("rule"),
                       F.coalesce("listed.verdict", F.when(mined, F.lit("block")).otherwise(F.lit("allow")))
