@@ -42,6 +42,7 @@ from secflow.session import ship_package
 
 BLOCK_BYTES = 12 << 20
 LONG_WORD = 64
+LIBRARY_TEXTS = 1 << 14
 
 # White space in a row (or beside characters that some Unicode versions count as white space).
 _SPACE = "[\\s\u180e\u200b\ufeff]"
@@ -78,7 +79,7 @@ class Encoder:
     The last ``limit`` to twice ``limit`` distinct words are remembered, in two generations.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 350_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -93,15 +94,20 @@ class Encoder:
         self.marks: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+        out = []
+        # The library's answers are many times larger than the ids: few at a time.
+        for at in range(0, len(texts), LIBRARY_TEXTS):
+            found = self.tok.encode_batch_fast(texts[at:at + LIBRARY_TEXTS], add_special_tokens=False)
+            out += [array("I", e.ids).tobytes() for e in found]
+        return out
 
     def encode(self, keys: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each key."""
         return self._library([word_of(k) for k in keys])
 
-    def _learn(self, keys: list[str]) -> None:
-        """Remember the ids of new keys; letters that occur with several marks are encoded once."""
+    def _learn(self, keys: list[str]) -> dict[str, bytes]:
+        """Remember the ids of new keys.  Letters that occur with several marks are encoded and remembered once;
+        the ids of such keys are put together anew each time and returned."""
         known, old, marks = self.known, self.old, self.marks
         split = {k: m.groups() for k in keys if (m := _MARKED.match(k))}
         stems = {s for s, _ in split.values()}
@@ -113,7 +119,7 @@ class Encoder:
             marks.clear()
             ends = list({m for _, m in split.values()})
         marks.update(zip(ends, self._library(ends), strict=True))
-        known.update([(k, known[s] + marks[m]) for k, (s, m) in split.items()])
+        return {k: known[s] + marks[m] for k, (s, m) in split.items()}
 
     def _ids(self, keys: list[str]) -> list[bytes]:
         """Ids of distinct keys, remembered or new."""
@@ -121,11 +127,11 @@ class Encoder:
         new = [k for k in keys if k not in known]
         known.update([(k, old[k]) for k in new if k in old])
         unseen = [k for k in new if k not in old]
-        self._learn(unseen)
-        out = [known[k] for k in keys]
+        joined = self._learn(unseen)
+        out = [joined[k] if k in joined else known[k] for k in keys]
         for k in unseen:
             if len(k) > LONG_WORD:
-                del known[k]
+                known.pop(k, None)
         if len(known) > self.limit:
             self.known, self.old = {}, known
         return out

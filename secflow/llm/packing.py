@@ -33,7 +33,7 @@ from secflow.llm.bpe import default_tokenizer, encoder
 from secflow.llm.common import arrow_map, keyed_text, pinned, slices, table
 
 CAPACITY = 2048
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 PIECE = ("block long, local long, doc_id long, piece int, start long, length long, ids_crc32 long")
 PIECE_SCHEMA = pa.schema([("block", pa.int64()), ("local", pa.int64()), ("doc_id", pa.int64()),
                           ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
