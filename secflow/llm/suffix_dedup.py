@@ -313,16 +313,18 @@ def _send_runs(n_buckets: int, length: int, gram: int):
         b.index(np.setdiff1d(np.arange(len(texts)), copies))
         found: dict[int, list] = {}
         if len(many):
-            starts = np.flatnonzero(b.ok)
-            if len(starts):
-                key = b.key[starts]
-                cut = np.ones(len(starts), dtype=bool)
-                cut[1:] = (starts[1:] != starts[:-1] + 1) | (key[1:] != key[:-1])
-                begin = np.flatnonzero(cut)
-                n = np.diff(np.append(begin, len(starts)))
-                slot = np.minimum(np.searchsorted(many, key[begin]), len(many) - 1)
-                known = many[slot] == key[begin]
-                begin, n, hot = starts[begin[known]], n[known], heat[slot[known]]
+            # Runs of one key, found with a byte per position beside the keys.
+            cut = b.ok[1:] & b.ok[:-1] & (b.key[1:] == b.key[:-1])
+            begin, last = b.ok.copy(), b.ok.copy()
+            begin[1:] &= ~cut
+            last[:-1] &= ~cut
+            begin, last = np.flatnonzero(begin), np.flatnonzero(last)
+            if len(begin):
+                n = last - begin + 1
+                del cut, last
+                slot = np.minimum(np.searchsorted(many, b.key[begin]), len(many) - 1)
+                known = many[slot] == b.key[begin]
+                begin, n, hot = begin[known], n[known], heat[slot[known]]
                 begin, n, hot = _pieces(begin, n, hot)
                 owner = np.searchsorted(b.first, begin, "right") - 1
                 by_owner = np.lexsort((begin, owner, b.order[owner]))
