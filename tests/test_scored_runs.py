@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from secflow import schemas as S
 from secflow.operators import anomaly, findings
 from secflow.operators.anomaly import AnomalyParams, detect
 from secflow.operators.enrich import join_active
@@ -83,3 +84,46 @@ def test_join_of_findings_has_tasks_by_joined_rows(spark, monkeypatch):
     n = found.count()
     per_task = found.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert n > 5000 and per_task < 1500
+
+
+def _above_join(df):
+    """Plan lines above the fan-out join, top first."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    return lines[:next(i for i, line in enumerate(lines) if "Join" in line)]
+
+
+def test_documents_share_the_join_shuffle_and_hash_what_is_left(spark, monkeypatch):
+    monkeypatch.setattr(findings, "JOINED_PER_TASK", 2000)
+    lines = _above_join(findings.documents(catalog.ml_findings(spark, TABLES)))
+    grouped = [i for i, line in enumerate(lines) if "Aggregate(" in line]
+    assert sum("Exchange" in line for line in lines) == 1
+    # Ids are hashed above the first grouping of the joined rows, not for each of them.
+    hashed = [i for i, line in enumerate(lines) if "sha2(" in line]
+    assert hashed and max(hashed) < max(grouped)
+
+
+def test_upsert_parses_times_of_what_is_left(spark, monkeypatch):
+    monkeypatch.setattr(findings, "JOINED_PER_TASK", 2000)
+    lines = _above_join(findings.upsert_latest(catalog.ml_findings(spark, TABLES)))
+    grouped = [i for i, line in enumerate(lines) if "Aggregate(" in line]
+    parsed = [i for i, line in enumerate(lines) if "regexp_replace" in line or "gettimestamp" in line]
+    assert sum("Exchange" in line for line in lines) == 1
+    assert parsed and max(parsed) < max(grouped)
+
+
+def _finding(tenant, asset, cve, when, ip, risk="HIGH", key="k"):
+    return (key.encode(), tenant, asset, "server", ip, cve, 7.5, "HIGH", 0.75, S.FINDING_TYPE_ML, risk,
+            S.MODEL_VERSION_ML, when)
+
+
+def test_grouping_in_two_steps_meets_across_texts_and_fields(spark):
+    rows = [_finding("t", "a", "c", "2026-08-27 10:30:00.000", "10.0.0.1"),
+            _finding("t", "a", "c", "2026-08-27T10:30:00Z", "10.0.0.9"),          # the same instant
+            _finding("t|a", "c", None, "2026-08-27 10:30:00.000", "10.0.0.2"),
+            _finding("t", "a|c", "", "2026-08-27 12:30:00+02:00", "10.0.0.3")]    # runs together with the row before
+    docs = findings.documents(spark.createDataFrame(rows, S.FINDING)).collect()
+    assert sorted((r.ip_address, r.tenant_id, r.event_time) for r in docs) == [
+        ("10.0.0.3", "t", "2026-08-27T10:30:00.000000Z"), ("10.0.0.9", "t", "2026-08-27T10:30:00.000000Z")]
+    newest = findings.upsert_latest(spark.createDataFrame(
+        rows + [_finding("t", "b", "c", "2026-08-27 11:00:00+02:00", "10.9.9.9")], S.FINDING)).collect()
+    assert [(r.tenant_id, r.asset_id, r.ip_address) for r in newest] == [("t", "a", "10.0.0.9")]
