@@ -28,7 +28,7 @@ import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +49,8 @@ _SPACE = "[\\s\u180e\u200b\ufeff]"
 _RUN = re.compile(_SPACE + _SPACE)
 # A word of letters with marks behind it: the pre-tokenizer splits it between the two.  Letters of Latin-1 and ASCII
 # marks only (no apostrophe, which may belong to a word, and none of a special token), whatever the Unicode version.
-_MARKED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-;=@\[-`{}~]+)\Z")
+_LETTERS = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if re.match(r"[!-&(-;=@\[-`{}~]", c))
 _ARROW_RUN = ("[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\u180e\u200b\ufeff]{2}")
 _START = re.compile(f"(?<!{_SPACE})(?=[ \n])")
 
@@ -73,6 +74,51 @@ def word_of(key: str) -> str:
     return key if key[:1] == "\n" else key[1:] if key[:1] == "\t" else " " + key
 
 
+class Words:
+    """Ids of words, in one array: ``at`` numbers the words, word i has ``ids[ends[i - 1]:ends[i]]``."""
+
+    def __init__(self):
+        self.at: dict[str, int] = {}
+        self.ids, self.ends = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+
+    def slots(self, keys: list[str]) -> np.ndarray:
+        """The number of each key, or -1."""
+        return np.fromiter(map(self.at.get, keys, repeat(-1)), np.int64, len(keys))
+
+    def sizes(self) -> np.ndarray:
+        return np.diff(self.ends)
+
+    def add(self, keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Append new keys; their numbers."""
+        n = len(self.ends) - 1
+        self.ids = np.concatenate([self.ids, ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        self.at.update(zip(keys, range(n, n + len(keys)), strict=True))
+        return np.arange(n, n + len(keys))
+
+    def of(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the numbered words, one after the other, and how many each has."""
+        sizes = self.sizes()[slots]
+        return self.ids[_stretches(self.ends[slots], sizes)], sizes
+
+
+def _stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Positions start, start + 1, ... of each stretch, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _from(texts: pa.Array, start: np.ndarray) -> pa.Array:
+    """What each text holds from its byte ``start`` on."""
+    if not len(texts):
+        return texts
+    at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    both = np.empty(2 * len(texts) + 1, np.int32)
+    both[::2], both[1::2] = at, at[:-1] + start
+    halves = pa.StringArray.from_buffers(2 * len(texts), pa.py_buffer(both), texts.buffers()[2])
+    return halves.take(pa.array(np.arange(1, 2 * len(texts), 2)))
+
+
 class Encoder:
     """Encodes word keys with the library, each distinct one once while the worker remembers it.
 
@@ -88,10 +134,14 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.words, self.old = Words(), Words()
         self.limit = limit
-        self.marks: dict[str, bytes] = {}
+        newline = self.tok.encode("\n", add_special_tokens=False).ids
+        self.newline = newline[0] if len(newline) == 1 else None
+
+    @property
+    def known(self) -> dict[str, int]:
+        return self.words.at
 
     def _library(self, texts: list[str]) -> list[bytes]:
         out = []
@@ -105,36 +155,67 @@ class Encoder:
         """Little-endian unsigned 32-bit ids of each key."""
         return self._library([word_of(k) for k in keys])
 
-    def _learn(self, keys: list[str]) -> dict[str, bytes]:
-        """Remember the ids of new keys.  Letters that occur with several marks are encoded and remembered once;
-        the ids of such keys are put together anew each time and returned."""
-        known, old, marks = self.known, self.old, self.marks
-        split = {k: m.groups() for k in keys if (m := _MARKED.match(k))}
-        stems = {s for s, _ in split.values()}
-        known.update([(s, old[s]) for s in stems if s in old and s not in known])
-        todo = list((stems | {k for k in keys if k not in split}).difference(known))
-        known.update(zip(todo, self.encode(todo), strict=True))
-        ends = list({m for _, m in split.values()}.difference(marks))
-        if len(marks) > self.limit:
-            marks.clear()
-            ends = list({m for _, m in split.values()})
-        marks.update(zip(ends, self._library(ends), strict=True))
-        return {k: known[s] + marks[m] for k, (s, m) in split.items()}
-
-    def _ids(self, keys: list[str]) -> list[bytes]:
-        """Ids of distinct keys, remembered or new."""
-        known, old = self.known, self.old
-        new = [k for k in keys if k not in known]
-        known.update([(k, old[k]) for k in new if k in old])
-        unseen = [k for k in new if k not in old]
-        joined = self._learn(unseen)
-        out = [joined[k] if k in joined else known[k] for k in keys]
-        for k in unseen:
-            if len(k) > LONG_WORD:
-                known.pop(k, None)
-        if len(known) > self.limit:
-            self.known, self.old = {}, known
-        return out
+    def _letters(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of keys that are letters alone, one after the other, and how many each has.  The library gets many as
+        one text, a line each: the line's end is a piece and an id of its own, and no letter has that id."""
+        ids, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        for i in range(0, len(keys), LIBRARY_TEXTS):
+            part = keys[i:i + LIBRARY_TEXTS]
+            text = "".join(["\n " + k for k in part])
+            found = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            line = found == self.newline
+            starts = np.flatnonzero(line)
+            if len(starts) != len(part):
+                raise RuntimeError("the tokenizer does not keep lines apart")
+            ids.append(found[~line])
+            sizes.append(np.diff(starts, append=len(found)) - 1)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _learn(self, keys: list[str], letters: np.ndarray) -> None:
+        """Encode and remember new keys; ``letters`` tells which ones are letters alone."""
+        joined = letters if self.newline is not None else np.zeros(len(keys), bool)
+        plain, other = [keys[i] for i in np.flatnonzero(joined)], [keys[i] for i in np.flatnonzero(~joined)]
+        self.words.add(plain, *self._letters(plain))
+        found = self.encode(other)
+        self.words.add(other, np.frombuffer(b"".join(found), "<u4"),
+                       np.fromiter(map(len, found), np.int64, len(found)) // 4)
+
+    def _slots(self, keys: list[str], letters: np.ndarray) -> np.ndarray:
+        """Numbers of distinct keys, remembered or new."""
+        slots = self.words.slots(keys)
+        new = np.flatnonzero(slots < 0)
+        before = self.old.slots([keys[i] for i in new])
+        held = new[before >= 0]
+        slots[held] = self.words.add([keys[i] for i in held], *self.old.of(before[before >= 0]))
+        unseen = new[before < 0]
+        names = [keys[i] for i in unseen]
+        self._learn(names, letters[unseen])
+        slots[unseen] = self.words.slots(names)
+        return slots
+
+    def _ids(self, keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct keys, one after the other, and how many each has.  Letters that occur with several marks
+        are encoded and remembered once, and so are the marks, as words without a space."""
+        stems = pc.utf8_rtrim(keys, _MARKS)
+        cut, whole = (pc.binary_length(k).to_numpy() for k in (stems, keys))
+        marked = pc.match_substring_regex(stems, _LETTERS).to_numpy(zero_copy_only=False) & (cut < whole)
+        coded = pc.if_else(pa.array(marked), stems, keys).dictionary_encode()
+        marks = _from(keys.filter(pa.array(marked)), cut[marked]).dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ends = ["\t" + m for m in marks.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        letters = pc.match_substring_regex(coded.dictionary, _LETTERS).to_numpy(zero_copy_only=False)
+        pairs = np.full((len(keys), 2), -1, np.int64)
+        pairs[:, 0] = self._slots(names, letters)[coded.indices.to_numpy()]
+        pairs[marked, 1] = self._slots(ends, np.zeros(len(ends), bool))[marks.indices.to_numpy()]
+        # Number -1 is the empty entry behind the last one.
+        sizes = np.append(self.words.sizes(), 0)[pairs]
+        ids = self.words.ids[_stretches(self.words.ends[pairs.ravel()], sizes.ravel())]
+        long = np.flatnonzero(pc.utf8_length(coded.dictionary).to_numpy() > LONG_WORD)
+        for k in [*(names[i] for i in long), *(k for k in ends if len(k) > LONG_WORD)]:
+            self.words.at.pop(k, None)
+        if len(self.words.ends) > self.limit or len(self.words.ids) > 16 * self.limit:
+            self.words, self.old = Words(), self.words
+        return ids, sizes.sum(axis=1)
 
     def texts(self, texts: pa.Array) -> list[memoryview]:
         """Ids of each text (null: none).  Arrow splits the texts and numbers the distinct words."""
@@ -150,14 +231,11 @@ class Encoder:
         n_words[np.flatnonzero(odd)] = [len(k) for k in strange]
         flat = pa.concat_arrays([split.flatten(), pa.array([k for ks in strange for k in ks], pa.string())])
         coded = flat.dictionary_encode()
-        distinct = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        sizes = np.fromiter(map(len, distinct), np.int64, len(distinct)) // 4
-        pool = np.frombuffer(b"".join(distinct), "<u4")
+        pool, sizes = self._ids(coded.dictionary)
         at = coded.indices.to_numpy()
         take = sizes[at]
         ends = np.cumsum(take)
-        starts = (np.cumsum(sizes) - sizes)[at] - (ends - take)
-        ids = memoryview(pool[np.repeat(starts, take) + np.arange(len(take) and ends[-1])].tobytes())
+        ids = memoryview(pool[_stretches((np.cumsum(sizes) - sizes)[at], take)].tobytes())
         # The plain texts come first, then the odd ones.
         order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(odd)])
         cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n_words[order])])].tolist()

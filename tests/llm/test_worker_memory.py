@@ -53,3 +53,22 @@ def _packed(texts):
         ctx.get.return_value.partitionId.return_value = 0
         b = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
         yield from suffix_dedup._pack_texts(64 << 20)([b])
+
+
+def test_new_words_of_letters_reach_the_library_as_lines_of_one_text():
+    enc = bpe.Encoder(bpe.default_tokenizer(), limit=400)
+    asked = []
+
+    class Spy:
+        def encode_batch_fast(self, texts, **kw):
+            asked.append(len(texts))
+            return tok.encode_batch_fast(texts, **kw)
+    tok, enc.tok = enc.tok, Spy()
+    rnd = random.Random(7)
+    for _ in range(4):      # more words than are remembered
+        some = ["".join(rnd.choices("aeiounrstéöß", k=rnd.randrange(1, 9))) for _ in range(300)] + ["x" * 200, "l" * 70]
+        texts = ["a " + " ".join(w + rnd.choice(["", ",", "2.", "!!"]) for w in some), "\nb c\n" + " ".join(some[:40]), None]
+        got = [bytes(x) for x in enc.texts(pa.array(texts))]
+        assert got == [np.array(tok.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert sum(asked) < 60
+    assert len(enc.words.ends) <= 402 and not any(len(k) > bpe.LONG_WORD for k in enc.known)
