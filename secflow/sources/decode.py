@@ -2,8 +2,8 @@
 
 Frame: magic byte 0, 4-byte big-endian schema id, message-index list (zig-zag
 varints, count first; a single 0 byte stands for the first message), then the
-protobuf payload.  Decoding runs as a ``mapInPandas`` job over the binary
-column (Arrow batches), so it is partitioned like its input; Spark's own
+protobuf payload.  Decoding runs as a ``mapInArrow`` job over the binary
+column, so it is partitioned like its input; Spark's own
 ``from_protobuf`` can replace it where the protobuf connector is on the
 classpath.  Empty values (tombstones) are skipped; records that fail to decode
 go to a rejects frame with the error text instead of failing the job.
@@ -13,8 +13,9 @@ Absent proto3 scalars decode to '' and 0.0.
 from __future__ import annotations
 
 import struct
+from operator import attrgetter
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +36,9 @@ DECODED = T.StructType(
     + [T.StructField("schema_id", T.IntegerType()), T.StructField("_error", T.StringType()), T.StructField("_raw", T.BinaryType())]
 )
 
+ARROW = pa.schema([(n, pa.float64() if t == "double" else pa.string()) for n, _, t in FINDING_FIELDS]
+                  + [("schema_id", pa.int32()), ("_error", pa.string()), ("_raw", pa.binary())])
+
 _CLASS = None
 
 
@@ -92,30 +96,35 @@ def frame(payload: bytes, schema_id: int) -> bytes:
     return bytes([MAGIC]) + struct.pack(">i", schema_id) + b"\x00" + payload
 
 
+def _values(column: pa.Array) -> list:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def _decode_batches(batches):
-    cls = message_class()
-    names = [n for n, _, _ in FINDING_FIELDS]
-    for pdf in batches:
-        out = {n: [] for n in names + ["schema_id", "_error", "_raw"]}
-        for v in pdf["value"]:
+    parse, names = message_class().FromString, [n for n, _, _ in FINDING_FIELDS]
+    fields, nothing, heads = attrgetter(*names), (None,) * len(names), {}
+    for b in batches:
+        rows, ids, errors, raw = [], [], [], []
+        for v in _values(b.column("value")):
             try:
-                schema_id, _, payload = unframe(bytes(v))
-                m = cls()
-                m.ParseFromString(payload)
-                for n in names:
-                    out[n].append(getattr(m, n))
-                out["schema_id"].append(schema_id)
-                out["_error"].append(None)
-                out["_raw"].append(None)
+                # The usual frame is six bytes long; a batch has few different ones.
+                schema_id, payload = heads.get(v[:6]), v[6:]
+                if schema_id is None:
+                    schema_id, _, payload = unframe(v)
+                    if len(payload) == len(v) - 6:
+                        heads[v[:6]] = schema_id
+                rows.append(fields(parse(payload)))
+                ids.append(schema_id)
+                errors.append(None)
+                raw.append(None)
             except Exception as exc:  # noqa: BLE001 - every decode failure is a reject
-                for n in names:
-                    out[n].append(None)
-                out["schema_id"].append(None)
-                out["_error"].append(f"{type(exc).__name__}: {exc}")
-                out["_raw"].append(bytes(v))
-        res = pd.DataFrame(out)
-        res["schema_id"] = res["schema_id"].astype("Int32")
-        yield res
+                rows.append(nothing)
+                ids.append(None)
+                errors.append(f"{type(exc).__name__}: {exc}")
+                raw.append(v)
+        columns = [*zip(*rows)] if rows else [()] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip([*columns, ids, errors, raw], ARROW)],
+                                         schema=ARROW)
 
 
 def decode_findings(records: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -126,29 +135,24 @@ def decode_findings(records: DataFrame, value_col: str = "value") -> tuple[DataF
     ship_package(records.sparkSession)
     v = F.col(value_col)
     live = records.filter(v.isNotNull() & (F.length(v) > 0)).select(v.alias("value"))
-    decoded = live.mapInPandas(_decode_batches, DECODED)
+    decoded = live.mapInArrow(_decode_batches, DECODED)
     ok = decoded.filter(F.col("_error").isNull()).drop("_error", "_raw")
     bad = decoded.filter(F.col("_error").isNotNull()).select("_error", "_raw")
     return ok, bad
 
 
 def _encode_batches(batches, schema_id: int):
-    cls = message_class()
-    names = [n for n, _, _ in FINDING_FIELDS]
-    for pdf in batches:
-        vals = []
-        for row in pdf[names].itertuples(index=False):
-            m = cls()
-            for n, x in zip(names, row):
-                if x is not None and not (isinstance(x, float) and pd.isna(x)):
-                    setattr(m, n, x)
-            vals.append(frame(m.SerializeToString(), schema_id))
-        yield pd.DataFrame({"value": vals})
+    cls, names = message_class(), [n for n, _, _ in FINDING_FIELDS]
+    for b in batches:
+        # The message leaves out what is None: absent texts, and absent or NaN numbers (both are NaN here).
+        columns = [[None if x != x else x for x in _values(b.column(n))] for n in names]
+        yield pa.RecordBatch.from_arrays([pa.array([
+            frame(cls(**dict(zip(names, row))).SerializeToString(), schema_id) for row in zip(*columns)],
+            pa.binary())], names=["value"])
 
 
 def encode_findings(findings_df: DataFrame, schema_id: int = 1) -> DataFrame:
     """Finding rows -> framed protobuf values (the producer side, for replays and tests)."""
     ship_package(findings_df.sparkSession)
     names = [n for n, _, _ in FINDING_FIELDS]
-    return findings_df.select(*names).mapInPandas(lambda it: _encode_batches(it, schema_id),
-                                                  "value binary")
+    return findings_df.select(*names).mapInArrow(lambda it: _encode_batches(it, schema_id), "value binary")
