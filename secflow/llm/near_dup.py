@@ -27,11 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from secflow.llm.common import arrow_map, keyed_text, pinned, slices, table
-from secflow.llm.components import components
+from secflow.llm.components import stars
 from secflow.llm.shingles import mix, shingle_hashes, word_hashes
 
 SAMPLES, ROWS = 128, 4                    # 32 bands of 4 samples
@@ -118,11 +118,11 @@ def _xor_count(x: str, y: str) -> Column:
 
 
 def _close(pairs: DataFrame, nodes: DataFrame, limit: int) -> DataFrame:
-    """Pairs (u, v) whose odd sketches allow the threshold."""
-    left = nodes.select(F.col("node").alias("u"), F.col("sketch").alias("su"))
-    right = nodes.select(F.col("node").alias("v"), F.col("sketch").alias("sv"))
-    return (pairs.join(left, "u").join(right, "v").filter(_xor_count("su", "sv") <= limit)
-            .select("u", "v"))
+    """Pairs (u, v) whose odd sketches allow the threshold, with both nodes' ids of a document that has them."""
+    def side(x):
+        return nodes.select(F.col("node").alias(x), F.col("sketch").alias("s" + x), F.col("rep").alias("rep_" + x))
+    return (pairs.join(side("u"), "u").join(side("v"), "v").filter(_xor_count("su", "sv") <= limit)
+            .select("u", "v", "rep_u", "rep_v"))
 
 
 MEMBER = "v binary, class long, kind int, node binary, label binary, sketch array<long>, shingles binary"
@@ -225,13 +225,13 @@ def _compare(percent: int, limit: int):
     return run
 
 
-def _with_sets(asked: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """Rows (v, class, kind, node, label) with the nodes' sketches and sets, grouped by (v, class).
+def _with_sets(asked: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """Rows (v, class, kind, node, label, sketch, rep) with the nodes' sets, grouped by (v, class).
 
-    A node's set is computed from the text of one document that has it.
+    A node's set is computed from the text of one document that has it, ``rep``.  What is asked of a text is dealt by
+    the document's id and listed in parts, so a text that very many groups ask for makes no single long row.
     """
-    reps = nodes.select("node", F.coalesce("rep", F.lit(NO_ID)).alias("rep"), "sketch")
-    by_text = (asked.join(reps, "node")
+    by_text = (asked.withColumn("rep", F.coalesce("rep", F.lit(NO_ID))).repartition("rep")
                .withColumn("part", F.pmod(F.xxhash64("v", "class"), F.lit(64)))
                .groupBy("rep", "part")
                .agg(F.collect_list(F.struct("v", "class", "kind", "node", "label", "sketch")).alias("asked"))
@@ -241,44 +241,53 @@ def _with_sets(asked: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -
     return sets.repartition("v", "class").sortWithinPartitions("v", "class", "kind")
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int, limit: int) -> DataFrame:
     """Pairs (u, v) that reach the threshold on their full sets.
 
     v is the hub of its pairs.  A hub's pairs are dealt to classes of about ``CLASS_ROWS`` members,
     each with its own copy of the hub's set, so a hub with very many members fills many groups.
     """
-    many = pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    none = F.lit(None).cast("binary").alias("label")
-    dealt = pairs.join(many, "v").select(
-        "v", F.pmod(F.xxhash64("u"), F.ceil(F.col("n") / CLASS_ROWS)).cast("long").alias("class"),
-        F.lit(1).alias("kind"), F.col("u").alias("node"), none)
-    hubs = dealt.select("v", "class").distinct().select(
-        "v", "class", F.lit(0).alias("kind"), F.col("v").alias("node"), none)
-    grouped = _with_sets(dealt.union(hubs), nodes, docs, size)
-    return arrow_map(grouped, _confirm(percent), "u binary, v binary").distinct()
+    ways = F.ceil(F.count(F.lit(1)).over(Window.partitionBy("v")) / CLASS_ROWS)
+    dealt = _close(pairs, nodes, limit).withColumn("class", F.pmod(F.xxhash64("u"), ways).cast("long"))
+    dealt = dealt.withColumn("at", F.row_number().over(Window.partitionBy("v", "class").orderBy("u")))
+
+    def row(kind, node):
+        return F.struct("v", "class", F.lit(kind).alias("kind"), F.col(node).alias("node"),
+                        F.lit(None).cast("binary").alias("label"), F.lit(None).cast("array<long>").alias("sketch"),
+                        F.col("rep_" + node).alias("rep"))
+    member, hub = row(1, "u"), row(0, "v")
+    asked = dealt.select(F.inline(F.when(F.col("at") == 1, F.array(hub, member)).otherwise(F.array(member))))
+    return arrow_map(_with_sets(asked, docs, size), _confirm(percent), "u binary, v binary")
 
 
 def _across(met: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int,
             limit: int) -> DataFrame:
-    """Links between components inside the groups of nodes that share a hub."""
+    """Links between components inside the groups of nodes that share a hub (a link may come from several blocks).
+
+    ``labels`` are the stars (u, v) found so far; other nodes are components of their own.
+    """
     group = met.select(F.col("u").alias("node"), "v").union(
         met.select(F.col("v").alias("node"), "v").distinct())
-    group = group.join(labels, "node", "left").select("v", "node", F.coalesce("label", "node").alias("label"))
-    sizes = group.groupBy("v", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("v").agg(
-        F.max(F.struct("n", "label")).alias("most"), F.count(F.lit(1)).alias("kinds"),
-        F.sum("n").alias("n")).filter("kinds > 1").select(
-        "v", F.col("most.label").alias("main"), F.ceil(F.col("n") / MEMBER_ROWS).alias("m_blocks"),
-        F.ceil((F.col("n") - F.col("most.n")) / OUTLIER_ROWS).alias("o_blocks"))
-    rows = group.join(mixed, "v").withColumns({"m": F.pmod(F.xxhash64("node"), F.col("m_blocks")),
-                                               "o": F.pmod(F.xxhash64("node"), F.col("o_blocks"))})
-    outliers = rows.filter(F.col("label") != F.col("main")).withColumn(
-        "m", F.explode(F.sequence(F.lit(0), F.col("m_blocks") - 1)))
-    members = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("o_blocks") - 1)))
-    asked = [x.select("v", (F.col("o") * F.col("m_blocks") + F.col("m")).cast("long").alias("class"),
-                      F.lit(kind).alias("kind"), "node", "label") for kind, x in enumerate((outliers, members))]
-    grouped = _with_sets(asked[0].union(asked[1]), nodes, docs, size)
-    return arrow_map(grouped, _compare(percent, limit), "u binary, v binary").distinct()
+    group = group.join(nodes.select("node", "rep", "sketch"), "node").join(
+        labels.select(F.col("u").alias("node"), F.col("v").alias("label")), "node", "left").withColumn(
+        "label", F.coalesce("label", "node"))
+    whole, kin = Window.partitionBy("v"), Window.partitionBy("v", "label")
+    rows = group.repartition("v").withColumn("kin", F.count(F.lit(1)).over(kin)).withColumns({
+        "most": F.max(F.struct("kin", "label")).over(whole), "n": F.count(F.lit(1)).over(whole)}) \
+        .filter(F.col("most.kin") < F.col("n"))
+    rows = rows.withColumns({"m_blocks": F.ceil(F.col("n") / MEMBER_ROWS),
+                             "o_blocks": F.ceil((F.col("n") - F.col("most.kin")) / OUTLIER_ROWS)})
+    rows = rows.withColumns({"m": F.pmod(F.xxhash64("node"), F.col("m_blocks")),
+                             "o": F.pmod(F.xxhash64("node"), F.col("o_blocks"))})
+
+    def blocks(kind, other, block):
+        return F.transform(F.sequence(F.lit(0).cast("long"), F.col(other + "_blocks") - 1), lambda x: F.struct(
+            block(x).cast("long").alias("class"), F.lit(kind).alias("kind")))
+    outlier = blocks(0, "m", lambda m: F.col("o") * F.col("m_blocks") + m)
+    member = blocks(1, "o", lambda o: o * F.col("m_blocks") + F.col("m"))
+    at = F.explode(F.when(F.col("label") != F.col("most.label"), F.concat(outlier, member)).otherwise(member))
+    asked = rows.withColumn("at", at).select("v", "at.class", "at.kind", "node", "label", "sketch", "rep")
+    return arrow_map(_with_sets(asked, docs, size), _compare(percent, limit), "u binary, v binary")
 
 
 def near_duplicates(df: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -292,16 +301,17 @@ def near_duplicates(df: DataFrame, size: int = 5, percent: int = 80, id_col: str
         F.any_value("sketch").alias("sketch")), "near-nodes")
 
     rows = nodes.select("node", F.explode("bands").alias("band"))
-    hubs = rows.groupBy("band").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    met = pinned(rows.join(hubs, "band").filter(F.col("node") != F.col("v"))
+    hub = F.min("node").over(Window.partitionBy("band"))
+    met = pinned(rows.withColumn("v", hub).filter(F.col("node") != F.col("v"))
                  .select(F.col("node").alias("u"), "v").distinct(), "near-met")
-    links = pinned(_confirmed(_close(met, nodes, limit), nodes, docs, size, percent), "near-links")
-    labels = components(links, "near-components")
+    links = pinned(_confirmed(met, nodes, docs, size, percent, limit), "near-links")
+    labels = stars(links, "near-components")
     more = pinned(_across(met, labels, nodes, docs, size, percent, limit), "near-links")
-    if more.limit(1).count():
-        labels = components(links.union(more), "near-components")
+    # The stars found so far stand for the links they came from.
+    labels = stars(labels.union(more), "near-components")
 
-    named = nodes.select("node", "rep").join(labels, "node", "left").select(
+    named = nodes.select("node", "rep").join(labels.select(F.col("u").alias("node"), F.col("v").alias("label")),
+                                             "node", "left").select(
         "node", "rep", F.coalesce("label", "node").alias("label"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     of_node = named.join(least, "label").select("node", "component_id")

@@ -145,6 +145,35 @@ def test_near_duplicates_empty(empty):
     assert near_dup.near_duplicates(empty).collect() == []
 
 
+def _stages(spark, name, run) -> int:
+    """Stages that a call starts, without those that were skipped."""
+    sc = spark.sparkContext
+    sc.setJobGroup(name, name)
+    try:
+        run()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    track = sc.statusTracker()
+    ran = {s for j in track.getJobIdsForGroup(name) for s in track.getJobInfo(j).stageIds}
+    return sum(1 for s in ran if (i := track.getStageInfo(s)) and i.numCompletedTasks)
+
+
+def test_near_duplicates_take_few_stages(spark, docs):
+    """Every stage starts as many tasks as there are shuffle partitions: their number is the cost of small tables."""
+    n = _stages(spark, "near-stages", lambda: near_dup.near_duplicates(docs, size=4).collect())
+    assert n <= 55
+
+
+def test_components_take_two_shuffles_a_round(spark):
+    from secflow.llm.components import components
+
+    chain = spark.createDataFrame([(i, i + 1) for i in range(64)] * 2, "u long, v long")
+    got = []
+    n = _stages(spark, "star-stages", lambda: got.extend(components(chain, "t").collect()))
+    assert sorted((r.node, r.label) for r in got) == [(i, 0) for i in range(65)]
+    assert n <= 50
+
+
 def test_odd_sketch_estimates_high_similarity():
     rng = np.random.default_rng(0)
     a, b = near_dup._params(near_dup.SAMPLES)
