@@ -72,3 +72,16 @@ def test_new_words_of_letters_reach_the_library_as_lines_of_one_text():
         assert got == [np.array(tok.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert sum(asked) < 60
     assert len(enc.words.ends) <= 402 and not any(len(k) > bpe.LONG_WORD for k in enc.known)
+
+
+def test_freed_memory_leaves_the_process():
+    from secflow.llm.common import give_back
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+    few = [bytes(5000) for _ in range(40000)]
+    kept, full = few[::4000], resident()
+    del few
+    give_back()
+    assert kept and full - resident() > 100 << 20
